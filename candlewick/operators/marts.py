@@ -96,7 +96,7 @@ def fct_trades(stg_trades: DataFrame) -> DataFrame:
     form runs one window partition per symbol; ``operators.scaled`` gives the
     same result with the history split into balanced blocks.
     """
-    w = Window.partitionBy("symbol").orderBy("traded_at", "trade_id")
+    w = Window.partitionBy("symbol").orderBy(F.col("traded_at").asc_nulls_last(), F.col("trade_id").asc_nulls_last())
     recent = F.avg("trade_value_usdt").over(w.rowsBetween(-(RELATIVE_SIZE_ROWS - 1), 0))
     running = F.sum("trade_value_usdt").over(w.rowsBetween(Window.unboundedPreceding, 0))
     return trade_fact_base(stg_trades).select(
@@ -209,9 +209,9 @@ def daily_summary(fct_candles: DataFrame, sort: bool = True) -> DataFrame:
         F.min_by("open_price", "opened_at").alias("daily_open"),
         F.max_by("close_price", "opened_at").alias("daily_close"),
     )
-    w = Window.partitionBy("symbol").orderBy("trade_date")
+    w = Window.partitionBy("symbol").orderBy(F.col("trade_date").asc_nulls_last())
     out = daily.select("*", *_trend_columns(w)).select(*DAILY_COLUMNS)
-    return out.orderBy(F.col("trade_date").desc(), "symbol") if sort else out
+    return out.orderBy(F.col("trade_date").desc_nulls_first(), F.col("symbol").asc_nulls_last()) if sort else out
 
 
 def daily_summary_candle_grain(fct_candles: DataFrame, sort: bool = True) -> DataFrame:
@@ -226,7 +226,7 @@ def daily_summary_candle_grain(fct_candles: DataFrame, sort: bool = True) -> Dat
     grouped = fct_candles.groupBy("trade_date", "symbol", "opened_at", "open_price", "close_price").agg(
         *_daily_aggregates()
     )
-    day = Window.partitionBy("trade_date", "symbol").orderBy("opened_at").rowsBetween(
+    day = Window.partitionBy("trade_date", "symbol").orderBy(F.col("opened_at").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     daily = grouped.select(
@@ -234,6 +234,6 @@ def daily_summary_candle_grain(fct_candles: DataFrame, sort: bool = True) -> Dat
         F.first("open_price").over(day).alias("daily_open"),
         F.last("close_price").over(day).alias("daily_close"),
     )
-    w = Window.partitionBy("symbol").orderBy("trade_date", "opened_at")
+    w = Window.partitionBy("symbol").orderBy(F.col("trade_date").asc_nulls_last(), F.col("opened_at").asc_nulls_last())
     out = daily.select("*", *_trend_columns(w)).select(*DAILY_COLUMNS).distinct()
-    return out.orderBy(F.col("trade_date").desc(), "symbol") if sort else out
+    return out.orderBy(F.col("trade_date").desc_nulls_first(), F.col("symbol").asc_nulls_last()) if sort else out

@@ -57,7 +57,7 @@ def price_metrics(stg_klines: DataFrame) -> DataFrame:
     them in a single Window node after one shuffle; the cross-symbol rank
     adds a second shuffle on ``opened_at``.
     """
-    w = Window.partitionBy("symbol").orderBy("opened_at")
+    w = Window.partitionBy("symbol").orderBy(F.col("opened_at").asc_nulls_last())
     base = stg_klines.select(
         "kline_id", "symbol", "opened_at", "closed_at", "open_price", "high_price",
         "low_price", "close_price", "volume", "number_of_trades", "candle_direction",

@@ -4,15 +4,26 @@ stand-in mappings) and runs over them whole."""
 
 from __future__ import annotations
 
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlewick.operators import marts, staging
+from candlewick.operators import ingest, marts, metrics, panels, quality, scaled, staging
 from candlewick.plans.models import standin_models, standin_raw, tape_trades
+from candlewick.schemas import RAW_KEYS, RAW_TRADES
+from candlewick.sources import payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# fixed values: the five stand-in symbols (events.event_type + quote asset)
+STANDIN_SYMBOLS = ("CLICKUSDT", "ERRORUSDT", "PURCHASEUSDT", "SIGNUPUSDT", "VIEWUSDT")
+PANEL_SYMBOL = "CLICKUSDT"  # symbol shown on the moving-average panel
+# Second load of the tape re-sends everything; the first one held the trades
+# that happened before this instant (UTC).
+FIRST_LOAD_BEFORE_MS = 883_612_800_000
+
 
 def _model(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,28 +49,105 @@ def _fct_trades_tape(spark, sf_dir):
     return marts.fct_trades(staging.stg_trades(tape_trades(spark, sf_dir)))
 
 
+def _fct_trades_tape_scaled(spark, sf_dir):
+    return scaled.fct_trades_scaled(staging.stg_trades(tape_trades(spark, sf_dir)))
+
+
+def _fct_trades_scaled(spark, sf_dir):
+    return scaled.fct_trades_scaled(standin_models(spark, sf_dir).stg_trades, block_rows=1_000)
+
+
+def _price_metrics_scaled(spark, sf_dir):
+    return scaled.price_metrics_scaled(standin_models(spark, sf_dir).stg_klines, block_rows=200)
+
+
 def _symbol_volume_all(spark, sf_dir):
-    from candlewick.operators.metrics import symbol_volume
+    m = standin_models(spark, sf_dir)
+    return metrics.symbol_volume(m.stg_trades, m.stg_tickers, all_snapshots=True)
+
+
+def _normalize_klines(spark, sf_dir):
+    return payloads.normalize_klines(payloads.pack_kline_payloads(standin_raw(spark, sf_dir).klines))
+
+
+def _normalize_trades(spark, sf_dir):
+    return payloads.normalize_trades(payloads.pack_trade_payloads(standin_raw(spark, sf_dir).trades))
 
+
+def _normalize_tickers(spark, sf_dir):
+    return payloads.normalize_tickers(payloads.pack_ticker_payloads(standin_raw(spark, sf_dir).tickers))
+
+
+TAPE_ORDER = ("extracted_at", "price", "quantity", "quote_qty", "trade_time", "is_buyer_maker")
+
+
+def _idempotent_append(spark, sf_dir):
+    """Table state after two loads of the tape: first the trades before
+    1998, then the whole tape again (first write wins throughout)."""
+    keys = RAW_KEYS["trades"]
+    part = ingest.PARTITION_COLUMN["trades"]
+    tape = tape_trades(spark, sf_dir).withColumn(part, ingest.partition_value("trades"))
+    first = ingest.first_wins(tape.where(F.col("trade_time") < FIRST_LOAD_BEFORE_MS), keys, TAPE_ORDER)
+    second = ingest.new_rows(tape, first, keys, TAPE_ORDER, partition_col=part)
+    return first.unionByName(second).select(*RAW_TRADES.names)
+
+
+def _quality_checks(spark, sf_dir):
     m = standin_models(spark, sf_dir)
-    return symbol_volume(m.stg_trades, m.stg_tickers, all_snapshots=True)
+    models = {
+        name: getattr(m, name)
+        for name in ("stg_klines", "stg_trades", "stg_tickers", "price_metrics", "symbol_volume",
+                     "fct_candles", "fct_trades", "dim_symbols")
+    }
+    models["daily_summary"] = marts.daily_summary(m.fct_candles, sort=False)
+    return quality.declared_suite(models, STANDIN_SYMBOLS)
+
+
+def _panel(fn) -> Query:
+    def run(spark, sf_dir):
+        return fn(standin_models(spark, sf_dir))
+
+    run.__name__ = getattr(fn, "__name__", "panel")
+    return run
+
+
+def _daily(m):
+    return marts.daily_summary(m.fct_candles, sort=False)
 
 
 QUERIES: dict[str, Query] = {
     "candles_1h": _candles_1h,
     "tickers_24h": _tickers_24h,
+    "normalize_klines": _normalize_klines,
+    "normalize_trades": _normalize_trades,
+    "normalize_tickers": _normalize_tickers,
+    "idempotent_append": _idempotent_append,
     "stg_klines": _model("stg_klines"),
     "stg_trades": _model("stg_trades"),
     "stg_tickers": _model("stg_tickers"),
     "latest_ticker": _model("latest_ticker"),
     "dedupe_latest": _dedupe_latest,
     "price_metrics": _model("price_metrics"),
+    "price_metrics_scaled": _price_metrics_scaled,
     "symbol_volume": _model("symbol_volume"),
     "symbol_volume_all_snapshots": _symbol_volume_all,
     "fct_candles": _model("fct_candles"),
     "fct_trades": _model("fct_trades"),
+    "fct_trades_scaled": _fct_trades_scaled,
     "fct_trades_tape": _fct_trades_tape,
+    "fct_trades_tape_scaled": _fct_trades_tape_scaled,
     "dim_symbols": _model("dim_symbols"),
     "daily_summary": _model("daily_summary"),
     "daily_summary_candle_grain": _model("daily_summary_candle_grain"),
+    "quality_checks": _quality_checks,
+    "panel_data_freshness": _panel(lambda m: panels.data_freshness(m.raw.klines, m.raw.trades, m.raw.tickers)),
+    "panel_rolling_trend": _panel(lambda m: panels.rolling_trend(_daily(m))),
+    "panel_volatility": _panel(lambda m: panels.daily_volatility(_daily(m))),
+    "panel_volume_by_symbol": _panel(lambda m: panels.volume_by_symbol(m.symbol_volume)),
+    "panel_moving_averages": _panel(lambda m: panels.moving_averages(m.fct_candles, PANEL_SYMBOL)),
+    "panel_price_history": _panel(lambda m: panels.price_history(m.fct_candles, days=7)),
+    "panel_sentiment": _panel(lambda m: panels.sentiment(m.dim_symbols)),
+    "panel_daily_moves": _panel(lambda m: panels.daily_moves(_daily(m))),
+    "panel_volume_spikes": _panel(lambda m: panels.volume_spikes(m.fct_candles)),
+    "panel_buy_sell_pressure": _panel(lambda m: panels.buy_sell_pressure(m.symbol_volume)),
 }

@@ -7,26 +7,44 @@ rounded (10000486632.2 came out as 10000486632.199999), text parsing is.
 
 from __future__ import annotations
 
-from oracle.duckdb_sql import model, statement
+from oracle.duckdb_sql import PANELS, model, panel_sql, quality_sql
 
 # Decimal-typed output columns of each query (exact values on both sides).
 DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     'candles_1h': ('open_price', 'high_price', 'low_price', 'close_price', 'volume', 'quote_asset_volume', 'taker_buy_base_volume', 'taker_buy_quote_volume'),
     'tickers_24h': ('price_change', 'price_change_pct', 'weighted_avg_price', 'prev_close_price', 'last_price', 'open_price', 'high_price', 'low_price', 'volume', 'quote_volume'),
+    'normalize_klines': ('open_price', 'high_price', 'low_price', 'close_price', 'volume', 'quote_asset_volume', 'taker_buy_base_volume', 'taker_buy_quote_volume'),
+    'normalize_trades': ('price', 'quantity', 'quote_qty'),
+    'normalize_tickers': ('price_change', 'price_change_pct', 'weighted_avg_price', 'prev_close_price', 'last_price', 'open_price', 'high_price', 'low_price', 'volume', 'quote_volume'),
+    'idempotent_append': ('price', 'quantity', 'quote_qty'),
     'stg_klines': ('open_price', 'high_price', 'low_price', 'close_price', 'volume', 'quote_asset_volume', 'taker_buy_base_volume', 'taker_buy_quote_volume', 'price_range'),
     'stg_trades': ('price', 'quantity', 'quote_qty', 'trade_value_usdt'),
     'stg_tickers': ('price_change', 'price_change_pct', 'weighted_avg_price', 'prev_close_price', 'last_price', 'open_price', 'high_price', 'low_price', 'volume', 'quote_volume'),
     'latest_ticker': ('price_change', 'price_change_pct', 'weighted_avg_price', 'prev_close_price', 'last_price', 'open_price', 'high_price', 'low_price', 'volume', 'quote_volume'),
     'dedupe_latest': ('price', 'quantity', 'quote_qty', 'trade_value_usdt'),
     'price_metrics': ('open_price', 'high_price', 'low_price', 'close_price', 'volume', 'price_range', 'prev_close_price'),
+    'price_metrics_scaled': ('open_price', 'high_price', 'low_price', 'close_price', 'volume', 'price_range', 'prev_close_price'),
     'symbol_volume': ('total_volume_usdt', 'min_trade_price', 'max_trade_price', 'buy_volume_usdt', 'sell_volume_usdt', 'last_price', 'price_change', 'price_change_pct', 'daily_high', 'daily_low', 'daily_volume', 'daily_quote_volume'),
     'symbol_volume_all_snapshots': ('total_volume_usdt', 'min_trade_price', 'max_trade_price', 'buy_volume_usdt', 'sell_volume_usdt', 'last_price', 'price_change', 'price_change_pct', 'daily_high', 'daily_low', 'daily_volume', 'daily_quote_volume'),
     'fct_candles': ('open_price', 'high_price', 'low_price', 'close_price', 'volume', 'price_range', 'prev_close_price'),
     'fct_trades': ('quantity', 'quote_qty', 'trade_value_usdt', 'cumulative_volume_usdt'),
+    'fct_trades_scaled': ('quantity', 'quote_qty', 'trade_value_usdt', 'cumulative_volume_usdt'),
     'fct_trades_tape': ('quantity', 'quote_qty', 'trade_value_usdt', 'cumulative_volume_usdt'),
+    'fct_trades_tape_scaled': ('quantity', 'quote_qty', 'trade_value_usdt', 'cumulative_volume_usdt'),
     'dim_symbols': ('current_price', 'price_change', 'price_change_pct', 'daily_high', 'daily_low', 'daily_volume', 'daily_quote_volume', 'historical_low', 'historical_high'),
     'daily_summary': ('daily_low', 'daily_high', 'daily_open', 'daily_close', 'daily_volume'),
     'daily_summary_candle_grain': ('daily_low', 'daily_high', 'daily_open', 'daily_close', 'daily_volume'),
+    'quality_checks': (),
+    'panel_data_freshness': (),
+    'panel_rolling_trend': (),
+    'panel_volatility': (),
+    'panel_volume_by_symbol': ('total_volume_usdt',),
+    'panel_moving_averages': ('close_price',),
+    'panel_price_history': ('close_price',),
+    'panel_sentiment': ('current_price', 'price_change_pct'),
+    'panel_daily_moves': (),
+    'panel_volume_spikes': ('volume',),
+    'panel_buy_sell_pressure': ('buy_volume_usdt', 'sell_volume_usdt'),
 }
 
 
@@ -54,6 +72,15 @@ _SQL: dict[str, str] = {
     "dim_symbols": model("dim_symbols"),
     "daily_summary": model("daily_summary"),
     "daily_summary_candle_grain": model("daily_summary_candle_grain"),
+    "normalize_klines": model("norm_klines"),
+    "normalize_trades": model("norm_trades"),
+    "normalize_tickers": model("raw_tickers"),
+    "idempotent_append": model("appended"),
+    "price_metrics_scaled": model("price_metrics"),
+    "fct_trades_scaled": model("fct_trades"),
+    "fct_trades_tape_scaled": model("tape_fct"),
+    "quality_checks": quality_sql(),
+    **{name: panel_sql(name) for name in PANELS},
 }
 
 ORACLE: dict[str, str] = {k: exact(v, DECIMAL_COLUMNS.get(k, ())) for k, v in _SQL.items()}

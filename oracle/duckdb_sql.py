@@ -410,3 +410,118 @@ def statement(select: str, *needs: str) -> str:
 
 def model(name: str) -> str:
     return statement(f"select * from {name}", name)
+
+
+# ------------------------------------------------------- payload round trips
+cte("norm_klines", ("raw_klines",), """
+    select * replace (max(extracted_at) over (partition by symbol, open_time // 360000000) as extracted_at)
+    from raw_klines""")
+cte("norm_trades", ("raw_trades",), """
+    select * replace (max(extracted_at) over (partition by symbol, trade_id // 100) as extracted_at)
+    from raw_trades""")
+
+# ------------------------------------------------------- idempotent append
+_TAPE_ORDER = ("extracted_at asc nulls last, price asc nulls last, quantity asc nulls last, "
+               "quote_qty asc nulls last, trade_time asc nulls last, is_buyer_maker asc nulls last")
+
+
+def first_wins_sql(src: str) -> str:
+    return f"""
+    select * exclude (rn) from (
+      select *, row_number() over (partition by symbol, trade_id order by {_TAPE_ORDER}) as rn
+      from {src} where symbol is not null and trade_id is not null) k
+    where rn = 1
+    union all
+    select * from {src} where symbol is null or trade_id is null"""
+
+
+cte("load1", ("tape_raw",), "select * from tape_raw where trade_time < 883612800000")
+cte("load1_first", ("load1",), first_wins_sql("load1"))
+cte("load2_first", ("tape_raw",), first_wins_sql("tape_raw"))
+cte("appended", ("load1_first", "load2_first"), """
+    select * from load1_first
+    union all
+    select * from load2_first n
+    where not exists (select 1 from load1_first t where t.symbol = n.symbol and t.trade_id = n.trade_id)""")
+
+# ----------------------------------------------------------- quality checks
+STANDIN_SYMBOLS = ("CLICKUSDT", "ERRORUSDT", "PURCHASEUSDT", "SIGNUPUSDT", "VIEWUSDT")
+SUITE = (
+    ("stg_klines", "unique", "kline_id"), ("stg_klines", "not_null", "kline_id"),
+    ("stg_klines", "not_null", "symbol"), ("stg_klines", "accepted_values", "symbol"),
+    ("stg_klines", "not_null", "close_price"),
+    ("stg_trades", "unique", "trade_key"), ("stg_trades", "not_null", "trade_key"),
+    ("stg_trades", "not_null", "symbol"), ("stg_trades", "not_null", "price"),
+    ("stg_tickers", "unique", "symbol"), ("stg_tickers", "not_null", "symbol"),
+    ("price_metrics", "unique", "kline_id"), ("price_metrics", "not_null", "kline_id"),
+    ("price_metrics", "not_null", "symbol"),
+    ("symbol_volume", "unique", "symbol"), ("symbol_volume", "not_null", "symbol"),
+    ("fct_candles", "unique", "kline_id"), ("fct_candles", "not_null", "kline_id"),
+    ("fct_candles", "not_null", "symbol"), ("fct_candles", "not_null", "close_price"),
+    ("fct_candles", "not_null", "trade_date"),
+    ("fct_trades", "unique", "trade_key"), ("fct_trades", "not_null", "trade_key"),
+    ("fct_trades", "not_null", "symbol"),
+    ("dim_symbols", "unique", "symbol"), ("dim_symbols", "not_null", "symbol"),
+    ("daily_summary", "not_null", "symbol"), ("daily_summary", "not_null", "trade_date"),
+)
+
+
+def _check_sql(model_name: str, test: str, col: str) -> str:
+    head = f"select '{model_name}' as model, '{col}' as column_name, '{test}' as test"
+    if test == "not_null":
+        return f"{head}, cast(count_if({col} is null) as bigint) as failures from {model_name}"
+    if test == "unique":
+        return (f"{head}, cast(count(*) as bigint) as failures from (select {col} from {model_name} "
+                f"where {col} is not null group by {col} having count(*) > 1) d")
+    values = ", ".join(f"'{v}'" for v in STANDIN_SYMBOLS)
+    return (f"{head}, cast(count(distinct case when {col} is not null and {col} not in ({values}) "
+            f"then {col} end) as bigint) as failures from {model_name}")
+
+
+def quality_sql() -> str:
+    models = sorted({m for m, _, _ in SUITE})
+    return statement("\nunion all\n".join(_check_sql(*t) for t in SUITE), *models)
+
+
+# ------------------------------------------------------------------- panels
+PANEL_SYMBOL = "CLICKUSDT"
+PANELS = {
+    "panel_data_freshness": (("raw_klines", "raw_trades", "raw_tickers"), """
+        select 'raw_klines' as table_name, count(*) as row_count, max(extracted_at) as last_extracted_at from raw_klines
+        union all
+        select 'raw_trades', count(*), max(extracted_at) from raw_trades
+        union all
+        select 'raw_tickers', count(*), max(extracted_at) from raw_tickers"""),
+    "panel_rolling_trend": (("daily_summary",),
+                            "select trade_date, symbol, daily_avg_price, rolling_7d_avg_price from daily_summary"),
+    "panel_volatility": (("daily_summary",), """
+        select trade_date, symbol, daily_volatility_pct,
+               rank() over (partition by trade_date order by daily_volatility_pct desc nulls last) = 1 as is_most_volatile
+        from daily_summary"""),
+    "panel_volume_by_symbol": (("symbol_volume",),
+                               "select symbol, total_trades, total_volume_usdt, volume_dominance_pct, volume_rank from symbol_volume"),
+    "panel_moving_averages": (("fct_candles",), f"""
+        select opened_at, symbol, close_price, ma_7, ma_14, ma_30, ma_signal
+        from fct_candles where symbol = '{PANEL_SYMBOL}'"""),
+    "panel_price_history": (("fct_candles",), """
+        select opened_at, trade_date, symbol, close_price from fct_candles
+        where trade_date >= (select max(trade_date) from fct_candles) - 6
+          and trade_date <= (select max(trade_date) from fct_candles)"""),
+    "panel_sentiment": (("dim_symbols",),
+                        "select symbol, current_price, price_change_pct, market_sentiment from dim_symbols"),
+    "panel_daily_moves": (("daily_summary",), """
+        select trade_date, symbol, daily_avg_price, daily_return_pct,
+               rank() over (partition by trade_date order by abs(daily_return_pct) desc nulls last) = 1 as is_largest_move
+        from daily_summary"""),
+    "panel_volume_spikes": (("fct_candles",), """
+        select opened_at, symbol, volume, avg_volume_7, volume_ratio, volume_signal
+        from fct_candles where volume_signal <> 'normal_volume'"""),
+    "panel_buy_sell_pressure": (("symbol_volume",), """
+        select symbol, buy_trades, sell_trades, buy_pressure_pct, buy_volume_usdt, sell_volume_usdt
+        from symbol_volume"""),
+}
+
+
+def panel_sql(name: str) -> str:
+    needs, select = PANELS[name]
+    return statement(select, *needs)
