@@ -91,13 +91,15 @@ def fct_trades(stg_trades: DataFrame) -> DataFrame:
     """Trades with size class, size relative to the last ten trades of the
     symbol, and the symbol's running traded value.
 
-    Trades are ordered by ``(traded_at, trade_id)``: several trades can share
+    The trailing average feeds a double ratio, so it is averaged in double:
+    a ``decimal(37,16)`` average would cost ten BigDecimal additions and a
+    division per trade.  Trades are ordered by ``(traded_at, trade_id)``: several trades can share
     a millisecond, and the id makes the row frames deterministic.  This plain
     form runs one window partition per symbol; ``operators.scaled`` gives the
     same result with the history split into balanced blocks.
     """
     w = Window.partitionBy("symbol").orderBy(F.col("traded_at").asc_nulls_last(), F.col("trade_id").asc_nulls_last())
-    recent = F.avg("trade_value_usdt").over(w.rowsBetween(-(RELATIVE_SIZE_ROWS - 1), 0))
+    recent = F.avg(F.col("trade_value_usdt").cast("double")).over(w.rowsBetween(-(RELATIVE_SIZE_ROWS - 1), 0))
     running = F.sum("trade_value_usdt").over(w.rowsBetween(Window.unboundedPreceding, 0))
     return trade_fact_base(stg_trades).select(
         "*",

@@ -142,7 +142,7 @@ def fct_trades_scaled(
     halo = RELATIVE_SIZE_ROWS - 1
     blocked = with_halo(pos, block_rows, halo)
     w = Window.partitionBy("symbol", "_blk").orderBy("_pos").rowsBetween(-halo, Window.currentRow)
-    recent = F.avg("trade_value_usdt").over(w)
+    recent = F.avg(F.col("trade_value_usdt").cast("double")).over(w)
     out = blocked.select("*", rounded(ratio("trade_value_usdt", recent), 4).alias("relative_size"))
     return out.where(~F.col("_halo")).select(*FCT_TRADE_COLUMNS)
 

@@ -32,11 +32,26 @@ def dedupe_latest(
     newest: str = "extracted_at",
     tiebreak: Sequence[str] = (),
     keep_row_num: bool = True,
+    parts: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Keep the newest row per ``key`` (``row_num`` = 1 is kept as a column)."""
+    """Keep the newest row per ``key`` (``row_num`` = 1 is kept as a column).
+
+    ``parts`` optionally names the columns a concatenated surrogate ``key``
+    was built from (numeric part first).  The window is then partitioned by
+    those parts instead of the string, each set to NULL wherever the
+    surrogate is NULL, which groups rows identically but lets the sort use
+    the numeric part as its prefix.
+    """
     keys = [key] if isinstance(key, str) else list(key)
+    if parts:
+        surrogate = F.col(keys[0])
+        part_cols = [F.when(surrogate.isNotNull(), F.col(p)).alias(f"_dk{i}") for i, p in enumerate(parts)]
+        df = df.select("*", *part_cols)
+        keys = [f"_dk{i}" for i in range(len(parts))]
     w = Window.partitionBy(*keys).orderBy(F.col(newest).desc_nulls_first(), *_tiebreak(tiebreak))
     out = df.withColumn("row_num", F.row_number().over(w)).where(F.col("row_num") == 1)
+    if parts:
+        out = out.drop(*keys)
     return out if keep_row_num else out.drop("row_num")
 
 
@@ -67,7 +82,7 @@ def stg_klines(raw_klines: DataFrame) -> DataFrame:
         classify.candle_direction("close_price", "open_price").alias("candle_direction"),
         F.col("extracted_at").cast("timestamp_ntz").alias("extracted_at"),
     )
-    return dedupe_latest(cleaned, "kline_id", tiebreak=KLINE_TIEBREAK)
+    return dedupe_latest(cleaned, "kline_id", tiebreak=KLINE_TIEBREAK, parts=("opened_at", "symbol"))
 
 
 def stg_trades(raw_trades: DataFrame) -> DataFrame:
@@ -83,7 +98,7 @@ def stg_trades(raw_trades: DataFrame) -> DataFrame:
         classify.trade_direction("is_buyer_maker").alias("trade_direction"),
         F.col("extracted_at").cast("timestamp_ntz").alias("extracted_at"),
     )
-    return dedupe_latest(cleaned, "trade_key", tiebreak=TRADE_TIEBREAK)
+    return dedupe_latest(cleaned, "trade_key", tiebreak=TRADE_TIEBREAK, parts=("trade_id", "symbol"))
 
 
 def stg_tickers(raw_tickers: DataFrame) -> DataFrame:
