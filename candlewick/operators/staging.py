@@ -130,3 +130,22 @@ def latest_ticker(tickers: DataFrame) -> DataFrame:
         F.col("extracted_at").desc_nulls_first(), F.col("period_start").desc_nulls_first()
     )
     return tickers.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def newest_per_symbol(df: DataFrame, n: int, time_col: str, tiebreak: str | None = None) -> DataFrame:
+    """The newest ``n`` rows of each symbol (what one API request returns).
+
+    ``row_number() <= n`` is planned as a per-key top-n before the shuffle
+    (``WindowGroupLimit``), so each map task forwards at most ``n`` rows
+    per symbol, however large the history.
+    """
+    order = [F.col(time_col).desc_nulls_last()]
+    if tiebreak:
+        order.append(F.col(tiebreak).desc_nulls_last())
+    w = Window.partitionBy("symbol").orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def restrict_symbols(df: DataFrame, symbols) -> DataFrame:
+    """Keep the tracked symbols only (pushed down to the scan as an IN filter)."""
+    return df.where(F.col("symbol").isin(list(symbols)))

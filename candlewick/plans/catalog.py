@@ -20,6 +20,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # fixed values: the five stand-in symbols (events.event_type + quote asset)
 STANDIN_SYMBOLS = ("CLICKUSDT", "ERRORUSDT", "PURCHASEUSDT", "SIGNUPUSDT", "VIEWUSDT")
 PANEL_SYMBOL = "CLICKUSDT"  # symbol shown on the moving-average panel
+TRACKED = ("CLICKUSDT", "ERRORUSDT", "PURCHASEUSDT")  # pairs an extract run asks for
+REQUEST_LIMIT = 100  # fixed value: newest records per symbol and request
 # Second load of the tape re-sends everything; the first one held the trades
 # that happened before this instant (UTC).
 FIRST_LOAD_BEFORE_MS = 883_612_800_000
@@ -78,6 +80,18 @@ def _normalize_tickers(spark, sf_dir):
     return payloads.normalize_tickers(payloads.pack_ticker_payloads(standin_raw(spark, sf_dir).tickers))
 
 
+def _api_trades(spark, sf_dir):
+    """What one extract run returns for the tracked pairs: the newest 100
+    trades of each, out of the whole trade history."""
+    stg = staging.restrict_symbols(standin_models(spark, sf_dir).stg_trades, TRACKED)
+    return staging.newest_per_symbol(stg, REQUEST_LIMIT, "traded_at", tiebreak="trade_id")
+
+
+def _api_klines(spark, sf_dir):
+    stg = staging.restrict_symbols(standin_models(spark, sf_dir).stg_klines, TRACKED)
+    return staging.newest_per_symbol(stg, REQUEST_LIMIT, "opened_at")
+
+
 TAPE_ORDER = ("extracted_at", "price", "quantity", "quote_qty", "trade_time", "is_buyer_maker")
 
 
@@ -122,6 +136,8 @@ QUERIES: dict[str, Query] = {
     "normalize_trades": _normalize_trades,
     "normalize_tickers": _normalize_tickers,
     "idempotent_append": _idempotent_append,
+    "api_snapshot_trades": _api_trades,
+    "api_snapshot_klines": _api_klines,
     "stg_klines": _model("stg_klines"),
     "stg_trades": _model("stg_trades"),
     "stg_tickers": _model("stg_tickers"),

@@ -17,6 +17,8 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     'normalize_trades': ('price', 'quantity', 'quote_qty'),
     'normalize_tickers': ('price_change', 'price_change_pct', 'weighted_avg_price', 'prev_close_price', 'last_price', 'open_price', 'high_price', 'low_price', 'volume', 'quote_volume'),
     'idempotent_append': ('price', 'quantity', 'quote_qty'),
+    'api_snapshot_trades': ('price', 'quantity', 'quote_qty', 'trade_value_usdt'),
+    'api_snapshot_klines': ('open_price', 'high_price', 'low_price', 'close_price', 'volume', 'quote_asset_volume', 'taker_buy_base_volume', 'taker_buy_quote_volume', 'price_range'),
     'stg_klines': ('open_price', 'high_price', 'low_price', 'close_price', 'volume', 'quote_asset_volume', 'taker_buy_base_volume', 'taker_buy_quote_volume', 'price_range'),
     'stg_trades': ('price', 'quantity', 'quote_qty', 'trade_value_usdt'),
     'stg_tickers': ('price_change', 'price_change_pct', 'weighted_avg_price', 'prev_close_price', 'last_price', 'open_price', 'high_price', 'low_price', 'volume', 'quote_volume'),
@@ -76,6 +78,8 @@ _SQL: dict[str, str] = {
     "normalize_trades": model("norm_trades"),
     "normalize_tickers": model("raw_tickers"),
     "idempotent_append": model("appended"),
+    "api_snapshot_trades": model("api_snapshot_trades"),
+    "api_snapshot_klines": model("api_snapshot_klines"),
     "price_metrics_scaled": model("price_metrics"),
     "fct_trades_scaled": model("fct_trades"),
     "fct_trades_tape_scaled": model("tape_fct"),

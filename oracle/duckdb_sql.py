@@ -525,3 +525,18 @@ PANELS = {
 def panel_sql(name: str) -> str:
     needs, select = PANELS[name]
     return statement(select, *needs)
+
+
+# ------------------------------------------------- newest N per tracked pair
+TRACKED = ("CLICKUSDT", "ERRORUSDT", "PURCHASEUSDT")
+_TRACKED_SQL = ", ".join(f"'{s}'" for s in TRACKED)
+cte("api_snapshot_trades", ("stg_trades",), f"""
+    select * exclude (rn) from (
+      select *, row_number() over (partition by symbol order by traded_at desc nulls last, trade_id desc nulls last) as rn
+      from stg_trades where symbol in ({_TRACKED_SQL})) x
+    where rn <= 100""")
+cte("api_snapshot_klines", ("stg_klines",), f"""
+    select * exclude (rn) from (
+      select *, row_number() over (partition by symbol order by opened_at desc nulls last) as rn
+      from stg_klines where symbol in ({_TRACKED_SQL})) x
+    where rn <= 100""")
