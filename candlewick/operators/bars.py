@@ -3,13 +3,14 @@
 Both are plain ``groupBy`` aggregations, so Spark combines map-side before the
 shuffle: a hot symbol or a hot hour costs one partial row per map task, never
 a single task holding the whole group.  Open and close prices are
-``min_by`` / ``max_by`` over ``(trade_time, trade_id)``, a total order, so
-ties in time are resolved the same way on every run.
+``min_by`` / ``max_by`` over ``(trade_time, trade_id)`` (packed into one
+decimal key, see ``trade_order_key``), a total order, so ties in time are
+resolved the same way on every run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.numeric import pct, ratio
@@ -20,8 +21,27 @@ HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
 
 
+_ID_SPAN = 10**20  # > 2**64: room for every trade id after shifting it to >= 0
+
+
+def trade_order_key(time_col: str = "trade_time", id_col: str = "trade_id") -> Column:
+    """One ``decimal(38,0)`` that sorts like ``(trade_time, trade_id)`` with a
+    NULL id last: ``time * 10^20 + (id + 2^63)``.
+
+    A struct key would make ``min_by``/``max_by`` fall back to a sort-based
+    aggregate (a struct buffer is not fixed-width); a decimal key keeps the
+    bar aggregation hash-based with map-side combine.
+    """
+    def big(n: int) -> Column:
+        return F.lit(str(n)).cast("decimal(38,0)")
+
+    shifted = F.col(id_col).cast("decimal(38,0)") + big(2**63)
+    id_part = F.coalesce(shifted, big(_ID_SPAN - 1))
+    return F.col(time_col).cast("decimal(38,0)") * big(_ID_SPAN) + id_part
+
+
 def _bar_aggregates(trades: DataFrame, bucket_ms: int) -> DataFrame:
-    order = F.struct("trade_time", "trade_id")
+    order = trade_order_key()
     taker = ~F.coalesce(F.col("is_buyer_maker"), F.lit(False))
     notional = F.col("price") * F.col("quantity")
     zero = F.lit(0).cast(VOLUME)

@@ -12,13 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.operators.bars import trade_order_key
 from candlewick.schemas import RAW_KLINES, VOLUME
 
 
 def stream_candles(trades: DataFrame, interval: str = "1 hour", lateness: str = "10 minutes",
                    interval_ms: int = 3_600_000) -> DataFrame:
     """Raw-klines rows from a (streaming) raw-trades DataFrame."""
-    order = F.struct("trade_time", "trade_id")
+    order = trade_order_key()
     taker = ~F.coalesce(F.col("is_buyer_maker"), F.lit(False))
     notional = F.col("price") * F.col("quantity")
     zero = F.lit(0).cast(VOLUME)
