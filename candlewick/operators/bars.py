@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.numeric import pct, ratio
 from candlewick.functions.temporal import ms_to_ts_ntz
-from candlewick.schemas import PRICE, RAW_KLINES, RAW_TICKERS, VOLUME
+from candlewick.schemas import RAW_KLINES, RAW_TICKERS, VOLUME
 
 HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
@@ -45,10 +45,10 @@ def _bar_aggregates(trades: DataFrame, bucket_ms: int) -> DataFrame:
     taker = ~F.coalesce(F.col("is_buyer_maker"), F.lit(False))
     notional = F.col("price") * F.col("quantity")
     zero = F.lit(0).cast(VOLUME)
+    open_time = F.col("trade_time") - F.pmod("trade_time", F.lit(bucket_ms))
     return (
         trades.where(F.col("trade_time").isNotNull())
-        .withColumn("open_time", F.col("trade_time") - F.pmod("trade_time", F.lit(bucket_ms)))
-        .groupBy("symbol", "open_time")
+        .groupBy("symbol", open_time.alias("open_time"))
         .agg(
             F.min_by("price", order).alias("open_price"),
             F.max("price").alias("high_price"),
@@ -63,29 +63,37 @@ def _bar_aggregates(trades: DataFrame, bucket_ms: int) -> DataFrame:
     )
 
 
+def _typed(cols: dict, schema) -> list:
+    return [cols[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
+
+
 def candles_from_trades(trades: DataFrame, interval_ms: int = HOUR_MS) -> DataFrame:
     """OHLCV candles of ``interval_ms`` per symbol, in the raw-klines schema.
 
     ``extracted_at`` is the instant the candle closed, so re-deriving the same
     candle gives the same row.
     """
-    bars = _bar_aggregates(trades, interval_ms)
-    out = bars.select(
-        "symbol",
-        "open_time",
-        "open_price",
-        "high_price",
-        "low_price",
-        "close_price",
-        F.col("volume").cast(VOLUME).alias("volume"),
-        (F.col("open_time") + F.lit(interval_ms - 1)).alias("close_time"),
-        F.col("quote_volume").cast(VOLUME).alias("quote_asset_volume"),
-        F.col("trade_count").cast("int").alias("number_of_trades"),
-        F.col("taker_base").cast(VOLUME).alias("taker_buy_base_volume"),
-        F.col("taker_quote").cast(VOLUME).alias("taker_buy_quote_volume"),
-        ms_to_ts_ntz(F.col("open_time") + F.lit(interval_ms)).alias("extracted_at"),
+    c = F.col
+    return _bar_aggregates(trades, interval_ms).select(
+        _typed(
+            {
+                "symbol": c("symbol"),
+                "open_time": c("open_time"),
+                "open_price": c("open_price"),
+                "high_price": c("high_price"),
+                "low_price": c("low_price"),
+                "close_price": c("close_price"),
+                "volume": c("volume"),
+                "close_time": c("open_time") + F.lit(interval_ms - 1),
+                "quote_asset_volume": c("quote_volume"),
+                "number_of_trades": c("trade_count"),
+                "taker_buy_base_volume": c("taker_base"),
+                "taker_buy_quote_volume": c("taker_quote"),
+                "extracted_at": ms_to_ts_ntz(c("open_time") + F.lit(interval_ms)),
+            },
+            RAW_KLINES,
+        )
     )
-    return out.select([F.col(f.name).cast(f.dataType) for f in RAW_KLINES.fields])
 
 
 def tickers_from_trades(trades: DataFrame, window_ms: int = DAY_MS) -> DataFrame:
@@ -94,24 +102,28 @@ def tickers_from_trades(trades: DataFrame, window_ms: int = DAY_MS) -> DataFrame
     ``prev_close_price`` is the last price of the symbol's previous snapshot;
     that window runs over the aggregated snapshots (symbols x days rows).
     """
-    bars = _bar_aggregates(trades, window_ms)
-    change = F.col("close_price") - F.col("open_price")
+    c = F.col
+    change = c("close_price") - c("open_price")
     prev = Window.partitionBy("symbol").orderBy("open_time")
-    out = bars.select(
-        "symbol",
-        change.cast(PRICE).alias("price_change"),
-        F.round(pct(change, "open_price").cast("decimal(38,10)"), 3).cast(PRICE).alias("price_change_pct"),
-        F.round(ratio("quote_volume", "volume").cast("decimal(38,10)"), 8).cast(PRICE).alias("weighted_avg_price"),
-        F.lag("close_price").over(prev).alias("prev_close_price"),
-        F.col("close_price").alias("last_price"),
-        "open_price",
-        "high_price",
-        "low_price",
-        F.col("volume").cast(VOLUME).alias("volume"),
-        F.col("quote_volume").cast(VOLUME).alias("quote_volume"),
-        "open_time",
-        (F.col("open_time") + F.lit(window_ms)).alias("close_time"),
-        F.col("trade_count").cast("int").alias("count"),
-        ms_to_ts_ntz(F.col("open_time") + F.lit(window_ms)).alias("extracted_at"),
+    return _bar_aggregates(trades, window_ms).select(
+        _typed(
+            {
+                "symbol": c("symbol"),
+                "price_change": change,
+                "price_change_pct": F.round(pct(change, "open_price").cast("decimal(38,10)"), 3),
+                "weighted_avg_price": F.round(ratio("quote_volume", "volume").cast("decimal(38,10)"), 8),
+                "prev_close_price": F.lag("close_price").over(prev),
+                "last_price": c("close_price"),
+                "open_price": c("open_price"),
+                "high_price": c("high_price"),
+                "low_price": c("low_price"),
+                "volume": c("volume"),
+                "quote_volume": c("quote_volume"),
+                "open_time": c("open_time"),
+                "close_time": c("open_time") + F.lit(window_ms),
+                "count": c("trade_count"),
+                "extracted_at": ms_to_ts_ntz(c("open_time") + F.lit(window_ms)),
+            },
+            RAW_TICKERS,
+        )
     )
-    return out.select([F.col(f.name).cast(f.dataType) for f in RAW_TICKERS.fields])

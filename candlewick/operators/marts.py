@@ -70,21 +70,25 @@ FCT_TRADE_COLUMNS = (
 )
 
 
-def trade_fact_base(stg_trades: DataFrame) -> DataFrame:
+def trade_fact_columns() -> list:
     """Row-local columns of the trade fact (no window)."""
-    return stg_trades.select(
-        "trade_key",
-        "symbol",
-        "trade_id",
-        "traded_at",
+    return [
+        F.col("trade_key"),
+        F.col("symbol"),
+        F.col("trade_id"),
+        F.col("traded_at"),
         trade_date("traded_at").alias("trade_date"),
         trade_hour("traded_at").alias("trade_hour"),
-        "quantity",
-        "quote_qty",
-        "trade_value_usdt",
-        "trade_direction",
+        F.col("quantity"),
+        F.col("quote_qty"),
+        F.col("trade_value_usdt"),
+        F.col("trade_direction"),
         classify.trade_size_category("trade_value_usdt").alias("trade_size_category"),
-    )
+    ]
+
+
+def trade_fact_base(stg_trades: DataFrame) -> DataFrame:
+    return stg_trades.select(trade_fact_columns())
 
 
 def fct_trades(stg_trades: DataFrame) -> DataFrame:
@@ -101,8 +105,8 @@ def fct_trades(stg_trades: DataFrame) -> DataFrame:
     w = Window.partitionBy("symbol").orderBy(F.col("traded_at").asc_nulls_last(), F.col("trade_id").asc_nulls_last())
     recent = F.avg(F.col("trade_value_usdt").cast("double")).over(w.rowsBetween(-(RELATIVE_SIZE_ROWS - 1), 0))
     running = F.sum("trade_value_usdt").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return trade_fact_base(stg_trades).select(
-        "*",
+    return stg_trades.select(
+        *trade_fact_columns(),
         rounded(ratio("trade_value_usdt", recent), 4).alias("relative_size"),
         running.alias("cumulative_volume_usdt"),
     )
@@ -212,7 +216,7 @@ def daily_summary(fct_candles: DataFrame, sort: bool = True) -> DataFrame:
         F.max_by("close_price", "opened_at").alias("daily_close"),
     )
     w = Window.partitionBy("symbol").orderBy(F.col("trade_date").asc_nulls_last())
-    out = daily.select("*", *_trend_columns(w)).select(*DAILY_COLUMNS)
+    out = daily.select(*DAILY_COLUMNS[:-3], *_trend_columns(w))
     return out.orderBy(F.col("trade_date").desc_nulls_first(), F.col("symbol").asc_nulls_last()) if sort else out
 
 
@@ -237,5 +241,5 @@ def daily_summary_candle_grain(fct_candles: DataFrame, sort: bool = True) -> Dat
         F.last("close_price").over(day).alias("daily_close"),
     )
     w = Window.partitionBy("symbol").orderBy(F.col("trade_date").asc_nulls_last(), F.col("opened_at").asc_nulls_last())
-    out = daily.select("*", *_trend_columns(w)).select(*DAILY_COLUMNS).distinct()
+    out = daily.select(*DAILY_COLUMNS[:-3], *_trend_columns(w)).distinct()
     return out.orderBy(F.col("trade_date").desc_nulls_first(), F.col("symbol").asc_nulls_last()) if sort else out

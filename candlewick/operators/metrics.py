@@ -43,11 +43,16 @@ PRICE_METRIC_COLUMNS = (
 )
 
 
-def with_price_rank(df: DataFrame) -> DataFrame:
+def price_rank() -> "F.Column":
     """Rank of each symbol's close within the same candle open time
     (highest close = 1; a NULL close ranks first)."""
     w = Window.partitionBy("opened_at").orderBy(F.col("close_price").desc_nulls_first())
-    return df.withColumn("price_rank", F.rank().over(w))
+    return F.rank().over(w).alias("price_rank")
+
+
+def with_price_rank(df: DataFrame) -> DataFrame:
+    """``df`` in the model's column order with ``price_rank`` added."""
+    return df.select(*[c for c in PRICE_METRIC_COLUMNS if c != "price_rank"], price_rank())
 
 
 def price_metrics(stg_klines: DataFrame) -> DataFrame:
@@ -58,17 +63,14 @@ def price_metrics(stg_klines: DataFrame) -> DataFrame:
     adds a second shuffle on ``opened_at``.
     """
     w = Window.partitionBy("symbol").orderBy(F.col("opened_at").asc_nulls_last())
-    base = stg_klines.select(
+    out = stg_klines.select(
         "kline_id", "symbol", "opened_at", "closed_at", "open_price", "high_price",
         "low_price", "close_price", "volume", "number_of_trades", "candle_direction",
         "price_range",
-    )
-    out = base.select(
-        "*",
         *price_metric_columns(w),
         rounded(pct(F.abs(F.col("close_price") - F.col("open_price")), "price_range"), 4).alias("body_pct_of_range"),
     )
-    return with_price_rank(out).select(*PRICE_METRIC_COLUMNS)
+    return with_price_rank(out)
 
 
 def trade_summary(stg_trades: DataFrame) -> DataFrame:

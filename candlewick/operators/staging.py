@@ -40,18 +40,17 @@ def dedupe_latest(
     was built from (numeric part first).  The window is then partitioned by
     those parts instead of the string, each set to NULL wherever the
     surrogate is NULL, which groups rows identically but lets the sort use
-    the numeric part as its prefix.
+    the numeric part as its prefix (the partition expressions are evaluated
+    in place, no helper columns).
     """
     keys = [key] if isinstance(key, str) else list(key)
     if parts:
         surrogate = F.col(keys[0])
-        part_cols = [F.when(surrogate.isNotNull(), F.col(p)).alias(f"_dk{i}") for i, p in enumerate(parts)]
-        df = df.select("*", *part_cols)
-        keys = [f"_dk{i}" for i in range(len(parts))]
-    w = Window.partitionBy(*keys).orderBy(F.col(newest).desc_nulls_first(), *_tiebreak(tiebreak))
-    out = df.withColumn("row_num", F.row_number().over(w)).where(F.col("row_num") == 1)
-    if parts:
-        out = out.drop(*keys)
+        partition = [F.when(surrogate.isNotNull(), F.col(p)) for p in parts]
+    else:
+        partition = [F.col(k) for k in keys]
+    w = Window.partitionBy(*partition).orderBy(F.col(newest).desc_nulls_first(), *_tiebreak(tiebreak))
+    out = df.select("*", F.row_number().over(w).alias("row_num")).where(F.col("row_num") == 1)
     return out if keep_row_num else out.drop("row_num")
 
 
@@ -129,7 +128,7 @@ def latest_ticker(tickers: DataFrame) -> DataFrame:
     w = Window.partitionBy("symbol").orderBy(
         F.col("extracted_at").desc_nulls_first(), F.col("period_start").desc_nulls_first()
     )
-    return tickers.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return tickers.select("*", F.row_number().over(w).alias("_rn")).where("_rn = 1").drop("_rn")
 
 
 def newest_per_symbol(df: DataFrame, n: int, time_col: str, tiebreak: str | None = None) -> DataFrame:

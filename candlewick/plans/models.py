@@ -28,21 +28,34 @@ from candlewick.sources.tables import read_table
 DEFAULT_AS_OF = _dt.datetime(2024, 2, 1, 0, 0, 0)
 
 
-@dataclass
 class Raw:
-    klines: DataFrame
-    trades: DataFrame
-    tickers: DataFrame
+    """The three raw tables; each is built on first access only."""
+
+    def __init__(self, klines=None, trades=None, tickers=None, *, derive_from_trades: bool = False):
+        self._klines, self._trades, self._tickers = klines, trades, tickers
+        self._derive = derive_from_trades
+
+    @property
+    def trades(self) -> DataFrame:
+        return self._trades
+
+    @property
+    def klines(self) -> DataFrame:
+        if self._klines is None and self._derive:
+            self._klines = bars.candles_from_trades(self._trades)
+        return self._klines
+
+    @property
+    def tickers(self) -> DataFrame:
+        if self._tickers is None and self._derive:
+            self._tickers = bars.tickers_from_trades(self._trades)
+        return self._tickers
 
 
 def standin_raw(spark: SparkSession, sf_dir: str) -> Raw:
     """Raw market tables derived from the driver's ``events`` table."""
     trades = trades_from_events(read_table(spark, sf_dir, "events"))
-    return Raw(
-        klines=bars.candles_from_trades(trades),
-        trades=trades,
-        tickers=bars.tickers_from_trades(trades),
-    )
+    return Raw(trades=trades, derive_from_trades=True)
 
 
 def tape_trades(spark: SparkSession, sf_dir: str) -> DataFrame:

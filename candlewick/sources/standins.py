@@ -18,28 +18,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.temporal import ts_to_ms
-from candlewick.schemas import PRICE, RAW_TRADES, VOLUME
+from candlewick.schemas import PRICE, RAW_TRADES
 
 
-def _typed(df: DataFrame, schema) -> DataFrame:
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def _typed(cols: dict, schema) -> list:
+    """Expressions of ``cols`` cast to the schema's types, in schema order."""
+    return [cols[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
 
 
 def trades_from_events(events: DataFrame) -> DataFrame:
     price = F.col("value").cast(PRICE)
     qty = F.get_json_object("props", "$.k").cast(PRICE)
-    return _typed(
-        events.select(
-            F.concat(F.upper("event_type"), F.lit("USDT")).alias("symbol"),
-            F.col("event_id").alias("trade_id"),
-            price.alias("price"),
-            qty.alias("quantity"),
-            (price * qty).cast(VOLUME).alias("quote_qty"),
-            ts_to_ms("ts").alias("trade_time"),
-            ((F.col("user_id") % 2) == 0).alias("is_buyer_maker"),
-            F.col("ts").cast("timestamp_ntz").alias("extracted_at"),
-        ),
-        RAW_TRADES,
+    return events.select(
+        _typed(
+            {
+                "symbol": F.concat(F.upper("event_type"), F.lit("USDT")),
+                "trade_id": F.col("event_id"),
+                "price": price,
+                "quantity": qty,
+                "quote_qty": price * qty,
+                "trade_time": ts_to_ms("ts"),
+                "is_buyer_maker": (F.col("user_id") % 2) == 0,
+                "extracted_at": F.col("ts"),
+            },
+            RAW_TRADES,
+        )
     )
 
 
@@ -47,16 +50,18 @@ def trades_from_lineitem(lineitem: DataFrame) -> DataFrame:
     price = F.col("l_extendedprice").cast(PRICE)
     qty = F.col("l_quantity").cast(PRICE)
     shipped = F.col("l_shipdate").cast("timestamp_ntz")
-    return _typed(
-        lineitem.select(
-            F.concat("l_returnflag", "l_linestatus", F.lit("USDT")).alias("symbol"),
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trade_id"),
-            price.alias("price"),
-            qty.alias("quantity"),
-            (price * qty).cast(VOLUME).alias("quote_qty"),
-            ts_to_ms(shipped).alias("trade_time"),
-            ((F.col("l_partkey") % 2) == 0).alias("is_buyer_maker"),
-            F.timestamp_add("SECOND", F.col("l_partkey") % 86400, shipped).alias("extracted_at"),
-        ),
-        RAW_TRADES,
+    return lineitem.select(
+        _typed(
+            {
+                "symbol": F.concat("l_returnflag", "l_linestatus", F.lit("USDT")),
+                "trade_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+                "price": price,
+                "quantity": qty,
+                "quote_qty": price * qty,
+                "trade_time": ts_to_ms(shipped),
+                "is_buyer_maker": (F.col("l_partkey") % 2) == 0,
+                "extracted_at": F.timestamp_add("SECOND", F.col("l_partkey") % 86400, shipped),
+            },
+            RAW_TRADES,
+        )
     )

@@ -7,7 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from candlewick.session import pin_conf
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """``{base_dir}/{name}.parquet``; column pruning and filters reach the scan."""
+    """``{base_dir}/{name}.parquet``; column pruning and filters reach the scan.
+
+    The footer-derived schema of a path is remembered for the process, so
+    later reads skip Spark's schema-discovery job (the test tables are
+    read-only; a rewritten table needs a new process or path).
+    """
     pin_conf(spark)
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    path = f"{base_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
