@@ -91,17 +91,35 @@ def trade_fact_base(stg_trades: DataFrame) -> DataFrame:
     return stg_trades.select(trade_fact_columns())
 
 
-def fct_trades(stg_trades: DataFrame) -> DataFrame:
+def fct_trades(
+    stg_trades: DataFrame,
+    method: str = "blocked",
+    block_rows: int | None = None,
+    bucket_ms: int | None = None,
+) -> DataFrame:
     """Trades with size class, size relative to the last ten trades of the
     symbol, and the symbol's running traded value.
 
+    Trades are ordered by ``(traded_at, trade_id)``: several trades can share
+    a millisecond, and the id makes the row frames deterministic.
+
+    ``method="blocked"`` (default) splits each symbol's history into blocks
+    of ``block_rows`` rows (``operators.scaled``), so no task holds a whole
+    symbol; ``method="plain"`` runs one window partition per symbol, which is
+    simpler and fine while a symbol's history fits one task.  Both give the
+    same rows and values.
+
     The trailing average feeds a double ratio, so it is averaged in double:
     a ``decimal(37,16)`` average would cost ten BigDecimal additions and a
-    division per trade.  Trades are ordered by ``(traded_at, trade_id)``: several trades can share
-    a millisecond, and the id makes the row frames deterministic.  This plain
-    form runs one window partition per symbol; ``operators.scaled`` gives the
-    same result with the history split into balanced blocks.
+    division per trade.
     """
+    if method == "blocked":
+        from candlewick.operators import scaled
+
+        kwargs = {k: v for k, v in (("block_rows", block_rows), ("bucket_ms", bucket_ms)) if v is not None}
+        return scaled.fct_trades_scaled(stg_trades, **kwargs)
+    if method != "plain":
+        raise ValueError(f"unknown method {method!r}")
     w = Window.partitionBy("symbol").orderBy(F.col("traded_at").asc_nulls_last(), F.col("trade_id").asc_nulls_last())
     recent = F.avg(F.col("trade_value_usdt").cast("double")).over(w.rowsBetween(-(RELATIVE_SIZE_ROWS - 1), 0))
     running = F.sum("trade_value_usdt").over(w.rowsBetween(Window.unboundedPreceding, 0))

@@ -6,9 +6,9 @@ Counting follows the usual schema-test conventions:
 * ``unique``: distinct non-NULL values that occur more than once;
 * ``accepted_values``: distinct non-NULL values outside the list.
 
-All ``not_null`` and ``accepted_values`` tests of one model run in a single
-aggregation pass; each ``unique`` test is one grouped count (partial
-aggregation first, so a hot value costs one row per map task).
+All tests of one model run in a single pass with one shuffle (a grouped
+count of stacked column values, partially aggregated first, so a hot value
+costs one row per map task).
 """
 
 from __future__ import annotations
@@ -42,37 +42,45 @@ def accepted_values(c: str, values: Sequence[str]) -> Rule:
     return Rule("accepted_values", c, tuple(values))
 
 
-def _result(model: str, rule: Rule, failures) -> list:
-    return [F.lit(model).alias("model"), F.lit(rule.column).alias("column_name"),
-            F.lit(rule.test).alias("test"), failures.cast("long").alias("failures")]
-
-
 def check(df: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: (model, column_name, test, failures)."""
-    parts: list[DataFrame] = []
-    row_rules = [r for r in rules if r.test in ("not_null", "accepted_values")]
-    if row_rules:
-        aggs = []
-        for i, r in enumerate(row_rules):
-            c = F.col(r.column)
-            if r.test == "not_null":
-                aggs.append(F.count_if(c.isNull()).alias(f"f{i}"))
-            else:
-                bad = c.isNotNull() & ~c.isin(*r.values)
-                aggs.append(F.count_distinct(F.when(bad, c)).alias(f"f{i}"))
-        one = df.agg(*aggs)
-        parts.extend(one.select(*_result(model, r, F.col(f"f{i}"))) for i, r in enumerate(row_rules))
+    """One row per rule: (model, column_name, test, failures).
+
+    All rules of a model run in one pass over it: the checked columns are
+    stacked into ``(column, value)`` pairs and counted per distinct pair
+    (map-side combined), and every rule's failures are read off that small
+    count table.  A column that only has ``not_null`` contributes a
+    null/not-null flag instead of its value, so it collapses to two groups.
+    """
+    by_column: dict[str, list[Rule]] = {}
     for r in rules:
-        if r.test == "unique":
-            dup = (
-                df.where(F.col(r.column).isNotNull())
-                .groupBy(r.column)
-                .count()
-                .where(F.col("count") > 1)
-                .agg(F.count(F.lit(1)).alias("n"))
-            )
-            parts.append(dup.select(*_result(model, r, F.col("n"))))
-    return functools.reduce(DataFrame.unionByName, parts)
+        by_column.setdefault(r.column, []).append(r)
+    entries = []
+    for col, rs in by_column.items():
+        if any(r.test in ("unique", "accepted_values") for r in rs):
+            value = F.col(col).cast("string")
+        else:
+            value = F.when(F.col(col).isNotNull(), F.lit(""))
+        entries.append(F.struct(F.lit(col).alias("c"), value.alias("v")))
+    counts = (
+        df.select(F.inline(F.array(*entries)))
+        .groupBy("c", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    aggs = []
+    for i, r in enumerate(rules):
+        mine = F.col("c") == r.column
+        if r.test == "not_null":
+            failures = F.coalesce(F.sum(F.when(mine & F.col("v").isNull(), F.col("n"))), F.lit(0))
+        elif r.test == "unique":
+            failures = F.count_if(mine & F.col("v").isNotNull() & (F.col("n") > 1))
+        else:
+            failures = F.count_if(mine & F.col("v").isNotNull() & ~F.col("v").isin(*r.values))
+        aggs.append(failures.cast("long").alias(f"f{i}"))
+    one = counts.agg(*aggs)
+    stacked = ", ".join(
+        f"'{model}', '{r.column}', '{r.test}', f{i}" for i, r in enumerate(rules)
+    )
+    return one.selectExpr(f"stack({len(rules)}, {stacked}) as ({', '.join(RESULT_COLUMNS)})")
 
 
 def declared_suite(models: dict[str, DataFrame], symbols: Sequence[str]) -> DataFrame:

@@ -48,7 +48,8 @@ def _dedupe_latest(spark, sf_dir):
 
 
 def _fct_trades_tape(spark, sf_dir):
-    return marts.fct_trades(staging.stg_trades(tape_trades(spark, sf_dir)))
+    """The tape's trade fact with one window partition per symbol."""
+    return marts.fct_trades(staging.stg_trades(tape_trades(spark, sf_dir)), method="plain")
 
 
 def _fct_trades_tape_scaled(spark, sf_dir):

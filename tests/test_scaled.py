@@ -18,14 +18,14 @@ def _same(a, b):
 
 def test_trade_fact_blocks_equal_plain(spark):
     stg = standin_models(spark, SF_SMALL).stg_trades
-    plain = marts.fct_trades(stg)
+    plain = marts.fct_trades(stg, method="plain")
     for block_rows, bucket_ms in ((9, 3_600_000), (37, 60_000), (1000, 86_400_000)):
         assert _same(plain, scaled.fct_trades_scaled(stg, block_rows=block_rows, bucket_ms=bucket_ms))
 
 
 def test_trade_fact_blocks_equal_plain_on_tied_tape(spark):
     stg = staging.stg_trades(tape_trades(spark, SF_SMALL))
-    assert _same(marts.fct_trades(stg), scaled.fct_trades_scaled(stg, block_rows=50))
+    assert _same(marts.fct_trades(stg, method="plain"), scaled.fct_trades_scaled(stg, block_rows=50))
 
 
 def test_price_metrics_blocks_equal_plain(spark):
@@ -40,4 +40,4 @@ def test_nulls_sort_last_and_null_values_skip(spark):
     rows = [("AUSDT", i, None if i % 4 == 0 else Decimal(i), Decimal("1"), None, i * 1000 if i != 5 else None, False, t0)
             for i in range(1, 30)]
     stg = staging.stg_trades(spark.createDataFrame(rows, RAW_TRADES))
-    assert _same(marts.fct_trades(stg), scaled.fct_trades_scaled(stg, block_rows=10, bucket_ms=3000))
+    assert _same(marts.fct_trades(stg, method="plain"), scaled.fct_trades_scaled(stg, block_rows=10, bucket_ms=3000))
