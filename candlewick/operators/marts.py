@@ -95,7 +95,7 @@ def fct_trades(
     stg_trades: DataFrame,
     method: str = "blocked",
     block_rows: int | None = None,
-    bucket_ms: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Trades with size class, size relative to the last ten trades of the
     symbol, and the symbol's running traded value.
@@ -116,7 +116,7 @@ def fct_trades(
     if method == "blocked":
         from candlewick.operators import scaled
 
-        kwargs = {k: v for k, v in (("block_rows", block_rows), ("bucket_ms", bucket_ms)) if v is not None}
+        kwargs = {k: v for k, v in (("block_rows", block_rows), ("partitions", partitions)) if v is not None}
         return scaled.fct_trades_scaled(stg_trades, **kwargs)
     if method != "plain":
         raise ValueError(f"unknown method {method!r}")

@@ -6,27 +6,34 @@ that caps parallelism at the number of symbols, and a symbol holding a third
 of the data becomes a third of the job in a single task.  Adaptive execution
 does not split a window partition.
 
-Here the history is cut into blocks of a fixed number of rows instead:
-
-1. **Position.**  Every row gets its exact 0-based position in its series in
-   two levels: rows are counted per (series, time bucket) with a grouped
-   aggregate (map-side combined), a running total over that small bucket
-   table gives each bucket's offset, and a ``row_number`` inside the bucket
-   adds the local position.  Running sums (``cumulative_volume_usdt``) are
-   built the same way: bucket totals, offset prefix, in-bucket running sum.
+Here each series is cut into blocks of a fixed number of rows instead:
+
+1. **Position.**  The rows are range-partitioned and sorted on
+   ``(series, order)``.  Range boundaries come from a sample of the keys, and
+   the key is unique, so even a single hot series (or a single hot hour of
+   it) is spread evenly over tasks.  Within a partition the rows of a series
+   are contiguous; ``monotonically_increasing_id`` numbers them in order.
+   The tagged rows are written once to the shared checkpoint folder; a
+   small table (one row per partition and series) with a running count per
+   series then turns the tags into the row's exact 0-based position.
 2. **Blocks with a halo.**  ``block = position div block_rows``.  A row whose
    position is among the last ``halo`` of its block is also copied into the
    next block, flagged.  A trailing frame of up to ``halo`` preceding rows
    then finds all its rows inside (series, block); flagged copies are
    dropped after the window.  Results are exact for row frames.
+3. **Running totals** (``cumulative_volume_usdt``) are the sum of all
+   earlier blocks (a running total over per-block sums, one row per block)
+   plus the running sum inside the block, in exact decimal.
 
-Work per task is bounded by ``block_rows`` (plus ``halo``), and by the rows
-of one (series, bucket) for the in-bucket numbering; the bucket width is a
-parameter (one hour by default).
+Two full shuffles (the range sort and the block window) and one write of
+the tagged rows, each with tasks of bounded size; the helper tables have one
+row per partition or per block.
 """
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,7 +41,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions.numeric import pct, ratio, rounded
-from candlewick.operators.marts import FCT_TRADE_COLUMNS, RELATIVE_SIZE_ROWS, trade_fact_base
+from candlewick.operators.marts import FCT_TRADE_COLUMNS, RELATIVE_SIZE_ROWS, trade_fact_columns
+from candlewick.session import checkpoint_dir
 from candlewick.operators.metrics import (
     MA_SLOW,
     PRICE_METRIC_COLUMNS,
@@ -42,72 +50,65 @@ from candlewick.operators.metrics import (
     with_price_rank,
 )
 
-HOUR_MS = 3_600_000
 DEFAULT_BLOCK_ROWS = 50_000
-_LAST = 9_223_372_036_854_775_807  # bucket of rows without a time (sorted last)
 
 
-def _bucket(ts: str, bucket_ms: int) -> Column:
-    ms = F.unix_millis(F.col(ts))
-    return F.coalesce(F.floor(ms / F.lit(bucket_ms)).cast("long"), F.lit(_LAST))
+def written_table(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and read it back.
+
+    The partition ordinals above are only meaningful for one computation of
+    the range shuffle (its boundaries come from a sample of rows whose
+    arrival order is not fixed), so both consumers of the tagged rows (the
+    per-partition counts and the rows themselves) must read the same
+    written copy.  Writing it also cuts the lineage: a lost executor
+    re-reads the table instead of recomputing the upstream stages.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+_ID_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
 
 
 def positioned(
     df: DataFrame,
     series: Sequence[str],
     order: Sequence[str],
-    time_col: str,
-    bucket_ms: int = HOUR_MS,
-    running: dict[str, str] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``_pos`` (0-based row position within ``series`` in ``order``,
-    NULLs last) and, for each ``{out: col}`` in ``running``, the running sum
-    of ``col`` over the series up to and including the row."""
-    running = running or {}
+    """Add ``_pos``: the 0-based position of each row within its ``series``
+    in ``order`` (ascending, NULLs last), without a per-series task."""
     series = list(series)
-    keys = [*series, "_bkt"]
-    ordering = [F.col(c).asc_nulls_last() for c in order]
-    df = df.withColumn("_bkt", _bucket(time_col, bucket_ms))
-
-    w_in = Window.partitionBy(*keys).orderBy(*ordering)
-    w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.select(
-        "*",
-        (F.row_number().over(w_in) - 1).alias("_local"),
-        *[F.sum(col).over(w_run).alias(f"_run_{out}") for out, col in running.items()],
+    keys = [F.col(c).asc_nulls_last() for c in [*series, *order]]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pid = F.spark_partition_id().cast("long")
+    tagged = written_table(
+        df.repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
+        .select(
+            "*",
+            pid.alias("_pid"),
+            (F.monotonically_increasing_id() - F.shiftleft(pid, _ID_BITS)).alias("_local"),
+        ),
+        "positions",
     )
-
-    totals = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(col).alias(f"_tot_{out}") for out, col in running.items()],
+    stats = tagged.groupBy("_pid", *series).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first")
     )
-    w_b = Window.partitionBy(*series).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys,
-        F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"),
-        *[F.sum(f"_tot_{out}").over(w_b).alias(f"_off_{out}") for out in running],
+    before = Window.partitionBy(*series).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = stats.select(
+        F.col("_pid").alias("_spid"),
+        *[F.col(c).alias(f"_s_{c}") for c in series],
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+    )
+    cond = (tagged["_pid"] == shifts["_spid"]) & functools.reduce(
+        lambda a, b: a & b, [tagged[c].eqNullSafe(shifts[f"_s_{c}"]) for c in series]
+    )
+    joined = tagged.join(shifts, cond, "inner")
+    return joined.select(
+        *[c for c in df.columns],
+        (F.col("_local") + F.col("_shift")).alias("_pos"),
     )
-
-    out = local.join(offsets, keys, "inner").withColumn("_pos", F.col("_off") + F.col("_local"))
-    for name, col in running.items():
-        before, within = F.col(f"_off_{name}"), F.col(f"_run_{name}")
-        dtype = df.schema[col].dataType
-        if isinstance(dtype, T.DecimalType):
-            # sum(decimal(p,s)) is decimal(p+10,s); adding two of those would
-            # widen past 38 digits and drop a digit of scale, so both sides are
-            # narrowed by one integer digit first (ANSI raises on overflow).
-            total_type = T.DecimalType(min(dtype.precision + 10, 38), dtype.scale)
-            operand = T.DecimalType(total_type.precision - 1, dtype.scale)
-            before, within = before.cast(operand), within.cast(operand)
-        else:
-            total_type = None
-        zero = F.lit(0)
-        total = F.when(before.isNull() & within.isNull(), F.lit(None)).otherwise(
-            F.coalesce(before, zero) + F.coalesce(within, zero)
-        )
-        out = out.withColumn(name, total.cast(total_type) if total_type is not None else total)
-    drop = ["_bkt", "_local", "_off", *[f"_run_{n}" for n in running], *[f"_off_{n}" for n in running]]
-    return out.drop(*drop)
 
 
 def with_halo(df: DataFrame, block_rows: int, halo: int) -> DataFrame:
@@ -118,37 +119,68 @@ def with_halo(df: DataFrame, block_rows: int, halo: int) -> DataFrame:
     blk = F.floor(F.col("_pos") / F.lit(block_rows)).cast("long")
     in_tail = (F.col("_pos") % F.lit(block_rows)) >= F.lit(block_rows - halo)
     shifts = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (
-        df.withColumn("_shift", F.explode(shifts))
-        .withColumn("_blk", blk + F.col("_shift"))
-        .withColumn("_halo", F.col("_shift") == 1)
-        .drop("_shift")
+    exploded = df.select("*", F.explode(shifts).alias("_shift"))
+    return exploded.select(
+        *df.columns, (blk + F.col("_shift")).alias("_blk"), (F.col("_shift") == 1).alias("_halo")
+    )
+
+
+def _exact_add(before: Column, within: Column, dtype: T.DataType) -> Column:
+    """``before + within`` for running sums, NULL only when both are NULL.
+
+    ``sum(decimal(p,s))`` is ``decimal(p+10,s)``; adding two of those would
+    widen past 38 digits and drop a digit of scale, so both sides are
+    narrowed by one integer digit first (ANSI raises on overflow).
+    """
+    if isinstance(dtype, T.DecimalType):
+        total = T.DecimalType(min(dtype.precision + 10, 38), dtype.scale)
+        operand = T.DecimalType(total.precision - 1, dtype.scale)
+        before, within = before.cast(operand), within.cast(operand)
+    else:
+        total = None
+    zero = F.lit(0)
+    out = F.when(before.isNull() & within.isNull(), F.lit(None)).otherwise(
+        F.coalesce(before, zero) + F.coalesce(within, zero)
     )
+    return out.cast(total) if total is not None else out
 
 
 def fct_trades_scaled(
-    stg_trades: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS, bucket_ms: int = HOUR_MS
+    stg_trades: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS, partitions: int | None = None
 ) -> DataFrame:
     """``marts.fct_trades`` computed in balanced blocks (same rows, same values)."""
-    base = trade_fact_base(stg_trades)
-    pos = positioned(
-        base,
-        series=["symbol"],
-        order=["traded_at", "trade_id"],
-        time_col="traded_at",
-        bucket_ms=bucket_ms,
-        running={"cumulative_volume_usdt": "trade_value_usdt"},
-    )
+    base = stg_trades.select(trade_fact_columns())
+    pos = positioned(base, ["symbol"], ["traded_at", "trade_id"], partitions)
     halo = RELATIVE_SIZE_ROWS - 1
     blocked = with_halo(pos, block_rows, halo)
-    w = Window.partitionBy("symbol", "_blk").orderBy("_pos").rowsBetween(-halo, Window.currentRow)
-    recent = F.avg(F.col("trade_value_usdt").cast("double")).over(w)
-    out = blocked.select("*", rounded(ratio("trade_value_usdt", recent), 4).alias("relative_size"))
-    return out.where(~F.col("_halo")).select(*FCT_TRADE_COLUMNS)
+
+    w = Window.partitionBy("symbol", "_blk").orderBy("_pos")
+    recent = F.avg(F.col("trade_value_usdt").cast("double")).over(w.rowsBetween(-halo, Window.currentRow))
+    own = F.when(~F.col("_halo"), F.col("trade_value_usdt"))
+    in_block = F.sum(own).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    windowed = blocked.select(
+        "*",
+        rounded(ratio("trade_value_usdt", recent), 4).alias("relative_size"),
+        in_block.alias("_inrun"),
+    ).where(~F.col("_halo"))
+
+    totals = pos.groupBy("symbol", F.floor(F.col("_pos") / F.lit(block_rows)).cast("long").alias("_tblk")).agg(
+        F.sum("trade_value_usdt").alias("_btot")
+    )
+    earlier = Window.partitionBy("symbol").orderBy("_tblk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col("symbol").alias("_osym"), "_tblk", F.sum("_btot").over(earlier).alias("_boff")
+    )
+    cond = windowed["symbol"].eqNullSafe(offsets["_osym"]) & (windowed["_blk"] == offsets["_tblk"])
+    dtype = base.schema["trade_value_usdt"].dataType
+    return windowed.join(offsets, cond, "inner").select(
+        *[c for c in FCT_TRADE_COLUMNS if c != "cumulative_volume_usdt"],
+        _exact_add(F.col("_boff"), F.col("_inrun"), dtype).alias("cumulative_volume_usdt"),
+    )
 
 
 def price_metrics_scaled(
-    stg_klines: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS, bucket_ms: int = 24 * HOUR_MS
+    stg_klines: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS, partitions: int | None = None
 ) -> DataFrame:
     """``metrics.price_metrics`` computed in balanced blocks per symbol."""
     base = stg_klines.select(
@@ -156,7 +188,7 @@ def price_metrics_scaled(
         "low_price", "close_price", "volume", "number_of_trades", "candle_direction",
         "price_range",
     )
-    pos = positioned(base, series=["symbol"], order=["opened_at"], time_col="opened_at", bucket_ms=bucket_ms)
+    pos = positioned(base, ["symbol"], ["opened_at"], partitions)
     halo = MA_SLOW - 1
     blocked = with_halo(pos, block_rows, halo)
     w = Window.partitionBy("symbol", "_blk").orderBy("_pos")
@@ -165,4 +197,4 @@ def price_metrics_scaled(
         *price_metric_columns(w),
         rounded(pct(F.abs(F.col("close_price") - F.col("open_price")), "price_range"), 4).alias("body_pct_of_range"),
     ).where(~F.col("_halo"))
-    return with_price_rank(out).select(*PRICE_METRIC_COLUMNS)
+    return with_price_rank(out)

@@ -19,8 +19,8 @@ def _same(a, b):
 def test_trade_fact_blocks_equal_plain(spark):
     stg = standin_models(spark, SF_SMALL).stg_trades
     plain = marts.fct_trades(stg, method="plain")
-    for block_rows, bucket_ms in ((9, 3_600_000), (37, 60_000), (1000, 86_400_000)):
-        assert _same(plain, scaled.fct_trades_scaled(stg, block_rows=block_rows, bucket_ms=bucket_ms))
+    for block_rows, partitions in ((9, 3), (37, 16), (1000, 1)):
+        assert _same(plain, scaled.fct_trades_scaled(stg, block_rows=block_rows, partitions=partitions))
 
 
 def test_trade_fact_blocks_equal_plain_on_tied_tape(spark):
@@ -32,7 +32,17 @@ def test_price_metrics_blocks_equal_plain(spark):
     stg = standin_models(spark, SF_SMALL).stg_klines
     plain = metrics.price_metrics(stg)
     for block_rows in (29, 64):
-        assert _same(plain, scaled.price_metrics_scaled(stg, block_rows=block_rows, bucket_ms=3 * 3_600_000))
+        assert _same(plain, scaled.price_metrics_scaled(stg, block_rows=block_rows, partitions=5))
+
+
+def test_positions_are_exact_under_a_hot_symbol(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("HOTUSDT", i, Decimal(i % 7 + 1), Decimal("1"), None, 1000, False, t0) for i in range(300)]
+    rows += [("COLDUSDT", i, Decimal("2"), Decimal("1"), None, 1000 + i, True, t0) for i in range(5)]
+    df = spark.createDataFrame(rows, RAW_TRADES)
+    pos = scaled.positioned(df, ["symbol"], ["trade_time", "trade_id"], partitions=8)
+    got = {(r.symbol, r.trade_id): r._pos for r in pos.collect()}
+    assert got == {**{("HOTUSDT", i): i for i in range(300)}, **{("COLDUSDT", i): i for i in range(5)}}
 
 
 def test_nulls_sort_last_and_null_values_skip(spark):
@@ -40,4 +50,4 @@ def test_nulls_sort_last_and_null_values_skip(spark):
     rows = [("AUSDT", i, None if i % 4 == 0 else Decimal(i), Decimal("1"), None, i * 1000 if i != 5 else None, False, t0)
             for i in range(1, 30)]
     stg = staging.stg_trades(spark.createDataFrame(rows, RAW_TRADES))
-    assert _same(marts.fct_trades(stg, method="plain"), scaled.fct_trades_scaled(stg, block_rows=10, bucket_ms=3000))
+    assert _same(marts.fct_trades(stg, method="plain"), scaled.fct_trades_scaled(stg, block_rows=10, partitions=4))
