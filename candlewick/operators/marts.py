@@ -221,20 +221,28 @@ def _trend_columns(w: Window) -> list:
     ]
 
 
-def daily_summary(fct_candles: DataFrame, sort: bool = True) -> DataFrame:
-    """One row per (trade_date, symbol): the documented daily grain.
-
-    Open and close are the first open and last close of the day
-    (``min_by`` / ``max_by`` on ``opened_at``), so the day is one aggregation
-    with map-side combine; the trend columns then run per symbol over days.
-    """
-    daily = fct_candles.groupBy("trade_date", "symbol").agg(
+def daily_aggregates(fct_candles: DataFrame) -> DataFrame:
+    """Per (trade_date, symbol) aggregates of the day's candles, without the
+    trend columns.  Open and close are the first open and last close of the
+    day (``min_by`` / ``max_by`` on ``opened_at``): one aggregation with
+    map-side combine."""
+    return fct_candles.groupBy("trade_date", "symbol").agg(
         *_daily_aggregates(),
         F.min_by("open_price", "opened_at").alias("daily_open"),
         F.max_by("close_price", "opened_at").alias("daily_close"),
     )
+
+
+def with_daily_trends(daily: DataFrame) -> DataFrame:
+    """Add return, 7-row rolling average and volume change per symbol over
+    days (one row per day, so the window partitions are small)."""
     w = Window.partitionBy("symbol").orderBy(F.col("trade_date").asc_nulls_last())
-    out = daily.select(*DAILY_COLUMNS[:-3], *_trend_columns(w))
+    return daily.select(*DAILY_COLUMNS[:-3], *_trend_columns(w))
+
+
+def daily_summary(fct_candles: DataFrame, sort: bool = True) -> DataFrame:
+    """One row per (trade_date, symbol): the documented daily grain."""
+    out = with_daily_trends(daily_aggregates(fct_candles))
     return out.orderBy(F.col("trade_date").desc_nulls_first(), F.col("symbol").asc_nulls_last()) if sort else out
 
 

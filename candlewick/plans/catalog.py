@@ -93,6 +93,26 @@ def _api_klines(spark, sf_dir):
     return staging.newest_per_symbol(stg, REQUEST_LIMIT, "opened_at")
 
 
+REFRESH_SINCE = "2024-01-20 00:00:00"  # first day an incremental refresh rewrites
+
+
+def _fct_candles_incremental(spark, sf_dir):
+    """Candle-fact rows an incremental refresh from REFRESH_SINCE writes:
+    computed from those days plus 29 earlier candles per symbol."""
+    from candlewick.plans.incremental import candles_since
+
+    return candles_since(standin_models(spark, sf_dir).stg_klines, REFRESH_SINCE)
+
+
+def _daily_summary_incremental(spark, sf_dir):
+    """Daily rows from REFRESH_SINCE on, with the trend windows fed by the
+    newest earlier days of the existing daily table."""
+    from candlewick.plans.incremental import daily_since
+
+    m = standin_models(spark, sf_dir)
+    return daily_since(m.fct_candles, marts.daily_summary(m.fct_candles, sort=False), REFRESH_SINCE)
+
+
 TAPE_ORDER = ("extracted_at", "price", "quantity", "quote_qty", "trade_time", "is_buyer_maker")
 
 
@@ -156,6 +176,8 @@ QUERIES: dict[str, Query] = {
     "dim_symbols": _model("dim_symbols"),
     "daily_summary": _model("daily_summary"),
     "daily_summary_candle_grain": _model("daily_summary_candle_grain"),
+    "fct_candles_incremental": _fct_candles_incremental,
+    "daily_summary_incremental": _daily_summary_incremental,
     "quality_checks": _quality_checks,
     "panel_data_freshness": _panel(lambda m: panels.data_freshness(m.raw.klines, m.raw.trades, m.raw.tickers)),
     "panel_rolling_trend": _panel(lambda m: panels.rolling_trend(_daily(m))),

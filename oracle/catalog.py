@@ -7,7 +7,7 @@ rounded (10000486632.2 came out as 10000486632.199999), text parsing is.
 
 from __future__ import annotations
 
-from oracle.duckdb_sql import PANELS, model, panel_sql, quality_sql
+from oracle.duckdb_sql import PANELS, model, panel_sql, quality_sql, statement
 
 # Decimal-typed output columns of each query (exact values on both sides).
 DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -36,6 +36,8 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     'dim_symbols': ('current_price', 'price_change', 'price_change_pct', 'daily_high', 'daily_low', 'daily_volume', 'daily_quote_volume', 'historical_low', 'historical_high'),
     'daily_summary': ('daily_low', 'daily_high', 'daily_open', 'daily_close', 'daily_volume'),
     'daily_summary_candle_grain': ('daily_low', 'daily_high', 'daily_open', 'daily_close', 'daily_volume'),
+    'fct_candles_incremental': ('open_price', 'high_price', 'low_price', 'close_price', 'volume', 'price_range', 'prev_close_price'),
+    'daily_summary_incremental': ('daily_low', 'daily_high', 'daily_open', 'daily_close', 'daily_volume'),
     'quality_checks': (),
     'panel_data_freshness': (),
     'panel_rolling_trend': (),
@@ -83,6 +85,10 @@ _SQL: dict[str, str] = {
     "price_metrics_scaled": model("price_metrics"),
     "fct_trades_scaled": model("fct_trades"),
     "fct_trades_tape_scaled": model("tape_fct"),
+    "fct_candles_incremental": statement(
+        "select * from fct_candles where opened_at >= timestamp '2024-01-20 00:00:00'", "fct_candles"),
+    "daily_summary_incremental": statement(
+        "select * from daily_summary where trade_date >= date '2024-01-20'", "daily_summary"),
     "quality_checks": quality_sql(),
     **{name: panel_sql(name) for name in PANELS},
 }
