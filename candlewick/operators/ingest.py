@@ -85,7 +85,9 @@ def new_rows(
     on = list(keys)
     existing = table.select(*keys, *([partition_col] if partition_col else []))
     if partition_col:
-        touched = fresh.select(partition_col).where(F.col(partition_col).isNotNull()).distinct()
+        # duplicates share their key, hence their partition value: read the
+        # touched values off the raw batch, not the de-duplicated one
+        touched = batch.select(partition_col).where(F.col(partition_col).isNotNull()).distinct()
         existing = existing.join(touched, partition_col, "left_semi")
         on = [*keys, partition_col]
     return fresh.join(existing, on, "left_anti")
