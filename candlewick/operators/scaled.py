@@ -33,7 +33,6 @@ row per partition or per block.
 from __future__ import annotations
 
 import functools
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,7 +41,7 @@ from pyspark.sql import types as T
 
 from candlewick.functions.numeric import pct, ratio, rounded
 from candlewick.operators.marts import FCT_TRADE_COLUMNS, RELATIVE_SIZE_ROWS, trade_fact_columns
-from candlewick.session import checkpoint_dir
+from candlewick.session import scratch_path
 from candlewick.operators.metrics import (
     MA_SLOW,
     PRICE_METRIC_COLUMNS,
@@ -64,7 +63,7 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
     re-reads the table instead of recomputing the upstream stages.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)  # deleted by session.release_scratch
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 _ID_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators import marts, metrics, staging
 from candlewick.plans.models import DEFAULT_AS_OF, Models, Raw
+from candlewick.session import release_scratch
 
 MART_PARTITIONS = {
     "fct_candles": ("trade_date",),
@@ -83,4 +84,5 @@ def build(spark: SparkSession, raw: Raw, out_dir: str, as_of: _dt.datetime | Non
     put("daily_summary", marts.daily_summary(fc, sort=False), MART_PARTITIONS["daily_summary"])
     put("daily_summary_candle_grain", marts.daily_summary_candle_grain(fc, sort=False),
         MART_PARTITIONS["daily_summary_candle_grain"])
+    release_scratch(spark)  # intermediate tables of the blocked windows
     return paths

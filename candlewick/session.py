@@ -35,13 +35,18 @@ def pin_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a fresh scratch folder is created and registered.
+    A cluster names it in ``spark.checkpoint.dir`` (a folder every executor
+    can reach).  Only a ``local[...]`` session (tests, benches) without that
+    setting gets a fresh scratch folder; on a cluster a missing setting is an
+    error, never a machine-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="candlewick-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -80,3 +85,32 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return pin_conf(spark)
+
+
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder under the shared checkpoint folder, remembered so that
+    ``release_scratch`` can delete it once the job that reads it is done."""
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables written so far (through the Hadoop
+    FileSystem of each path).  Call it after the results that read them
+    have been written or collected."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            removed += 1
+    return removed

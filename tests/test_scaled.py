@@ -51,3 +51,12 @@ def test_nulls_sort_last_and_null_values_skip(spark):
             for i in range(1, 30)]
     stg = staging.stg_trades(spark.createDataFrame(rows, RAW_TRADES))
     assert _same(marts.fct_trades(stg, method="plain"), scaled.fct_trades_scaled(stg, block_rows=10, partitions=4))
+
+
+def test_scratch_tables_are_released(spark):
+    from candlewick.session import _SCRATCH, release_scratch
+
+    stg = standin_models(spark, SF_SMALL).stg_trades
+    scaled.fct_trades_scaled(stg, block_rows=100).count()
+    assert _SCRATCH
+    assert release_scratch(spark) >= 1 and not _SCRATCH
