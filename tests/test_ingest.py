@@ -82,3 +82,12 @@ def test_landing_round_trip_keeps_arrival_order(spark, scratch):
 def test_empty_batch_is_a_no_op(spark, scratch):
     ingest.append_idempotent(spark, spark.createDataFrame([], RAW_KLINES), scratch, "klines")
     assert ingest.read_raw_table(spark, scratch, "klines").count() == 0
+
+
+def test_bad_decimal_in_landing_fails_not_null(spark, scratch):
+    path = os.path.join(scratch, "bad.json")
+    with open(path, "w") as f:
+        f.write('{"symbol": "BTCUSDT", "trade_id": 1, "price": "12x.5", "quantity": "1", "quote_qty": "1",'
+                ' "trade_time": 1, "is_buyer_maker": false, "extracted_at": "2024-01-01T00:00:00"}\n')
+    with pytest.raises(Exception):
+        read_landing(spark, path, "trades").collect()

@@ -48,3 +48,36 @@ def test_stream_candles_equal_batch_for_closed_windows(spark, scratch):
     assert got.count() > 0
     assert got.exceptAll(expected).count() == 0
     assert expected.exceptAll(got).count() == 0
+
+
+def test_late_trades_after_the_watermark_are_dropped(spark, scratch):
+    from decimal import Decimal
+    import datetime as dt
+
+    hour = 3_600_000
+    t0 = 1_704_067_200_000  # 2024-01-01 00:00 UTC
+
+    def trade(i, ms, price):
+        return ("AUSDT", i, Decimal(price), Decimal("1"), Decimal(price), ms, False, dt.datetime(2024, 1, 1))
+
+    src = os.path.join(scratch, "trades")
+    spark.createDataFrame([trade(1, t0 + 60_000, "10"), trade(2, t0 + 3 * hour, "11")], RAW_TRADES) \
+        .write.parquet(os.path.join(src, "b1"))
+    ckpt = os.path.join(scratch, "ckpt")
+    out = os.path.join(scratch, "candles_out")
+
+    def run():
+        q = (stream_candles(spark.readStream.schema(RAW_TRADES).parquet(src + "/*")).writeStream
+             .format("parquet").option("path", out).option("checkpointLocation", ckpt)
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+
+    run()
+    # a trade for the first hour arrives three hours late, with newer trades
+    spark.createDataFrame([trade(3, t0 + 120_000, "99"), trade(4, t0 + 6 * hour, "12")], RAW_TRADES) \
+        .write.parquet(os.path.join(src, "b2"))
+    run()
+    emitted = spark.read.parquet(out)
+    first_hour = emitted.where(F.col("open_time") == t0).collect()
+    assert len(first_hour) == 1
+    assert all(r.high_price == Decimal("10.00000000") and r.number_of_trades == 1 for r in first_hour)
