@@ -120,14 +120,19 @@ def fct_trades(
         return scaled.fct_trades_scaled(stg_trades, **kwargs)
     if method != "plain":
         raise ValueError(f"unknown method {method!r}")
+    return stg_trades.select(*trade_fact_columns(), *trade_window_columns())
+
+
+def trade_window_columns() -> list:
+    """``relative_size`` and ``cumulative_volume_usdt`` as one window per
+    symbol (the plain form)."""
     w = Window.partitionBy("symbol").orderBy(F.col("traded_at").asc_nulls_last(), F.col("trade_id").asc_nulls_last())
     recent = F.avg(F.col("trade_value_usdt").cast("double")).over(w.rowsBetween(-(RELATIVE_SIZE_ROWS - 1), 0))
     running = F.sum("trade_value_usdt").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return stg_trades.select(
-        *trade_fact_columns(),
+    return [
         rounded(ratio("trade_value_usdt", recent), 4).alias("relative_size"),
         running.alias("cumulative_volume_usdt"),
-    )
+    ]
 
 
 def dim_symbols(

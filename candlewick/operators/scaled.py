@@ -40,11 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions.numeric import pct, ratio, rounded
-from candlewick.operators.marts import FCT_TRADE_COLUMNS, RELATIVE_SIZE_ROWS, trade_fact_columns
+from candlewick.operators.marts import (
+    FCT_TRADE_COLUMNS,
+    RELATIVE_SIZE_ROWS,
+    trade_fact_columns,
+)
 from candlewick.session import scratch_path
 from candlewick.operators.metrics import (
     MA_SLOW,
-    PRICE_METRIC_COLUMNS,
     price_metric_columns,
     with_price_rank,
 )
@@ -144,16 +147,25 @@ def _exact_add(before: Column, within: Column, dtype: T.DataType) -> Column:
     return out.cast(total) if total is not None else out
 
 
+NULL_SERIES = "\u0000"  # series key of rows without a symbol (no real symbol holds NUL)
+
+
 def fct_trades_scaled(
     stg_trades: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS, partitions: int | None = None
 ) -> DataFrame:
-    """``marts.fct_trades`` computed in balanced blocks (same rows, same values)."""
-    base = stg_trades.select(trade_fact_columns())
-    pos = positioned(base, ["symbol"], ["traded_at", "trade_id"], partitions)
+    """``marts.fct_trades`` computed in balanced blocks (same rows, same values).
+
+    The series key is ``coalesce(symbol, NUL)``, never NULL, so every join
+    is a plain equi-join; the offsets join is on ``(series, block)``, the
+    block window's own partitioning, so the windowed rows are not shuffled
+    again.
+    """
+    base = stg_trades.select(*trade_fact_columns(), F.coalesce("symbol", F.lit(NULL_SERIES)).alias("_series"))
+    pos = positioned(base, ["_series"], ["traded_at", "trade_id"], partitions)
     halo = RELATIVE_SIZE_ROWS - 1
     blocked = with_halo(pos, block_rows, halo)
 
-    w = Window.partitionBy("symbol", "_blk").orderBy("_pos")
+    w = Window.partitionBy("_series", "_blk").orderBy("_pos")
     recent = F.avg(F.col("trade_value_usdt").cast("double")).over(w.rowsBetween(-halo, Window.currentRow))
     own = F.when(~F.col("_halo"), F.col("trade_value_usdt"))
     in_block = F.sum(own).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -163,16 +175,13 @@ def fct_trades_scaled(
         in_block.alias("_inrun"),
     ).where(~F.col("_halo"))
 
-    totals = pos.groupBy("symbol", F.floor(F.col("_pos") / F.lit(block_rows)).cast("long").alias("_tblk")).agg(
+    totals = pos.groupBy("_series", F.floor(F.col("_pos") / F.lit(block_rows)).cast("long").alias("_blk")).agg(
         F.sum("trade_value_usdt").alias("_btot")
     )
-    earlier = Window.partitionBy("symbol").orderBy("_tblk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col("symbol").alias("_osym"), "_tblk", F.sum("_btot").over(earlier).alias("_boff")
-    )
-    cond = windowed["symbol"].eqNullSafe(offsets["_osym"]) & (windowed["_blk"] == offsets["_tblk"])
+    earlier = Window.partitionBy("_series").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_series", "_blk", F.sum("_btot").over(earlier).alias("_boff"))
     dtype = base.schema["trade_value_usdt"].dataType
-    return windowed.join(offsets, cond, "inner").select(
+    return windowed.join(offsets, ["_series", "_blk"], "inner").select(
         *[c for c in FCT_TRADE_COLUMNS if c != "cumulative_volume_usdt"],
         _exact_add(F.col("_boff"), F.col("_inrun"), dtype).alias("cumulative_volume_usdt"),
     )

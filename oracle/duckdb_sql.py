@@ -59,10 +59,6 @@ def bars(source: str, bucket_ms: int) -> str:
     group by all"""
 
 
-def raw_trades_from(source_sql: str) -> str:
-    return source_sql
-
-
 def stg_trades_sql(raw: str) -> str:
     return f"""
     select * from (

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

@@ -60,3 +60,12 @@ def test_scratch_tables_are_released(spark):
     scaled.fct_trades_scaled(stg, block_rows=100).count()
     assert _SCRATCH
     assert release_scratch(spark) >= 1 and not _SCRATCH
+
+
+def test_rows_without_symbol_take_the_plain_window(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    schema = ("symbol string, trade_id long, price decimal(18,8), quantity decimal(18,8), quote_qty decimal(28,8), "
+              "trade_time long, is_buyer_maker boolean, extracted_at timestamp_ntz")
+    rows = [(None if i % 3 == 0 else "AUSDT", i, Decimal(i), Decimal("1"), None, i * 1000, False, t0) for i in range(40)]
+    stg = staging.stg_trades(spark.createDataFrame(rows, schema))
+    assert _same(marts.fct_trades(stg, method="plain"), scaled.fct_trades_scaled(stg, block_rows=10, partitions=3))
