@@ -87,10 +87,6 @@ def trade_fact_columns() -> list:
     ]
 
 
-def trade_fact_base(stg_trades: DataFrame) -> DataFrame:
-    return stg_trades.select(trade_fact_columns())
-
-
 def fct_trades(
     stg_trades: DataFrame,
     method: str = "blocked",

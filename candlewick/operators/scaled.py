@@ -40,17 +40,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions.numeric import pct, ratio, rounded
-from candlewick.operators.marts import (
-    FCT_TRADE_COLUMNS,
-    RELATIVE_SIZE_ROWS,
-    trade_fact_columns,
-)
+from candlewick.operators.marts import FCT_TRADE_COLUMNS, RELATIVE_SIZE_ROWS, trade_fact_columns
+from candlewick.operators.metrics import MA_SLOW, price_metric_columns, with_price_rank
 from candlewick.session import scratch_path
-from candlewick.operators.metrics import (
-    MA_SLOW,
-    price_metric_columns,
-    with_price_rank,
-)
 
 DEFAULT_BLOCK_ROWS = 50_000
 
@@ -69,6 +61,8 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)  # deleted by session.release_scratch
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
 _ID_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
 
 
