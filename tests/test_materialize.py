@@ -26,3 +26,18 @@ def test_views_answer_sql(spark):
     materialize.register_views(m)
     n = spark.sql("select count(*) from fct_candles where volume_signal <> 'normal_volume'").first()[0]
     assert n == m.fct_candles.where("volume_signal <> 'normal_volume'").count()
+
+
+def test_command_line_build_refresh_check(spark, scratch, capsys):
+    from candlewick.__main__ import main
+    from candlewick.operators import ingest
+
+    raw = standin_models(spark, SF_SMALL).raw
+    root, out = os.path.join(scratch, "raw"), os.path.join(scratch, "out")
+    for name in ("klines", "trades", "tickers"):
+        ingest.append_idempotent(spark, getattr(raw, name), root, name)
+    assert main(["build", root, out]) == 0
+    assert main(["refresh", root, out, "2024-01-25 00:00:00"]) == 0
+    symbols = ["CLICKUSDT", "ERRORUSDT", "PURCHASEUSDT", "SIGNUPUSDT", "VIEWUSDT"]
+    assert main(["check", out, *symbols]) == 1  # snapshots repeat symbols in stg_tickers
+    assert "FAIL stg_tickers.symbol unique: 5" in capsys.readouterr().out
