@@ -76,11 +76,12 @@ def positioned(
     in ``order`` (ascending, NULLs last), without a per-series task."""
     series = list(series)
     keys = [F.col(c).asc_nulls_last() for c in [*series, *order]]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Without an explicit count AQE may merge adjacent ranges (small inputs
+    # then write few files); merged ranges stay contiguous, so positions hold.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     pid = F.spark_partition_id().cast("long")
     tagged = written_table(
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+        ranged.sortWithinPartitions(*keys)
         .select(
             "*",
             pid.alias("_pid"),
