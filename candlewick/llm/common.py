@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +63,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def whole_runs(parts: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Batches of sorted rows, dealt anew so that rows of equal keys stay together."""
+    held: list[pd.DataFrame] = []
+    for part in parts:
+        if not len(part):
+            continue
+        tail = (part[keys] == part[keys].iloc[-1]).all(axis=1).to_numpy()
+        start = len(part) - int(np.argmin(tail[::-1])) if not tail.all() else 0
+        if start == 0 and held and (held[-1][keys].iloc[-1] == part[keys].iloc[0]).all():
+            held.append(part)
+            continue
+        if start:
+            yield pd.concat([*held, part.iloc[:start]], ignore_index=True)
+        elif held:
+            yield pd.concat(held, ignore_index=True)
+        held = [part.iloc[start:]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
