@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, simhash
-from candlewick.llm.common import documents
+from candlewick.llm import bpe, simhash, toxicity
+from candlewick.llm.common import documents, held_out
 
 
 def word_bpe_path() -> str:
@@ -21,12 +22,24 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), word_bpe_path())
 
 
+#: Scores from here on are predicted to have the label.
+LABEL_SCORE = 0.7
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = held_out(3, 1)
+    scored = toxicity.score_texts(docs, documents(spark, sf_dir, "labels"), out)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= LABEL_SCORE).cast("int").alias("predicted"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_toxicity": op4_toxicity,
     "op7_simhash": op7_simhash,
 }
 
