@@ -63,7 +63,9 @@ def test_held_out_accuracy(spark):
 
 def test_cases(spark):
     said = ["a kind word for the day", "you utter scoundrel of the north"]
-    docs = [(i, f"first{i} next{i} then{i} {said[i % 2]}", "clash", 1) for i in range(90)]
+    rng = np.random.default_rng(0)
+    other = [" ".join("".join(map(chr, rng.integers(97, 123, 5))) for _ in range(40)) for _ in range(90)]
+    docs = [(i, f"{other[i]} {said[i % 2]}", "clash", 1) for i in range(90)]
     docs += [(90, None, "", None), (91, "", None, 2), (92, "5coundre1", "", 3), (92, "5coundre1", "", 3), (None, "x " * 40_000, "", 1)]
     df = spark.createDataFrame(docs, "doc_id long, text string, score string, y int")
     labels = spark.createDataFrame([(i, i % 2) for i in range(90)] + [(None, 1), (5, None)], "doc_id long, toxic int")
