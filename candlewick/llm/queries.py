@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, simhash, toxicity
+from candlewick.llm import bpe, simhash, suffix_dedup, toxicity
 from candlewick.llm.common import documents, held_out
 
 
@@ -37,10 +37,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digests(documents(spark, sf_dir), length=400)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op4_toxicity": op4_toxicity,
     "op7_simhash": op7_simhash,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {}
