@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, simhash, suffix_dedup, toxicity
+from candlewick.llm import bpe, decontam, simhash, suffix_dedup, toxicity
 from candlewick.llm.common import documents, held_out
 
 
@@ -22,6 +22,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), word_bpe_path())
 
 
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 #: Scores from here on are predicted to have the label.
 LABEL_SCORE = 0.7
 
@@ -43,6 +47,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_decontam": op3_decontam,
     "op4_toxicity": op4_toxicity,
     "op7_simhash": op7_simhash,
     "op9_suffix_dedup": op9_suffix_dedup,
