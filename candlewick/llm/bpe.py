@@ -18,20 +18,19 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.common import blocks
+from candlewick.llm.common import blocks, with_lists
 
 #: Words that a worker keeps with their ids; the table starts anew beyond it.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -158,35 +157,24 @@ def tokenizer(path: str) -> WordBPE:
     return WordBPE(path)
 
 
-def _with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
-
-
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Add the ids of the whole text, as binary (little-endian unsigned 32-bit)."""
 
-    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made() -> Callable[[list], tuple]:
         bpe = tokenizer(path)
-        for part in parts:
-            texts = part[text_col].tolist()
-            ids: list[bytes] = []
-            for a, b in blocks([t or "" for t in texts]):
-                ids += bpe.encode(texts[a:b])
-            yield part.drop(columns=ids_col, errors="ignore").assign(**{ids_col: ids})
+        return lambda texts: ([x for a, b in blocks([t or "" for t in texts]) for x in bpe.encode(texts[a:b])],)
 
-    return df.mapInPandas(run, _with(df, ids_col, T.BinaryType()))
+    return with_lists(df, [text_col], {ids_col: T.BinaryType()}, made)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Add the text of the ids that :func:`encode` gave (null ids: empty)."""
 
-    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made() -> Callable[[list], tuple]:
         bpe = tokenizer(path)
-        for part in parts:
-            texts = [bpe.decode(np.frombuffer(x, dtype="<u4")) if x else "" for x in part[ids_col]]
-            yield part.drop(columns=out_col, errors="ignore").assign(**{out_col: texts})
+        return lambda ids: ([bpe.decode(np.frombuffer(x or b"", dtype="<u4")) for x in ids],)
 
-    return df.mapInPandas(run, _with(df, out_col, T.StringType()))
+    return with_lists(df, [ids_col], {out_col: T.StringType()}, made)
 
 
 def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from candlewick.session import scratch_path
 
@@ -83,3 +86,34 @@ def whole_runs(parts: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.Da
         held = [part.iloc[start:]]
     if held:
         yield pd.concat(held, ignore_index=True)
+
+
+def with_lists(df: DataFrame, reads: list[str], added: dict[str, T.DataType], made: Callable[[], Callable[..., tuple]]) -> DataFrame:
+    """All rows with further columns, made in the workers from lists of others.
+
+    ``made`` gives, once per task, the function of the lists of the columns
+    ``reads`` that returns a list for each added column. Other columns pass
+    through untouched; columns of the added names are replaced.
+    """
+    kept = [f for f in df.schema.fields if f.name not in added]
+    types = {name: to_arrow_type(kind) for name, kind in added.items()}
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = made()
+        for batch in batches:
+            new = of(*(batch.column(c).to_pylist() for c in reads))
+            arrays = [pa.array(x, type=t) for x, t in zip(new, types.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *arrays], names=[*(f.name for f in kept), *types])
+
+    return df.mapInArrow(run, T.StructType([*kept, *(T.StructField(n, k) for n, k in added.items())]))
+
+
+def where_lists(df: DataFrame, reads: list[str], made: Callable[[], Callable[..., list[bool]]]) -> DataFrame:
+    """The rows, all columns, for which the function that ``made`` gives is true."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = made()
+        for batch in batches:
+            yield batch.filter(pa.array(of(*(batch.column(c).to_pylist() for c in reads)), type=pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import blocks, mixed
+from candlewick.llm.common import blocks, mixed, where_lists
 from candlewick.llm.suffix_dedup import Hashes
 from candlewick.llm.tokens import word_hashes
 
@@ -180,10 +180,12 @@ def without_overlaps(
     for ids, texts in item_blocks(items, block_bytes, "item_id", "text"):
         block = Items(ids, texts, min_words, agree, least_words)
 
-        def run(parts: Iterable[pd.DataFrame], block: Items = block) -> Iterator[pd.DataFrame]:
-            for part in parts:
-                hit = {t for t, *_ in block.search(part[text_col].tolist())}
-                yield part[[i not in hit for i in range(len(part))]]
+        def made(block: Items = block) -> Callable[[list], list[bool]]:
+            def of(texts: list) -> list[bool]:
+                hit = {t for t, *_ in block.search(texts)}
+                return [i not in hit for i in range(len(texts))]
+
+            return of
 
-        docs = docs.mapInPandas(run, docs.schema)
+        docs = where_lists(docs, [text_col], made)
     return docs

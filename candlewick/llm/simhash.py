@@ -25,7 +25,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import stored, utf8, whole_runs
@@ -57,15 +57,19 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row as a signed 64-bit number."""
+    """(doc_id, content, fp): a hash of the text and its fingerprint, for each row."""
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             fps = np.array([fingerprint(t, shingle) for t in utf8(part["text"])], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": part["doc_id"], "fp": fps.view(np.int64)})
+            yield part[["doc_id", "content"]].assign(fp=fps.view(np.int64))
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), content_of(text_col).alias("content"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(run, "doc_id long, content long, fp long")
+
+
+def content_of(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(text_col, F.lit("")))
 
 
 def segments(m: int) -> list[tuple[int, int]]:
@@ -150,6 +154,17 @@ def links(fps: DataFrame, max_bits: int, m: int, bucket_limit: int) -> DataFrame
     return pairs.unionByName(met.select(F.col("fp").alias("a"), F.col("lo").alias("b")))
 
 
+def labelled(docs: DataFrame, shingle: int, max_bits: int, ring: int, bucket_limit: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, content, fp, label, component_id) of each row; label: the
+    component's least fingerprint."""
+    prints = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    label = components(links(distinct.select("fp"), max_bits, ring, bucket_limit))
+    known = distinct.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    named = known.groupBy("label").agg(F.min("least").alias("component_id"))
+    return prints.join(known.select("fp", "label").join(named, "label"), "fp")
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 3,
@@ -161,12 +176,27 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: doc_id, fingerprint (hex) and component_id, the
     smallest id that links of ``max_bits`` or fewer differing bits reach."""
-    prints = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    label = components(links(distinct.select("fp"), max_bits, ring, bucket_limit))
-    labelled = distinct.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = labelled.select("fp", "label").join(named, "label").select("fp", "component_id")
-    return prints.join(of, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    found = labelled(docs, shingle, max_bits, ring, bucket_limit, id_col, text_col)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(
+    docs: DataFrame,
+    shingle: int = 3,
+    max_bits: int = 2,
+    ring: int = 3,
+    bucket_limit: int = 8192,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of each component, all columns: that of the smallest id (a null id
+    only if there is no other; of rows with the same id and text, any one)."""
+    found = labelled(docs, shingle, max_bits, ring, bucket_limit, id_col, text_col)
+    least = found.groupBy("label").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "content")).alias("m"))
+    kept = least.select(F.coalesce("m.doc_id", F.lit(0)).alias("_id"), F.col("m.content").alias("_content"), F.col("m.none").alias("_none"))
+    rows = docs.select(
+        "*", F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("_id"), content_of(text_col).alias("_content"), F.isnull(id_col).alias("_none")
     )
+    key = ["_id", "_content", "_none"]
+    same = Window.partitionBy(*key).orderBy(F.lit(0))
+    return rows.join(kept, key, "left_semi").withColumn("_n", F.row_number().over(same)).where("_n = 1").drop(*key, "_n")

@@ -24,7 +24,7 @@ columns pass through; clashing names are replaced.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.common import mixed, stored, utf8
+from candlewick.llm.common import mixed, stored, utf8, with_lists
 from candlewick.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 GRAM = 32
@@ -183,7 +183,7 @@ def shard_runs(parts: DataFrame, shards: int, length: int) -> DataFrame:
         group = group.sort_values(["h", "seg"], ignore_index=True)
         found = repeated_starts(list(group["part"]), length)
         rows = [(h, seg, joined_runs(s, s + 1)) for h, seg, s in zip(group["h"], group["seg"], found, strict=True) if len(s)]
-        return pd.DataFrame(rows, columns=["h", "seg", "runs"])
+        return pd.DataFrame(rows, columns=["h", "seg", "runs"]).astype({"h": "int64", "seg": "int64"})
 
     sharded = parts.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
     return sharded.groupBy("shard").applyInPandas(run, f"h long, seg long, runs {RUNS}")
@@ -242,48 +242,46 @@ def kept_bytes(data: bytes, spans: list | None) -> tuple[bytes, list[tuple[int,
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), runs
 
 
-def _applied(docs: DataFrame, text_col: str, length: int, run, out: T.StructType, limits: dict[str, int]) -> DataFrame:
-    """What ``run`` makes of the rows of ``docs`` with a further column, _spans."""
+def with_spans(docs: DataFrame, length: int, text_col: str = "text", **limits: int) -> DataFrame:
+    """All rows and columns, with _spans: the byte ranges to remove (null: none)."""
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.xxhash64(F.coalesce(text_col, F.lit("")))]
     rows = docs.select("*", key[0].alias("_k1"), key[1].alias("_k2"))
     long = rows.where(F.octet_length(text_col) >= length)
     texts = long.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col(text_col).alias("text"))
     spans = repeated_spans(texts, length, **limits).toDF("_k1", "_k2", "_spans")
-    return rows.join(spans, ["_k1", "_k2"], "left").drop("_k1", "_k2").mapInPandas(run, out)
+    return rows.join(spans, ["_k1", "_k2"], "left").drop("_k1", "_k2")
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", **limits: int) -> DataFrame:
     """All rows and columns, the repeated bytes gone from the text. A character of
     which a part was removed goes as a whole."""
 
-    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            texts = [
-                t if t is None or s is None else kept_bytes(t.encode("utf-8"), s)[0].decode("utf-8", "ignore")
-                for t, s in zip(part[text_col], part["_spans"], strict=True)
-            ]
-            yield part.drop(columns="_spans").assign(**{text_col: texts})
+    def left(text: str | None, spans: list | None) -> str | None:
+        return text if text is None or not spans else kept_bytes(text.encode("utf-8"), spans)[0].decode("utf-8", "ignore")
+
+    def made() -> Callable[[list, list], tuple]:
+        return lambda texts, spans: ([left(t, s) for t, s in zip(texts, spans, strict=True)],)
 
-    return _applied(docs, text_col, length, run, docs.schema, limits)
+    rows = with_spans(docs, length, text_col, **limits)
+    return with_lists(rows, [text_col, "_spans"], {text_col: T.StringType()}, made).select(*docs.columns)
 
 
 def removal_digests(docs: DataFrame, length: int = 400, **limits: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
 
-    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            data = utf8(part["text"])
-            kept = [kept_bytes(d, s) for d, s in zip(data, part["_spans"], strict=True)]
-            yield pd.DataFrame({
-                "doc_id": part["doc_id"],
-                "n_bytes": [len(d) for d in data],
-                "n_removed": [len(d) - len(k) for d, (k, _) in zip(data, kept, strict=True)],
-                "n_spans": [len(r) for _, r in kept],
-                "kept_sha256": [hashlib.sha256(k).hexdigest() for k, _ in kept],
-            })
-
-    out = T.StructType([
-        T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
-        T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
-    ])
-    return _applied(docs.select("doc_id", "text"), "text", length, run, out, limits)
+    def made() -> Callable[[list, list], tuple]:
+        def of(texts: list, spans: list) -> tuple:
+            data = utf8(texts)
+            kept = [kept_bytes(d, s) for d, s in zip(data, spans, strict=True)]
+            return (
+                [len(d) for d in data],
+                [len(d) - len(k) for d, (k, _) in zip(data, kept, strict=True)],
+                [len(r) for _, r in kept],
+                [hashlib.sha256(k).hexdigest() for k, _ in kept],
+            )
+
+        return of
+
+    added = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept_sha256": T.StringType()}
+    rows = with_spans(docs.select("doc_id", "text"), length, **limits)
+    return with_lists(rows, ["text", "_spans"], added, made).select("doc_id", *added)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.common import blocks, stored, utf8
+from candlewick.llm.common import blocks, stored, utf8, with_lists
 
 # Letters that a sign is written for: fixed values.
 LOOKS = {
@@ -195,8 +195,8 @@ def evidence(rows: DataFrame, made: Callable[[set[str]], set[str]], min_docs: in
             pos, neg = Counter(), Counter()
             for words, y in zip(part["words"], part["y"], strict=True):
                 (pos if y else neg).update(made(set(words)))
-            names = list(pos.keys() | neg.keys())
-            yield pd.DataFrame({"f": names, "pos": [pos[f] for f in names], "neg": [neg[f] for f in names]})
+            if names := list(pos.keys() | neg.keys()):
+                yield pd.DataFrame({"f": names, "pos": [pos[f] for f in names], "neg": [neg[f] for f in names]})
 
     counts = rows.mapInPandas(run, "f string, pos long, neg long").groupBy("f")
     counts = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
@@ -251,16 +251,15 @@ def score_texts(
     model = character_model(rows)
     sample = labelled_sample(rows, labels, "toxic", out, max_labelled)
     known = lexicon(restored_sample(sample, model), min_docs, floor)
-    added = {score_col: "double"} | ({restored_col: "string"} if restored_col else {})
-    kept = docs.drop(*added)
+    added = {score_col: T.DoubleType()} | ({restored_col: T.StringType()} if restored_col else {})
 
-    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made() -> Callable[[list], tuple]:
         restorer, score = Restorer(model), Scorer(known)
-        for part in parts:
-            texts = [restorer.restore(t) if t else "" for t in part[text_col]]
-            new = {score_col: [score(t) for t in texts]} | ({restored_col: texts} if restored_col else {})
-            yield part.assign(**new)
 
-    types = {"double": T.DoubleType(), "string": T.StringType()}
-    schema = T.StructType([*kept.schema.fields, *(T.StructField(n, types[k]) for n, k in added.items())])
-    return kept.mapInPandas(run, schema)
+        def of(texts: list) -> tuple:
+            restored = [restorer.restore(t) if t else "" for t in texts]
+            return ([score(t) for t in restored], restored)[: len(added)]
+
+        return of
+
+    return with_lists(docs, [text_col], added, made)

@@ -92,6 +92,10 @@ def test_cases(spark):
     want += [(None, f"{plain_print('only null ids here'):016x}", None)]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert simhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+    kept = simhash.one_of_each(spark.createDataFrame(rows, SCHEMA))
+    assert kept.columns == ["doc_id", "text", "fp", "label"]
+    assert sorted((r.doc_id, r.text) for r in kept.where("doc_id is not null").collect()) == [(3, ""), (4, "One Two"), (8, long)]
+    assert [r.text for r in kept.where("doc_id is null").collect()] == ["only null ids here"]
 
 
 def test_components_of_a_long_chain(spark):
