@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontam, simhash, suffix_dedup, toxicity
+from candlewick.llm import bpe, decontam, quality_model, simhash, suffix_dedup, toxicity
 from candlewick.llm.common import documents, held_out
 
 
@@ -22,19 +22,30 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), word_bpe_path())
 
 
-def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.overlaps(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
-
-
 #: Scores from here on are predicted to have the label.
 LABEL_SCORE = 0.7
 
 
+def predicted() -> Column:
+    return (F.col("score") >= LABEL_SCORE).cast("int").alias("predicted")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = held_out(4, 2)
+    scored = quality_model.score_texts(docs, documents(spark, sf_dir, "labels"), out)
+    return scored.select("doc_id", out.alias("held_out"), "score", predicted())
+
+
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     out = held_out(3, 1)
     scored = toxicity.score_texts(docs, documents(spark, sf_dir, "labels"), out)
-    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= LABEL_SCORE).cast("int").alias("predicted"))
+    return scored.select("doc_id", out.alias("held_out"), "score", predicted())
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +58,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
     "op3_decontam": op3_decontam,
     "op4_toxicity": op4_toxicity,
     "op7_simhash": op7_simhash,

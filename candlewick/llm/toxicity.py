@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.common import blocks, stored, utf8, with_lists
+from candlewick.llm.common import blocks, labelled_sample, stored, utf8, with_lists
 
 # Letters that a sign is written for: fixed values.
 LOOKS = {
@@ -160,14 +160,6 @@ def wilson(pos: int, neg: int, z: float = 2.5) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, out: Column, max_rows: int) -> DataFrame:
-    """(text, y): labelled rows outside ``out``, at most ``max_rows`` of them, those
-    of smallest hash of the id. The bound makes the broadcast of the ids small."""
-    ids = labels.where(~out & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.join(F.broadcast(ids), "doc_id").select("text", "y")
-
-
 def restored_sample(sample: DataFrame, model: np.ndarray) -> DataFrame:
     """(words, y): the distinct restored words of each text. Texts that agree in
     their least hash of three words running count once, as copies of each other
