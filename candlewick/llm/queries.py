@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontam, quality_model, simhash, suffix_dedup, toxicity
+from candlewick.llm import bpe, decontam, quality_model, quality_rules, simhash, suffix_dedup, toxicity
 from candlewick.llm.common import documents, held_out
 
 
@@ -48,6 +48,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", predicted())
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_decontam": op3_decontam,
     "op4_toxicity": op4_toxicity,
+    "op6_quality_rules": op6_quality_rules,
     "op7_simhash": op7_simhash,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
