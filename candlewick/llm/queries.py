@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontam, quality_model, quality_rules, simhash, suffix_dedup, toxicity
-from candlewick.llm.common import documents, held_out
+from candlewick.llm import bpe, decontam, quality_model, quality_rules, sharding, simhash, suffix_dedup, token_rollup, toxicity
+from candlewick.llm.common import documents, held_out, stored
+from candlewick.session import scratch_path
 
 
 def word_bpe_path() -> str:
@@ -48,6 +49,25 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", predicted())
 
 
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches over all documents: each is loaded under the first
+    tokenizer version, copies of the text of a smaller id are deleted again, and
+    the documents left are counted anew under the second version. The first two
+    batches are sent twice."""
+    first, second = token_rollup.VERSIONS
+    counts = stored(token_rollup.counted(documents(spark, sf_dir), [first, second]), "counts")
+    least = counts.groupBy("content").agg(F.min("doc_id").alias("least"))
+    counts = stored(counts.join(least, "content"), "counts").withColumn("copy", F.col("doc_id") > F.col("least"))
+    old, new = counts.withColumn("tokens", F.col("tokens_0")), counts.withColumn("tokens", F.col("tokens_1"))
+    load = token_rollup.changes(old, first, 1)
+    delete = token_rollup.changes(old.where("copy"), first, -1)
+    anew = token_rollup.changes(old.where("not copy"), first, -1).unionByName(token_rollup.changes(new.where("not copy"), second, 1))
+    rollup = token_rollup.Rollup(spark, scratch_path(spark, "rollup"))
+    for batch, rows in (("1-load", load), ("2-copies", delete), ("1-load", load), ("3-anew", anew), ("2-copies", delete)):
+        rollup.commit(batch, rows)
+    return rollup.totals()
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir))
 
@@ -56,6 +76,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.sharded(documents(spark, sf_dir), shards=16)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(documents(spark, sf_dir), length=400)
 
@@ -65,9 +90,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_decontam": op3_decontam,
     "op4_toxicity": op4_toxicity,
+    "op5_token_rollup": op5_token_rollup,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash": op7_simhash,
+    "op8_sharding": op8_sharding,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_token_rollup": r"""
+        with firsts as (select min(doc_id) as doc_id from documents group by md5(coalesce(text, '')))
+        select source, lang, 'signs-2' as tokenizer, count(*) as docs,
+            sum(len(regexp_extract_all(coalesce(text, ''),
+                '[0-9A-Za-z\x{80}-\x{10FFFF}]+|[^0-9A-Za-z\x{80}-\x{10FFFF}\x20\x09-\x0D]')))::bigint as tokens,
+            sum(coalesce(strlen(text), 0))::bigint as bytes
+        from documents join firsts using (doc_id)
+        group by source, lang""",
+}
