@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontam, quality_model, quality_rules, sharding, simhash, suffix_dedup, token_rollup, toxicity
+from candlewick.llm import bpe, decontam, quality_model, quality_rules, sharding, simhash, suffix_dedup, suffix_tree_lm, token_rollup, toxicity
 from candlewick.llm.common import documents, held_out, stored
 from candlewick.session import scratch_path
 
@@ -85,6 +85,12 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(documents(spark, sf_dir), length=400)
 
 
+def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out(7, 2)
+    rows = suffix_tree_lm.scored(documents(spark, sf_dir), out)
+    return rows.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_sharding": op8_sharding,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_suffix_tree_lm": op10_suffix_tree_lm,
 }
 
 ORACLE: dict[str, str] = {
