@@ -1,9 +1,11 @@
 """Suffix array of one shard by induced sorting, and its permuted common prefixes.
 
 The symbols of a shard are bytes plus two; one parts its texts and zero ends it.
-The first level works on numpy arrays, a bucket of equal first symbols at a
-time. Its string of named substrings is about a third as long and has a large
-alphabet, where buckets hold few suffixes; the recursion goes over plain lists.
+The first level induces the order a bucket of equal first symbols at a time,
+on numpy arrays. Its string of named substrings is about a third as long and has
+a large alphabet, where buckets hold few suffixes: there, all suffixes are
+sorted at once by what they hold up to the next leftmost-smaller suffix, and
+then by the order of that one.
 """
 
 from __future__ import annotations
@@ -74,65 +76,51 @@ def induced(t: np.ndarray, s: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray
     return np.concatenate(out[::-1])
 
 
-def _sorted_list(t: list[int], k: int) -> list[int]:
-    """Suffix array of a list whose last symbol, zero, is the only one of its kind."""
-    n = len(t)
-    if k == n:  # every symbol once
-        out = [0] * n
-        for i, c in enumerate(t):
-            out[c] = i
-        return out
-    s = bytearray(n)
-    s[-1] = 1
-    for i in range(n - 2, -1, -1):
-        s[i] = t[i] < t[i + 1] or (t[i] == t[i + 1] and s[i + 1])
-    counts = [0] * k
-    for c in t:
-        counts[c] += 1
-    heads, total = [], 0
-    for c in counts:
-        heads.append(total)
-        total += c
-    tails = [h + c for h, c in zip(heads, counts, strict=True)]
-
-    def induce(order: list[int]) -> list[int]:
-        sa = [-1] * n
-        at = tails[:]
-        for i in reversed(order):
-            c = t[i]
-            at[c] -= 1
-            sa[at[c]] = i
-        at = heads[:]
-        for i in range(n):
-            j = sa[i] - 1
-            if j >= 0 and not s[j]:
-                c = t[j]
-                sa[at[c]] = j
-                at[c] += 1
-        at = tails[:]
-        for i in range(n - 1, -1, -1):
-            j = sa[i] - 1
-            if j >= 0 and s[j]:
-                c = t[j]
-                at[c] -= 1
-                sa[at[c]] = j
-        return sa
-
-    lms = [i for i in range(1, n) if s[i] and not s[i - 1]]
-    end = dict(zip(lms, [*lms[1:], n - 1], strict=True))
-    name = dict.fromkeys(lms, 0)
-    names, before = -1, None
-    for i in induce(lms):
-        if i in end:
-            part = t[i : end[i] + 1]
-            names += part != before
-            name[i], before = names, part
-    if names + 1 < len(lms):
-        ranked = _sorted_list([name[i] for i in lms], names + 1)
-        order = [lms[r] for r in ranked]
-    else:
-        order = sorted(lms, key=name.__getitem__)
-    return induce(order)
+def _classes(x: np.ndarray, s: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """For each place the order of its symbols up to the next leftmost-smaller one,
+    ``reach`` places on; equal sequences share the number of the first of them.
+
+    With the types none of these sequences begins another one, so those that
+    agree so far end together.
+    """
+    key = 2 * x + s
+    order = np.argsort(key, kind="stable")
+    new = np.append(True, key[order][1:] != key[order][:-1])
+    out = np.empty(len(x), dtype=np.int64)
+    out[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    tied = np.append(new, True)
+    left = order[~(tied[:-1] & tied[1:])]
+    step, width = 1, int(key.max()) + 1
+    while len(left := left[reach[left] >= step]):
+        both = out[left] * width + key[left + step]
+        order = np.argsort(both, kind="stable")
+        left, both = left[order], both[order]
+        own = out[left]
+        group = np.append(True, own[1:] != own[:-1])
+        new = np.append(True, both[1:] != both[:-1])
+        place = np.arange(len(left))
+        first = np.maximum.accumulate(np.where(group, place, 0))
+        out[left] = own + np.maximum.accumulate(np.where(new, place, 0)) - first
+        tied = np.append(new, True)
+        left = left[~(tied[:-1] & tied[1:])]
+        step += 1
+    return out
+
+
+def _ordered(x: np.ndarray) -> np.ndarray:
+    """Starts of the suffixes of the reduced string in order; its last symbol, zero,
+    is the only one of its kind. The order of its own leftmost-smaller suffixes
+    comes by recursion; every suffix follows from its class and the next of them."""
+    n = len(x)
+    if int(x.max()) + 1 == n:  # every symbol once
+        return np.argsort(x)
+    s = smaller_types(x)
+    lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
+    after = np.minimum(np.searchsorted(lms, np.arange(n), "right"), len(lms) - 1)
+    classes = _classes(x, s, lms[after] - np.arange(n))
+    rank = np.empty(len(lms), dtype=np.int64)
+    rank[_ordered(np.unique(classes[lms], return_inverse=True)[1])] = np.arange(len(lms))
+    return np.argsort(classes * len(lms) + rank[after])
 
 
 def suffix_array(t: np.ndarray, k: int = 258) -> np.ndarray:
@@ -160,7 +148,7 @@ def suffix_array(t: np.ndarray, k: int = 258) -> np.ndarray:
     name[order] = np.cumsum(np.append(False, ~same))
     names = int(name[order[-1]]) + 1
     if names < len(lms):
-        order = lms[np.array(_sorted_list(name[lms].tolist(), names))]
+        order = lms[_ordered(name[lms])]
     return induced(t, s, order, k)
 
 
