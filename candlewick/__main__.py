@@ -1,12 +1,13 @@
 """Command line: the runs an hourly schedule triggers.
 
-    python -m candlewick ingest  LANDING_DIR DATASET RAW_ROOT
+    python -m candlewick ingest  LANDING_DIR DATASET RAW_ROOT [lines]
     python -m candlewick build   RAW_ROOT OUT_DIR
     python -m candlewick refresh RAW_ROOT OUT_DIR SINCE
     python -m candlewick check   OUT_DIR SYMBOL [SYMBOL ...]
 
 ``ingest`` appends new landed records (first write wins) through a
-``availableNow`` stream; ``build`` writes every model layer; ``refresh``
+``availableNow`` stream, from files of one JSON array each, or of JSON lines
+with ``lines``; ``build`` writes every model layer; ``refresh``
 rewrites the candle fact and daily mart from SINCE's day on; ``check`` runs
 the 28 column tests on the written tables and prints the failing ones.
 The Spark master and settings come from ``spark-submit`` / the environment.
@@ -21,7 +22,7 @@ from pyspark.sql import SparkSession
 from candlewick.operators import ingest, quality, staging
 from candlewick.plans import incremental, materialize
 from candlewick.plans.models import Raw
-from candlewick.session import pin_conf, release_scratch
+from candlewick.session import pin_conf, scratch_scope
 from candlewick.streaming.ingest import start_landing_ingest
 
 
@@ -40,8 +41,8 @@ def main(argv: list[str]) -> int:
     spark = pin_conf(SparkSession.builder.appName("candlewick").getOrCreate())
     cmd, args = argv[0], argv[1:]
     if cmd == "ingest":
-        landing, dataset, root = args
-        start_landing_ingest(spark, landing, dataset, root).awaitTermination()
+        landing, dataset, root, *layout = args
+        start_landing_ingest(spark, landing, dataset, root, multiline=layout != ["lines"]).awaitTermination()
     elif cmd == "build":
         root, out = args
         for name, path in materialize.build(spark, _raw(spark, root), out).items():
@@ -49,8 +50,8 @@ def main(argv: list[str]) -> int:
     elif cmd == "refresh":
         root, out, since = args
         paths = {n: f"{out.rstrip('/')}/{n}" for n in ("fct_candles", "daily_summary")}
-        incremental.refresh(spark, staging.stg_klines(_raw(spark, root).klines), paths, since)
-        release_scratch(spark)
+        with scratch_scope(spark):
+            incremental.refresh(spark, staging.stg_klines(_raw(spark, root).klines), paths, since)
     else:
         out, symbols = args[0], args[1:]
         names = ("stg_klines", "stg_trades", "stg_tickers", "price_metrics", "symbol_volume",

@@ -10,11 +10,13 @@ Semantics of the original loader, kept exactly:
 * a NULL ``symbol`` is rejected (the column is NOT NULL).
 
 Scale: the raw tables are partitioned by a column derived from the key
-(``open_date`` for candles and tickers, ``id_block`` for trades), and the
-conflict check joins on the key *plus* that column.  The table side is first
-reduced with a semi-join on the batch's partition values, so Spark reads
-only the partitions the batch can collide with (dynamic partition pruning)
-instead of the whole history.  The batch's own duplicates are removed with a
+(``open_date`` for candles and tickers, ``id_block`` for trades).  A batch is
+staged once on the shared folder; the partition values of its keyed rows are
+read from that copy and become a literal filter on the table (a list of up to
+``MAX_TOUCHED`` values, beyond that their range), so the scan lists and reads
+only the partitions that the batch can collide with.  The anti-join then runs
+on the key plus that column, and only for keyed rows: rows with a NULL key
+part are added as they are.  The batch's own duplicates are removed with a
 per-key top-1 that is applied map-side before the shuffle.
 
 Concurrency: a single writer per table is assumed; two simultaneous appends
@@ -24,7 +26,6 @@ of the same key could both insert it (no transactional table format here).
 from __future__ import annotations
 
 import functools
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.schemas import RAW_KEYS, RAW_SCHEMAS
-from candlewick.session import pin_conf
+from candlewick.session import pin_conf, scratch_path, scratch_scope
 
 TRADE_ID_BLOCK = 1_000_000  # trade ids per partition of the raw trade table
 PARTITION_COLUMN = {"klines": "open_date", "trades": "id_block", "tickers": "open_date"}
@@ -69,28 +70,41 @@ def require_symbol(batch: DataFrame) -> DataFrame:
     )
 
 
+MAX_TOUCHED = 1000  # partition values listed in the filter on the table
+
+
+def touched(batch: DataFrame, partition_col: str) -> Column | None:
+    """Filter for the partitions that hold the batch's values (None: there are none)."""
+    values = batch.select(partition_col).where(F.col(partition_col).isNotNull()).distinct()
+    some = [r[0] for r in values.limit(MAX_TOUCHED + 1).collect()]
+    if not some:
+        return None
+    if len(some) <= MAX_TOUCHED:
+        return F.col(partition_col).isin(some)
+    low, high = values.agg(F.min(partition_col), F.max(partition_col)).first()
+    return F.col(partition_col).between(low, high)
+
+
 def new_rows(
     batch: DataFrame,
     table: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
-    partition_col: str | None = None,
+    partition_col: str,
 ) -> DataFrame:
     """Rows of ``batch`` an idempotent append inserts into ``table``.
 
-    With ``partition_col`` (a column of both sides derived from the key), the
-    table is restricted to the batch's partition values before the anti-join.
+    ``partition_col`` is a column of both sides derived from the key.  The
+    batch is read more than once, and its partition values at once: pass a
+    written copy.
     """
-    fresh = first_wins(batch, keys, order)
-    on = list(keys)
-    existing = table.select(*keys, *([partition_col] if partition_col else []))
-    if partition_col:
-        # duplicates share their key, hence their partition value: read the
-        # touched values off the raw batch, not the de-duplicated one
-        touched = batch.select(partition_col).where(F.col(partition_col).isNotNull()).distinct()
-        existing = existing.join(touched, partition_col, "left_semi")
+    null_key = _any_null(keys)
+    keyed = batch.where(~null_key)
+    fresh = first_wins(keyed, keys, order)
+    if (prune := touched(keyed, partition_col)) is not None:
         on = [*keys, partition_col]
-    return fresh.join(existing, on, "left_anti")
+        fresh = fresh.join(table.where(prune).select(*on), on, "left_anti")
+    return fresh.unionByName(batch.where(null_key))
 
 
 def raw_table_path(root: str, dataset: str) -> str:
@@ -128,27 +142,22 @@ def append_idempotent(
     """Append the new rows of ``batch`` to the raw ``dataset`` table.
 
     ``order`` defines "first" inside the batch (default: the landing arrival
-    order ``_file, _block, _pos`` when present, else ``extracted_at`` and
+    order ``_mtime, _file, _block, _pos`` when present, else ``extracted_at`` and
     every other column).  Empty batches write nothing.
     """
     create_raw_table(spark, root, dataset)
     schema = RAW_SCHEMAS[dataset]
     keys = RAW_KEYS[dataset]
     if order is None:
-        arrival = [c for c in ("_file", "_block", "_pos") if c in batch.columns]
+        arrival = [c for c in ("_mtime", "_file", "_block", "_pos") if c in batch.columns]
         order = arrival or ["extracted_at", *[f.name for f in schema.fields if f.name not in keys]]
     part = PARTITION_COLUMN[dataset]
     keep = [f.name for f in schema.fields] + [c for c in order if isinstance(c, str) and c not in schema.names]
-    staged = require_symbol(batch.select(*keep)).withColumn(part, partition_value(dataset))
-    table = read_raw_table(spark, root, dataset, with_partition=True)
-    inserts = new_rows(staged, table, keys, order, partition_col=part)
-    inserts.select(*schema.names, part).write.mode("append").partitionBy(part).parquet(
-        raw_table_path(root, dataset)
-    )
-
-
-def default_root(spark: SparkSession) -> str:
-    """Raw tables live under the shared checkpoint folder unless told otherwise."""
-    from candlewick.session import checkpoint_dir
-
-    return os.path.join(checkpoint_dir(spark), "raw")
+    with scratch_scope(spark):
+        staged = scratch_path(spark, f"batch_{dataset}")
+        require_symbol(batch.select(*keep)).withColumn(part, partition_value(dataset)).write.parquet(staged)
+        table = read_raw_table(spark, root, dataset, with_partition=True)
+        inserts = new_rows(spark.read.parquet(staged), table, keys, order, part)
+        inserts.select(*schema.names, part).write.mode("append").partitionBy(part).parquet(
+            raw_table_path(root, dataset)
+        )

@@ -65,8 +65,10 @@ def price_history(fct_candles: DataFrame, days: int = 7, as_of=None) -> DataFram
 
 
 def sentiment(dim_symbols: DataFrame) -> DataFrame:
-    """Market sentiment table, graded by 24 h change."""
-    return dim_symbols.select("symbol", "current_price", "price_change_pct", "market_sentiment")
+    """Market sentiment table, graded and ordered by 24 h change (largest gain first;
+    one row per symbol, so the sort is small)."""
+    rows = dim_symbols.select("symbol", "current_price", "price_change_pct", "market_sentiment")
+    return rows.orderBy(F.col("price_change_pct").desc_nulls_last(), "symbol")
 
 
 def daily_moves(daily: DataFrame) -> DataFrame:

@@ -6,9 +6,11 @@ Counting follows the usual schema-test conventions:
 * ``unique``: distinct non-NULL values that occur more than once;
 * ``accepted_values``: distinct non-NULL values outside the list.
 
-All tests of one model run in a single pass with one shuffle (a grouped
-count of stacked column values, partially aggregated first, so a hot value
-costs one row per map task).
+The ``not_null`` tests of a model are one aggregate without a shuffle of rows;
+a ``unique`` column is counted by its typed value, an ``accepted_values`` column
+only where the value is outside the list (both partially aggregated first, so a
+hot value costs one row per map task).  So a model is scanned once per such
+column, reading that column only, and once for all nulls.
 """
 
 from __future__ import annotations
@@ -43,44 +45,26 @@ def accepted_values(c: str, values: Sequence[str]) -> Rule:
 
 
 def check(df: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: (model, column_name, test, failures).
+    """One row per rule: (model, column_name, test, failures)."""
 
-    All rules of a model run in one pass over it: the checked columns are
-    stacked into ``(column, value)`` pairs and counted per distinct pair
-    (map-side combined), and every rule's failures are read off that small
-    count table.  A column that only has ``not_null`` contributes a
-    null/not-null flag instead of its value, so it collapses to two groups.
-    """
-    by_column: dict[str, list[Rule]] = {}
+    def row(rule: Rule, failures) -> list:
+        return [F.lit(model), F.lit(rule.column), F.lit(rule.test), failures.cast("long")]
+
+    parts = []
+    nulls = [r for r in rules if r.test == "not_null"]
+    if nulls:
+        counts = df.agg(*(F.count_if(F.col(r.column).isNull()).alias(f"f{i}") for i, r in enumerate(nulls)))
+        entries = [F.struct(*row(r, F.col(f"f{i}"))) for i, r in enumerate(nulls)]
+        parts.append(counts.select(F.inline(F.array(*entries))))
     for r in rules:
-        by_column.setdefault(r.column, []).append(r)
-    entries = []
-    for col, rs in by_column.items():
-        if any(r.test in ("unique", "accepted_values") for r in rs):
-            value = F.col(col).cast("string")
-        else:
-            value = F.when(F.col(col).isNotNull(), F.lit(""))
-        entries.append(F.struct(F.lit(col).alias("c"), value.alias("v")))
-    counts = (
-        df.select(F.inline(F.array(*entries)))
-        .groupBy("c", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    aggs = []
-    for i, r in enumerate(rules):
-        mine = F.col("c") == r.column
-        if r.test == "not_null":
-            failures = F.coalesce(F.sum(F.when(mine & F.col("v").isNull(), F.col("n"))), F.lit(0))
-        elif r.test == "unique":
-            failures = F.count_if(mine & F.col("v").isNotNull() & (F.col("n") > 1))
-        else:
-            failures = F.count_if(mine & F.col("v").isNotNull() & ~F.col("v").isin(*r.values))
-        aggs.append(failures.cast("long").alias(f"f{i}"))
-    one = counts.agg(*aggs)
-    stacked = ", ".join(
-        f"'{model}', '{r.column}', '{r.test}', f{i}" for i, r in enumerate(rules)
-    )
-    return one.selectExpr(f"stack({len(rules)}, {stacked}) as ({', '.join(RESULT_COLUMNS)})")
+        value = F.col(r.column)
+        if r.test == "unique":
+            often = df.where(value.isNotNull()).groupBy(r.column).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(often.agg(F.count_if(F.col("n") > 1).alias("f")).select(*row(r, F.col("f"))))
+        elif r.test == "accepted_values":
+            other = df.where(value.isNotNull() & ~value.cast("string").isin(*r.values)).select(r.column).distinct()
+            parts.append(other.agg(F.count(F.lit(1)).alias("f")).select(*row(r, F.col("f"))))
+    return functools.reduce(DataFrame.union, parts).toDF(*RESULT_COLUMNS)
 
 
 def declared_suite(models: dict[str, DataFrame], symbols: Sequence[str]) -> DataFrame:

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators import ingest, marts, metrics, panels, quality, scaled, staging
-from candlewick.plans.models import standin_models, standin_raw, tape_trades
+from candlewick.plans import materialize
+from candlewick.plans.models import DEFAULT_AS_OF, standin_models, standin_raw, tape_trades
 from candlewick.schemas import RAW_KEYS, RAW_TRADES
-from candlewick.sources import payloads
+from candlewick.session import scratch_path
+from candlewick.sources import landing, payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,12 +50,12 @@ def _dedupe_latest(spark, sf_dir):
 
 
 def _fct_trades_tape(spark, sf_dir):
-    """The tape's trade fact with one window partition per symbol."""
-    return marts.fct_trades(staging.stg_trades(tape_trades(spark, sf_dir)), method="plain")
+    """The tape's trade fact (blocked windows of the default size)."""
+    return marts.fct_trades(staging.stg_trades(tape_trades(spark, sf_dir)))
 
 
 def _fct_trades_tape_scaled(spark, sf_dir):
-    return scaled.fct_trades_scaled(staging.stg_trades(tape_trades(spark, sf_dir)))
+    return scaled.fct_trades_scaled(staging.stg_trades(tape_trades(spark, sf_dir)), block_rows=10_000)
 
 
 def _fct_trades_scaled(spark, sf_dir):
@@ -93,6 +95,7 @@ def _api_klines(spark, sf_dir):
     return staging.newest_per_symbol(stg, REQUEST_LIMIT, "opened_at")
 
 
+REFRESH_SINCE_MS = 1_705_708_800_000
 REFRESH_SINCE = "2024-01-20 00:00:00"  # first day an incremental refresh rewrites
 
 
@@ -127,15 +130,63 @@ def _idempotent_append(spark, sf_dir):
     return first.unionByName(second).select(*RAW_TRADES.names)
 
 
-def _quality_checks(spark, sf_dir):
+def _append(dataset: str, batches, order=None) -> Query:
+    """State of the raw table after loads of growing batches: the first part, then
+    everything again (first write wins throughout)."""
+
+    def run(spark, sf_dir):
+        root = scratch_path(spark, "appended")
+        for batch in batches(spark, sf_dir):
+            ingest.append_idempotent(spark, batch, root, dataset, order)
+        return ingest.read_raw_table(spark, root, dataset)
+
+    return run
+
+
+def _tape_batches(spark, sf_dir):
+    tape = tape_trades(spark, sf_dir)
+    return tape.where(F.col("trade_time") < FIRST_LOAD_BEFORE_MS), tape
+
+
+def _bar_batches(dataset: str):
+    def run(spark, sf_dir):
+        rows = getattr(standin_raw(spark, sf_dir), dataset)
+        return rows.where(F.col("open_time") < REFRESH_SINCE_MS), rows
+
+    return run
+
+
+def _landing_round_trip(spark, sf_dir):
+    """Raw trades written to a landing folder and read back."""
+    path = scratch_path(spark, "landing")
+    landing.write_landing(standin_raw(spark, sf_dir).trades, path)
+    return landing.read_landing(spark, path, "trades").select(*RAW_TRADES.names)
+
+
+def _normalize_quarantine(spark, sf_dir):
+    """Bad records by symbol and reason, of trade payloads with planted faults: ids
+    that are no number, prices of too many digits, payloads cut short."""
+    trades = standin_raw(spark, sf_dir).trades
+    packed = payloads.pack_trade_payloads(trades).withColumn("first", F.get_json_object("payload", "$[0].id").cast("long"))
+    cut = F.floor(F.col("first") / payloads.REQUEST_LIMIT) % 7 == 3
+    text = F.col("payload")
+    text = F.regexp_replace(text, r'"id":(\d*[05]7),', r'"id":"x$1",')
+    text = F.regexp_replace(text, r'"id":(\d*[05]9),"price":"[^"]*"', r'"id":$1,"price":"0.0000012345"')
+    faulty = packed.withColumn("payload", F.when(cut, F.expr("left(payload, length(payload) - 5)")).otherwise(text))
+    bad = payloads.quarantined(faulty, "trades")
+    return bad.groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+def _dim_symbols_all_snapshots(spark, sf_dir):
     m = standin_models(spark, sf_dir)
-    models = {
-        name: getattr(m, name)
-        for name in ("stg_klines", "stg_trades", "stg_tickers", "price_metrics", "symbol_volume",
-                     "fct_candles", "fct_trades", "dim_symbols")
-    }
-    models["daily_summary"] = marts.daily_summary(m.fct_candles, sort=False)
-    return quality.declared_suite(models, STANDIN_SYMBOLS)
+    return marts.dim_symbols(m.stg_tickers, m.stg_klines, as_of=DEFAULT_AS_OF, all_snapshots=True)
+
+
+def _quality_checks(spark, sf_dir):
+    """The suite over written tables, as the models are tested in operation."""
+    root = scratch_path(spark, "built")
+    paths = materialize.build(spark, standin_raw(spark, sf_dir), root, DEFAULT_AS_OF, skip=("daily_summary_candle_grain",))
+    return quality.declared_suite({name: spark.read.parquet(path) for name, path in paths.items()}, STANDIN_SYMBOLS)
 
 
 def _panel(fn) -> Query:
@@ -156,6 +207,14 @@ QUERIES: dict[str, Query] = {
     "normalize_klines": _normalize_klines,
     "normalize_trades": _normalize_trades,
     "normalize_tickers": _normalize_tickers,
+    "normalize_quarantine": _normalize_quarantine,
+    "payload_klines": lambda spark, sf_dir: payloads.pack_kline_payloads(standin_raw(spark, sf_dir).klines),
+    "payload_trades": lambda spark, sf_dir: payloads.pack_trade_payloads(standin_raw(spark, sf_dir).trades),
+    "payload_tickers": lambda spark, sf_dir: payloads.pack_ticker_payloads(standin_raw(spark, sf_dir).tickers),
+    "landing_round_trip": _landing_round_trip,
+    "append_klines": _append("klines", _bar_batches("klines")),
+    "append_trades": _append("trades", _tape_batches, TAPE_ORDER),
+    "append_tickers": _append("tickers", _bar_batches("tickers")),
     "idempotent_append": _idempotent_append,
     "api_snapshot_trades": _api_trades,
     "api_snapshot_klines": _api_klines,
@@ -174,6 +233,7 @@ QUERIES: dict[str, Query] = {
     "fct_trades_tape": _fct_trades_tape,
     "fct_trades_tape_scaled": _fct_trades_tape_scaled,
     "dim_symbols": _model("dim_symbols"),
+    "dim_symbols_all_snapshots": _dim_symbols_all_snapshots,
     "daily_summary": _model("daily_summary"),
     "daily_summary_candle_grain": _model("daily_summary_candle_grain"),
     "fct_candles_incremental": _fct_candles_incremental,

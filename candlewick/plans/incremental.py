@@ -69,23 +69,9 @@ def daily_since(fct_candles: DataFrame, daily_table: DataFrame, since) -> DataFr
 
 def overwrite_partitions(df: DataFrame, path: str, table: str) -> None:
     """Replace only the ``trade_date`` partitions present in ``df``."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        keys = [*MART_PARTITIONS[table], *CLUSTER_BY.get(table, ())]
-        (
-            df.repartitionByRange(*keys)
-            .sortWithinPartitions(*keys)
-            .write.mode("overwrite")
-            .partitionBy(*MART_PARTITIONS[table])
-            .parquet(path)
-        )
-    finally:
-        if previous is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    keys = [*MART_PARTITIONS[table], *CLUSTER_BY.get(table, ())]
+    writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*MART_PARTITIONS[table]).parquet(path)
 
 
 def refresh(spark: SparkSession, stg_klines: DataFrame, paths: dict[str, str], since) -> None:

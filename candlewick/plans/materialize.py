@@ -13,12 +13,13 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators import marts, metrics, staging
-from candlewick.plans.models import DEFAULT_AS_OF, Models, Raw
-from candlewick.session import release_scratch
+from candlewick.plans.models import Models, Raw
+from candlewick.session import scratch_scope
 
 MART_PARTITIONS = {
     "fct_candles": ("trade_date",),
@@ -62,27 +63,32 @@ def write_table(df: DataFrame, path: str, partition_by=(), cluster_by=()) -> Non
     w.parquet(path)
 
 
-def build(spark: SparkSession, raw: Raw, out_dir: str, as_of: _dt.datetime | None = DEFAULT_AS_OF) -> dict[str, str]:
-    """Write staging, intermediate and mart tables under ``out_dir``."""
+def build(spark: SparkSession, raw: Raw, out_dir: str, as_of: _dt.datetime | None = None,
+          skip: Collection[str] = ()) -> dict[str, str]:
+    """Write staging, intermediate and mart tables under ``out_dir``; ``as_of`` is
+    the dimension's stamp (default: the time of the run).
+    Marts named in ``skip`` that no other model reads are left out."""
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame, partition_by=()) -> DataFrame:
+    def put(name: str, df: DataFrame, partition_by=()) -> DataFrame | None:
+        if name in skip:
+            return None
         path = f"{out}/{name}"
         write_table(df, path, partition_by, CLUSTER_BY.get(name, ()))
         paths[name] = path
         return spark.read.parquet(path)
 
-    stg_k = put("stg_klines", staging.stg_klines(raw.klines))
-    stg_t = put("stg_trades", staging.stg_trades(raw.trades))
-    stg_x = put("stg_tickers", staging.stg_tickers(raw.tickers))
-    pm = put("price_metrics", metrics.price_metrics(stg_k))
-    put("symbol_volume", metrics.symbol_volume(stg_t, stg_x))
-    fc = put("fct_candles", marts.fct_candles(pm), MART_PARTITIONS["fct_candles"])
-    put("fct_trades", marts.fct_trades(stg_t), MART_PARTITIONS["fct_trades"])
-    put("dim_symbols", marts.dim_symbols(stg_x, stg_k, as_of=as_of))
-    put("daily_summary", marts.daily_summary(fc, sort=False), MART_PARTITIONS["daily_summary"])
-    put("daily_summary_candle_grain", marts.daily_summary_candle_grain(fc, sort=False),
-        MART_PARTITIONS["daily_summary_candle_grain"])
-    release_scratch(spark)  # intermediate tables of the blocked windows
+    with scratch_scope(spark):  # intermediate tables of the blocked windows
+        stg_k = put("stg_klines", staging.stg_klines(raw.klines))
+        stg_t = put("stg_trades", staging.stg_trades(raw.trades))
+        stg_x = put("stg_tickers", staging.stg_tickers(raw.tickers))
+        pm = put("price_metrics", metrics.price_metrics(stg_k))
+        put("symbol_volume", metrics.symbol_volume(stg_t, stg_x))
+        fc = put("fct_candles", marts.fct_candles(pm), MART_PARTITIONS["fct_candles"])
+        put("fct_trades", marts.fct_trades(stg_t), MART_PARTITIONS["fct_trades"])
+        put("dim_symbols", marts.dim_symbols(stg_x, stg_k, as_of=as_of))
+        put("daily_summary", marts.daily_summary(fc, sort=False), MART_PARTITIONS["daily_summary"])
+        put("daily_summary_candle_grain", marts.daily_summary_candle_grain(fc, sort=False),
+            MART_PARTITIONS["daily_summary_candle_grain"])
     return paths

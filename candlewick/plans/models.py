@@ -66,7 +66,7 @@ def tape_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 @dataclass
 class Models:
     raw: Raw
-    as_of: _dt.datetime | None = DEFAULT_AS_OF
+    as_of: _dt.datetime | None = None  # None: the time of the run
     _memo: dict = field(default_factory=dict)
 
     def _get(self, name, build):

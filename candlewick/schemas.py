@@ -72,12 +72,8 @@ RAW_KEYS = {
     "tickers": ("symbol", "open_time"),
 }
 
-# Epoch column each raw table is date-partitioned by when written.
-RAW_TIME_COLUMN = {"klines": "open_time", "trades": "trade_time", "tickers": "open_time"}
-
 # Exchange payload shapes (prices arrive as quoted strings).
 # Candles: an array of positional arrays; positions 0-10 are used.
-KLINE_PAYLOAD = "array<array<string>>"
 KLINE_POSITIONS = (
     # fixed values: position -> raw column, in payload order
     ("open_time", 0),
@@ -94,10 +90,6 @@ KLINE_POSITIONS = (
 )
 
 # Trades: an array of objects (payload field -> raw column).
-TRADE_PAYLOAD = (
-    "array<struct<id:bigint,price:string,qty:string,quoteQty:string,"
-    "time:bigint,isBuyerMaker:boolean>>"
-)
 TRADE_FIELDS = (
     # fixed values: payload field -> raw column
     ("id", "trade_id"),
@@ -126,12 +118,6 @@ TICKER_FIELDS = (
     ("closeTime", "close_time"),
     ("count", "count"),
 )
-TICKER_PAYLOAD = (
-    "struct<symbol:string,priceChange:string,priceChangePercent:string,"
-    "weightedAvgPrice:string,prevClosePrice:string,lastPrice:string,"
-    "openPrice:string,highPrice:string,lowPrice:string,volume:string,"
-    "quoteVolume:string,openTime:bigint,closeTime:bigint,count:int>"
-)
 
 # Symbols tracked by the original job (used by the accepted-values test when
 # no other list is given).

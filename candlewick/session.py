@@ -9,8 +9,11 @@ real size was measured at runtime.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        plain = configured.removeprefix("file://").removeprefix("file:")
+        if not spark.sparkContext.master.startswith("local") and plain.startswith(tempfile.gettempdir() + "/"):
+            raise RuntimeError("spark.checkpoint.dir is a temporary folder of one machine; name a shared one")
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
@@ -87,30 +93,42 @@ def build_session(
     return pin_conf(spark)
 
 
-_SCRATCH: list[str] = []
+# Paths written so far, one list per open scope; the first is the session's own.
+_SCOPES: list[list[str]] = [[]]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder under the shared checkpoint folder, remembered so that
-    ``release_scratch`` can delete it once the job that reads it is done."""
-    import uuid
-
+    """A new folder under the shared checkpoint folder; it belongs to the innermost
+    open ``scratch_scope``, or else lives until ``release_scratch``."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    _SCRATCH.append(path)
+    _SCOPES[-1].append(path)
     return path
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the scratch tables written so far (through the Hadoop
-    FileSystem of each path).  Call it after the results that read them
-    have been written or collected."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    while _SCRATCH:
-        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            fs.delete(p, True)
-            removed += 1
+def _delete(spark: SparkSession, paths: list[str]) -> int:
+    """Delete folders through the Hadoop FileSystem of each path."""
+    jvm, conf, removed = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        removed += bool(p.getFileSystem(conf).delete(p, True))
     return removed
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Scratch folders made inside are deleted at the end, also after an error;
+    those of frames made outside stay."""
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        yield own
+    finally:
+        _SCOPES.remove(own)
+        _delete(spark, own)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that no scope owns.  Call it after the results
+    that read them have been written or collected."""
+    paths, _SCOPES[0][:] = list(_SCOPES[0]), []
+    return _delete(spark, paths)

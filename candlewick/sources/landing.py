@@ -3,8 +3,8 @@
 Landed records keep API values as text (prices) and numbers (times,
 counts), plus an ISO ``extracted_at``.  Reading applies the raw schema with
 ``FAILFAST``: a malformed record fails the read rather than becoming NULLs.
-Each record also gets its arrival order (``_file``, ``_block``, ``_pos``:
-file, split start, and a counter that grows along each split) so that a
+Each record also gets its arrival order (``_mtime``, ``_file``, ``_block``,
+``_pos``: file time, file, split start, and a counter that grows along each split) so that a
 first-write-wins load can tell which duplicate came first.
 """
 
@@ -43,7 +43,7 @@ def write_landing(records: DataFrame, path: str) -> None:
 
 def read_landing(spark: SparkSession, path: str, dataset: str, multiline: bool = False) -> DataFrame:
     """Typed raw records from landed JSON (JSON lines, or arrays with
-    ``multiline=True``), with ``_file`` / ``_block`` / ``_pos`` arrival order."""
+    ``multiline=True``), with its arrival order."""
     pin_conf(spark)
     schema = RAW_SCHEMAS[dataset]
     raw = (
@@ -55,7 +55,16 @@ def read_landing(spark: SparkSession, path: str, dataset: str, multiline: bool =
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     return raw.select(
         *typed,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
+        *arrival_columns(),
         F.monotonically_increasing_id().alias("_pos"),
     )
+
+
+def arrival_columns() -> list:
+    """When and where a landed record came in: file time first, so that file names
+    need not sort."""
+    return [
+        F.col("_metadata.file_modification_time").alias("_mtime"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    ]

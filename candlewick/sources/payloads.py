@@ -1,10 +1,15 @@
 """Exchange payloads (JSON text) -> typed raw records.
 
 Each input row carries one payload as received (plus the symbol for candle
-and trade payloads, and the extraction stamp).  Parsing is ``from_json`` with
-a fixed schema and ``explode``: an empty or unparsable payload yields no
-rows, extra candle positions are ignored, and a price that is not a number
-raises under ANSI casts instead of turning into NULL.
+and trade payloads, and the extraction stamp).  Every value is read as text
+first and then cast, so nothing is lost on the way: a payload that is not the
+expected JSON, a key that is missing, or a value that its column cannot hold
+exactly (not a number, too many digits before or after the point) makes a bad
+record.  ``on_bad="fail"`` (the default) fails the run on the first one;
+``on_bad="quarantine"`` gives the good records only, and ``quarantined``
+gives the others with their text and the reason.  An empty payload array and
+a missing payload (a failed request) give no rows; extra candle positions
+are ignored.
 
 ``pack_*`` do the inverse on raw tables (bounded groups of at most ``per``
 records per payload, like the exchange's request limit); they exist to feed
@@ -15,19 +20,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from candlewick.schemas import (
-    KLINE_PAYLOAD,
-    KLINE_POSITIONS,
-    RAW_KLINES,
-    RAW_TICKERS,
-    RAW_TRADES,
-    TICKER_FIELDS,
-    TICKER_PAYLOAD,
-    TRADE_FIELDS,
-    TRADE_PAYLOAD,
-)
+from candlewick.schemas import KLINE_POSITIONS, RAW_KEYS, RAW_SCHEMAS, TICKER_FIELDS, TRADE_FIELDS
 
+# Payload shapes with every value as text, and (place in the payload, raw column).
+TEXT_SHAPES = {
+    "klines": ("array<array<string>>", tuple((place, name) for name, place in KLINE_POSITIONS)),
+    "trades": (f"array<struct<{','.join(f'{src}:string' for src, _ in TRADE_FIELDS)}>>", TRADE_FIELDS),
+    "tickers": (f"struct<{','.join(f'{src}:string' for src, _ in TICKER_FIELDS)}>", TICKER_FIELDS),
+}
 REQUEST_LIMIT = 100  # fixed value: records per candle / trade request
 
 
@@ -37,42 +39,88 @@ def _stamp(extracted_at: Column | str | None) -> Column:
     return (F.col(extracted_at) if isinstance(extracted_at, str) else extracted_at).cast("timestamp_ntz")
 
 
-def _typed(df: DataFrame, schema) -> DataFrame:
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def normalize_klines(payloads: DataFrame, payload: str = "payload", symbol: str = "symbol",
-                     extracted_at: Column | str | None = "extracted_at") -> DataFrame:
-    rows = payloads.select(
-        F.col(symbol).alias("symbol"),
+def _bad_value(text: Column, field: T.StructField) -> Column:
+    """True where the text is there and its column cannot hold it exactly."""
+    typed = text.try_cast(field.dataType)
+    bad = typed.isNull()
+    if isinstance(field.dataType, T.DecimalType):
+        wide = text.try_cast(T.DecimalType(38, 18))
+        bad = bad | wide.isNull() | (wide != typed) | text.rlike(r"\.\d{18}\d*[1-9]")
+    return text.isNotNull() & bad
+
+
+def _records(payloads: DataFrame, dataset: str, payload: str, symbol: str, extracted_at) -> DataFrame:
+    """One row per record: the raw columns, ``_reason`` (null: good), ``_payload``
+    and ``_record`` (its values as JSON); a payload that cannot be read is one
+    row without values."""
+    shape, fields = TEXT_SHAPES[dataset]
+    text = F.col(payload)
+    one = F.from_json(text, shape)
+    read = payloads.where(text.isNotNull()).select(
+        F.lit(None).cast("string").alias("_symbol") if dataset == "tickers" else F.col(symbol).alias("_symbol"),
         _stamp(extracted_at).alias("extracted_at"),
-        F.explode(F.from_json(F.col(payload), KLINE_PAYLOAD)).alias("_c"),
+        text.alias("_payload"),
+        F.when(F.try_parse_json(text).isNotNull(), F.array(one) if dataset == "tickers" else one).alias("_all"),
+    )
+    rows = read.where(F.col("_all").isNull() | (F.size("_all") > 0)).select(
+        "*", F.col("_all").isNull().alias("_broken"), F.explode_outer("_all").alias("_r")
+    )
+    value = {
+        name: F.get("_r", F.lit(src)) if dataset == "klines" else F.col(f"_r.{src}") for src, name in fields
+    }
+    if "symbol" not in value:
+        value["symbol"] = F.col("_symbol")
+    schema = RAW_SCHEMAS[dataset]
+    reasons = [F.when(F.col("_broken"), "payload: not the expected JSON")]
+    reasons += [F.when(value[k].isNull(), f"{k}: missing") for k in dict.fromkeys(["symbol", *RAW_KEYS[dataset]])]
+    reasons += [
+        F.when(_bad_value(value[f.name], f), f"{f.name}: not {f.dataType.simpleString()}")
+        for f in schema.fields
+        if f.name in value and not isinstance(f.dataType, T.StringType)
+    ]
+    typed = [
+        (value[f.name].try_cast(f.dataType) if f.name in value else F.col(f.name)).alias(f.name) for f in schema.fields
+    ]
+    return rows.select(
+        *typed, F.coalesce(*reasons).alias("_reason"), "_payload", F.to_json(F.struct(F.col("_r").alias("r"))).alias("_record")
     )
-    cols = [F.col("_c").getItem(pos).alias(name) for name, pos in KLINE_POSITIONS]
-    return _typed(rows.select("symbol", "extracted_at", *cols), RAW_KLINES)
 
 
-def normalize_trades(payloads: DataFrame, payload: str = "payload", symbol: str = "symbol",
-                     extracted_at: Column | str | None = "extracted_at") -> DataFrame:
-    rows = payloads.select(
-        F.col(symbol).alias("symbol"),
-        _stamp(extracted_at).alias("extracted_at"),
-        F.explode(F.from_json(F.col(payload), TRADE_PAYLOAD)).alias("_t"),
+def normalize(payloads: DataFrame, dataset: str, payload: str = "payload", symbol: str = "symbol",
+              extracted_at: Column | str | None = "extracted_at", on_bad: str = "fail") -> DataFrame:
+    """Typed raw records of ``dataset`` (``klines``, ``trades`` or ``tickers``)."""
+    if on_bad not in ("fail", "quarantine"):
+        raise ValueError(f"unknown on_bad {on_bad!r}")
+    rows = _records(payloads, dataset, payload, symbol, extracted_at)
+    good = F.col("_reason").isNull()
+    if on_bad == "fail":
+        text = F.concat(F.lit("bad record, "), "_reason", F.lit(": "), F.coalesce("_record", "_payload"))
+        good = F.when(good, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
+    return rows.where(good).select(*RAW_SCHEMAS[dataset].names)
+
+
+def quarantined(payloads: DataFrame, dataset: str, payload: str = "payload", symbol: str = "symbol",
+                extracted_at: Column | str | None = "extracted_at") -> DataFrame:
+    """The records that ``normalize`` does not give: symbol, extracted_at, reason,
+    record (its values as JSON) and the payload's text."""
+    rows = _records(payloads, dataset, payload, symbol, extracted_at).where(F.col("_reason").isNotNull())
+    return rows.select(
+        "symbol", "extracted_at", F.col("_reason").alias("reason"), F.col("_record").alias("record"),
+        F.col("_payload").alias("payload"),
     )
-    cols = [F.col(f"_t.{src}").alias(dst) for src, dst in TRADE_FIELDS]
-    return _typed(rows.select("symbol", "extracted_at", *cols), RAW_TRADES)
 
 
-def normalize_tickers(payloads: DataFrame, payload: str = "payload",
-                      extracted_at: Column | str | None = "extracted_at") -> DataFrame:
-    """One ticker object per payload; the symbol comes from the payload and a
-    failed request (NULL / unparsable payload) is skipped."""
-    rows = payloads.select(
-        _stamp(extracted_at).alias("extracted_at"),
-        F.from_json(F.col(payload), TICKER_PAYLOAD).alias("_k"),
-    ).where(F.col("_k.symbol").isNotNull())
-    cols = [F.col(f"_k.{src}").alias(dst) for src, dst in TICKER_FIELDS]
-    return _typed(rows.select("extracted_at", *cols), RAW_TICKERS)
+def normalize_klines(payloads: DataFrame, **options) -> DataFrame:
+    return normalize(payloads, "klines", **options)
+
+
+def normalize_trades(payloads: DataFrame, **options) -> DataFrame:
+    return normalize(payloads, "trades", **options)
+
+
+def normalize_tickers(payloads: DataFrame, **options) -> DataFrame:
+    """One ticker object per payload; the symbol comes from the payload."""
+    return normalize(payloads, "tickers", **options)
 
 
 def _text(c: str) -> Column:

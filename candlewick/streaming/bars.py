@@ -4,20 +4,27 @@ The streaming twin of ``operators.bars.candles_from_trades``: trades are
 grouped by symbol and a tumbling event-time window; a window's candle is
 emitted once the watermark (newest trade time minus the allowed lateness)
 has passed its end, and trades arriving later than that are dropped by the
-watermark.  Emitted candles equal the batch candles of the same trades.
+watermark: use it for live displays only.  Emitted candles equal the batch
+candles of the same trades.
+
+``update_candles`` loses nothing: a batch of trades is appended to the raw
+table (first write wins), and the candles of the days that it touches are
+computed again from all raw trades of those days.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.operators.bars import trade_order_key
+from candlewick.operators.bars import candles_from_trades, trade_order_key
+from candlewick.operators.ingest import append_idempotent, partition_value, read_raw_table, touched
 from candlewick.schemas import RAW_KLINES, VOLUME
 
+DAY_MS = 86_400_000
+
 
-def stream_candles(trades: DataFrame, interval: str = "1 hour", lateness: str = "10 minutes",
-                   interval_ms: int = 3_600_000) -> DataFrame:
+def stream_candles(trades: DataFrame, interval: str = "1 hour", lateness: str = "10 minutes") -> DataFrame:
     """Raw-klines rows from a (streaming) raw-trades DataFrame."""
     order = trade_order_key()
     taker = ~F.coalesce(F.col("is_buyer_maker"), F.lit(False))
@@ -48,7 +55,7 @@ def stream_candles(trades: DataFrame, interval: str = "1 hour", lateness: str =
         "low_price",
         "close_price",
         F.col("volume").cast(VOLUME).alias("volume"),
-        (open_ms + F.lit(interval_ms - 1)).alias("close_time"),
+        (F.unix_millis(F.col("w.end")) - 1).alias("close_time"),
         F.col("quote_volume").cast(VOLUME).alias("quote_asset_volume"),
         F.col("trade_count").cast("int").alias("number_of_trades"),
         F.col("taker_base").cast(VOLUME).alias("taker_buy_base_volume"),
@@ -56,3 +63,28 @@ def stream_candles(trades: DataFrame, interval: str = "1 hour", lateness: str =
         F.col("w.end").cast("timestamp_ntz").alias("extracted_at"),
     )
     return out.select([F.col(f.name).cast(f.dataType) for f in RAW_KLINES.fields])
+
+
+def candles_path(root: str) -> str:
+    return f"{root.rstrip('/')}/trade_candles"
+
+
+def update_candles(spark: SparkSession, trades: DataFrame, root: str, interval_ms: int = 3_600_000) -> None:
+    """Append a batch of raw trades and replace the candles of its days, for use in
+    ``foreachBatch``; a late trade corrects its candle, a replayed batch changes
+    nothing.  The candle table is partitioned by ``open_date``."""
+    if DAY_MS % interval_ms:
+        raise ValueError("candles must not reach over the end of a day")
+    append_idempotent(spark, trades, root, "trades")
+    day = F.to_date(F.timestamp_millis("trade_time"))
+    days = touched(trades.where(F.col("trade_time").isNotNull()).withColumn("open_date", day), "open_date")
+    if days is None:
+        return
+    raw = read_raw_table(spark, root, "trades").where(F.col("trade_time").isNotNull()).withColumn("open_date", day)
+    bars = candles_from_trades(raw.where(days), interval_ms).withColumn("open_date", partition_value("klines"))
+    writer = bars.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("open_date").parquet(candles_path(root))
+
+
+def read_candles(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(candles_path(root)).select(*RAW_KLINES.names)

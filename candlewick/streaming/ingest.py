@@ -17,19 +17,17 @@ from pyspark.sql.streaming import StreamingQuery
 from candlewick.operators.ingest import append_idempotent
 from candlewick.schemas import RAW_SCHEMAS
 from candlewick.session import checkpoint_dir, pin_conf
-from candlewick.sources.landing import landing_schema
+from candlewick.sources.landing import arrival_columns, landing_schema
 
 
-def landing_stream(spark: SparkSession, landing_dir: str, dataset: str) -> DataFrame:
-    """Typed raw records from a landing folder, as a stream."""
+def landing_stream(spark: SparkSession, landing_dir: str, dataset: str, multiline: bool = True) -> DataFrame:
+    """Typed raw records from a landing folder, as a stream: files of one JSON array
+    each, indented or not, or of JSON lines with ``multiline=False``."""
     pin_conf(spark)
-    raw = spark.readStream.schema(landing_schema(dataset)).option("mode", "FAILFAST").json(landing_dir)
+    reader = spark.readStream.schema(landing_schema(dataset)).option("mode", "FAILFAST")
+    raw = reader.option("multiLine", multiline).json(landing_dir)
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[dataset].fields]
-    return raw.select(
-        *typed,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    return raw.select(*typed, *arrival_columns())
 
 
 def start_landing_ingest(
@@ -39,6 +37,7 @@ def start_landing_ingest(
     root: str,
     checkpoint: str | None = None,
     available_now: bool = True,
+    multiline: bool = True,
 ) -> StreamingQuery:
     """Start (or resume) the ingest of ``landing_dir`` into the raw table."""
 
@@ -47,7 +46,7 @@ def start_landing_ingest(
         append_idempotent(spark, ordered, root, dataset)
 
     location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/ingest_{dataset}"
-    writer = landing_stream(spark, landing_dir, dataset).writeStream.foreachBatch(load).option(
+    writer = landing_stream(spark, landing_dir, dataset, multiline).writeStream.foreachBatch(load).option(
         "checkpointLocation", location
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -52,6 +52,12 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+for _name, _same in (("landing_round_trip", "normalize_trades"), ("append_klines", "normalize_klines"),
+                     ("append_trades", "idempotent_append"), ("append_tickers", "normalize_tickers"),
+                     ("dim_symbols_all_snapshots", "dim_symbols")):
+    DECIMAL_COLUMNS[_name] = DECIMAL_COLUMNS[_same]
+
+
 def exact(sql: str, cols: tuple[str, ...]) -> str:
     if not cols:
         return sql
@@ -79,6 +85,17 @@ _SQL: dict[str, str] = {
     "normalize_klines": model("norm_klines"),
     "normalize_trades": model("norm_trades"),
     "normalize_tickers": model("raw_tickers"),
+    "payload_klines": model("payload_klines"),
+    "payload_trades": model("payload_trades"),
+    "payload_tickers": model("payload_tickers"),
+    "normalize_quarantine": statement(
+        "select symbol, regexp_replace(reason, 'JSON .*', 'JSON') as reason, cast(sum(records) as bigint) as records "
+        "from normalize_quarantine group by 1, 2", "normalize_quarantine"),
+    "landing_round_trip": model("raw_trades"),
+    "append_klines": model("raw_klines"),
+    "append_trades": model("appended"),
+    "append_tickers": model("raw_tickers"),
+    "dim_symbols_all_snapshots": model("dim_symbols_all_snapshots"),
     "idempotent_append": model("appended"),
     "api_snapshot_trades": model("api_snapshot_trades"),
     "api_snapshot_klines": model("api_snapshot_klines"),

@@ -323,6 +323,48 @@ def dim_symbols_sql(tickers: str) -> str:
 cte("dim_symbols", ("latest_ticker", "kline_stats"), dim_symbols_sql("latest_ticker"))
 
 
+cte("dim_symbols_all_snapshots", ("stg_tickers", "kline_stats"), dim_symbols_sql("stg_tickers"))
+
+# Payload texts, every place and field written out.
+cte("payload_klines", ("raw_klines",), """
+    select symbol, max(extracted_at) as extracted_at,
+           '[' || string_agg(
+               '["' || open_time || '","' || open_price || '","' || high_price || '","' || low_price || '","'
+               || close_price || '","' || volume || '","' || close_time || '","' || quote_asset_volume || '","'
+               || number_of_trades || '","' || taker_buy_base_volume || '","' || taker_buy_quote_volume || '"]',
+               ',' order by open_time) || ']' as payload
+    from raw_klines group by symbol, floor(open_time / 360000000)""")
+cte("payload_trades", ("raw_trades",), """
+    select symbol, max(extracted_at) as extracted_at,
+           '[' || string_agg(
+               '{"id":' || trade_id || ',"price":"' || price || '","qty":"' || quantity || '","quoteQty":"' || quote_qty
+               || '","time":' || trade_time || coalesce(',"isBuyerMaker":' || is_buyer_maker, '') || '}',
+               ',' order by trade_id) || ']' as payload
+    from raw_trades group by symbol, trade_id // 100""")
+cte("payload_tickers", ("raw_tickers",), """
+    select extracted_at,
+           '{"symbol":"' || symbol || '"'
+           || coalesce(',"priceChange":"' || price_change || '"', '')
+           || coalesce(',"priceChangePercent":"' || price_change_pct || '"', '')
+           || coalesce(',"weightedAvgPrice":"' || weighted_avg_price || '"', '')
+           || coalesce(',"prevClosePrice":"' || prev_close_price || '"', '')
+           || ',"lastPrice":"' || last_price || '","openPrice":"' || open_price || '","highPrice":"' || high_price
+           || '","lowPrice":"' || low_price || '","volume":"' || volume || '","quoteVolume":"' || quote_volume
+           || '","openTime":' || open_time || ',"closeTime":' || close_time || ',"count":' || "count" || '}' as payload
+    from raw_tickers""")
+cte("normalize_quarantine", ("raw_trades",), """
+    select symbol, reason, count(*) as records from (
+        select symbol,
+               case when regexp_matches(cast(trade_id as varchar), '[05]7$') then 'trade_id: not bigint'
+                    when regexp_matches(cast(trade_id as varchar), '[05]9$') then 'price: not decimal(18,8)' end as reason
+        from raw_trades where (trade_id // 100) % 7 <> 3
+        union all
+        select distinct symbol, 'payload: not the expected JSON ' || (trade_id // 100) from raw_trades
+        where (trade_id // 100) % 7 = 3
+    ) where reason is not null
+    group by symbol, reason""")
+
+
 def _daily_aggs() -> str:
     return f"""
            round(min(low_price), 4) as daily_low,

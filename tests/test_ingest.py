@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 from decimal import Decimal
 
@@ -57,16 +58,50 @@ def test_null_symbol_rejected(spark, scratch):
         ingest.append_idempotent(spark, b, scratch, "trades")
 
 
-def test_conflict_check_reads_only_touched_partitions(spark, scratch):
+@pytest.mark.parametrize("limit", [1000, 1])
+def test_conflict_check_reads_only_touched_partitions(spark, scratch, monkeypatch, limit):
+    monkeypatch.setattr(ingest, "MAX_TOUCHED", limit)
     raw = standin_raw(spark, SF_SMALL).klines
     ingest.append_idempotent(spark, raw, scratch, "klines")
-    batch = raw.where(F.col("open_time") < F.lit(1704153600000)).withColumn(
-        ingest.PARTITION_COLUMN["klines"], ingest.partition_value("klines"))
+    landed = os.path.join(scratch, "landed")
+    write_landing(raw.where("open_time >= 1704153600000 and open_time < 1704326400000"), landed)  # two days
+    batch = read_landing(spark, landed, "klines").withColumn("open_date", ingest.partition_value("klines"))
     table = ingest.read_raw_table(spark, scratch, "klines", with_partition=True)
-    plan = ingest.new_rows(batch, table, ("symbol", "open_time"), ["extracted_at"], "open_date")
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in text.lower() or "PartitionFilters: [isnotnull(open_date" in text
-    assert plan.count() == 0
+    days = table.select("open_date").distinct().count()
+    read = table.where(ingest.touched(batch, "open_date"))
+    read.collect()
+    scan = read._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert days > 20
+    assert scan.metrics().apply("numPartitions").value() == 2
+    assert ingest.new_rows(batch, table, ("symbol", "open_time"), ["_mtime"], "open_date").count() == 0
+
+
+def test_batch_is_read_once(spark, scratch):
+    raw = standin_raw(spark, SF_SMALL).klines
+    landed, seen = os.path.join(scratch, "landed"), spark.sparkContext.accumulator(0)
+    write_landing(raw, landed)
+
+    def count(rows):
+        for part in rows:
+            seen.add(len(part))
+            yield part
+
+    batch = read_landing(spark, landed, "klines").drop("_mtime", "_file", "_block", "_pos")
+    ingest.append_idempotent(spark, batch.mapInPandas(count, batch.schema), scratch, "klines")
+    assert seen.value == raw.count() == ingest.read_raw_table(spark, scratch, "klines").count()
+
+
+def test_arrival_order_is_by_file_time(spark, scratch):
+    landed = os.path.join(scratch, "landed")
+    os.makedirs(landed)
+    for name, price, when in (("run_9.json", "1", 1_700_000_000), ("run_10.json", "2", 1_700_003_600)):
+        path = os.path.join(landed, name)
+        with open(path, "w") as f:
+            json.dump([{"symbol": "A", "trade_id": 1, "price": price, "quantity": "1", "quote_qty": "1", "trade_time": 1,
+                        "is_buyer_maker": False, "extracted_at": "2024-01-01T00:00:00"}], f, indent=2)
+        os.utime(path, (when, when))
+    ingest.append_idempotent(spark, read_landing(spark, landed, "trades", multiline=True), scratch, "trades")
+    assert [r.price for r in ingest.read_raw_table(spark, scratch, "trades").collect()] == [Decimal(1)]
 
 
 def test_landing_round_trip_keeps_arrival_order(spark, scratch):
@@ -74,9 +109,9 @@ def test_landing_round_trip_keeps_arrival_order(spark, scratch):
     path = os.path.join(scratch, "landing")
     write_landing(raw, path)
     back = read_landing(spark, path, "klines")
-    assert {"_file", "_block", "_pos"} <= set(back.columns)
-    assert back.drop("_file", "_block", "_pos").exceptAll(raw).count() == 0
-    assert raw.exceptAll(back.drop("_file", "_block", "_pos")).count() == 0
+    assert {"_mtime", "_file", "_block", "_pos"} <= set(back.columns)
+    assert back.drop("_mtime", "_file", "_block", "_pos").exceptAll(raw).count() == 0
+    assert raw.exceptAll(back.drop("_mtime", "_file", "_block", "_pos")).count() == 0
 
 
 def test_empty_batch_is_a_no_op(spark, scratch):

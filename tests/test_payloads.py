@@ -38,7 +38,10 @@ def test_tickers_symbol_from_payload_and_failed_skipped(spark):
           '"prevClosePrice":"674.85","lastPrice":"679.45","openPrice":"674.85","highPrice":"687.82",'
           '"lowPrice":"670.13","volume":"1","quoteVolume":"2","openTime":1,"closeTime":2,"count":3}')
     df = spark.createDataFrame([(ok, T0), (None, T0), ("not json", T0)], "payload string, extracted_at timestamp_ntz")
-    out = payloads.normalize_tickers(df).collect()
+    with pytest.raises(Exception, match="not the expected JSON"):
+        payloads.normalize_tickers(df).collect()
+    out = payloads.normalize_tickers(df, on_bad="quarantine").collect()
+    assert [r.reason for r in payloads.quarantined(df, "tickers").collect()] == ["payload: not the expected JSON"]
     assert [(r["symbol"], r["price_change_pct"], r["count"]) for r in out] == [("BNBUSDT", Decimal("0.68200000"), 3)]
 
 
@@ -47,3 +50,37 @@ def test_bad_price_fails_instead_of_null(spark):
     df = spark.createDataFrame([("ETHUSDT", payload, T0)], "symbol string, payload string, extracted_at timestamp_ntz")
     with pytest.raises(Exception):
         payloads.normalize_trades(df).collect()
+
+
+TRADE = '{"id": %s, "price": "%s", "qty": "%s", "quoteQty": "7", "time": 1, "isBuyerMaker": false}'
+
+
+@pytest.mark.parametrize(
+    ("payload", "reason"),
+    [
+        ("[" + TRADE % (1, "1", "2") + "," + TRADE % (2, "1", "2")[:20], "payload: not the expected JSON"),
+        ("[" + TRADE % ('"x4"', "1", "2") + "]", "trade_id: not bigint"),
+        ("[" + TRADE % ("null", "1", "2") + "]", "trade_id: missing"),
+        ("[" + TRADE % (1, "0.0000012345", "2") + "]", "price: not decimal(18,8)"),
+        ("[" + TRADE % (1, "1", "12000000000") + "]", "quantity: not decimal(18,8)"),
+        ("[" + TRADE % (1, "abc", "2") + "]", "price: not decimal(18,8)"),
+        ('{"code": -1121, "msg": "Invalid symbol."}', "trade_id: missing"),
+        ('"down for maintenance"', "payload: not the expected JSON"),
+    ],
+)
+def test_bad_records_fail_or_go_to_quarantine(spark, payload, reason):
+    good = "[" + TRADE % (9, "1.50", "2.00000000000") + "]"
+    df = spark.createDataFrame([("A", payload, T0), ("A", good, T0)], "symbol string, payload string, extracted_at timestamp_ntz")
+    with pytest.raises(Exception, match="bad record"):
+        payloads.normalize_trades(df).count()
+    kept = payloads.normalize_trades(df, on_bad="quarantine").collect()
+    assert [(r.trade_id, r.price) for r in kept] == [(9, Decimal("1.50000000"))]
+    bad = payloads.quarantined(df, "trades").collect()
+    assert [(r.symbol, r.reason, r.payload) for r in bad] == [("A", reason, payload)]
+
+
+def test_short_candle_goes_to_quarantine(spark):
+    payload = '[[1773630000000,"1.5"],[]]'
+    df = spark.createDataFrame([("A", payload, T0)], "symbol string, payload string, extracted_at timestamp_ntz")
+    assert [r.open_time for r in payloads.normalize_klines(df, on_bad="quarantine").collect()] == [1773630000000]
+    assert [r.reason for r in payloads.quarantined(df, "klines").collect()] == ["open_time: missing"]

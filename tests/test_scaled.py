@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from decimal import Decimal
 
+import pytest
+
 from candlewick.operators import marts, metrics, scaled, staging
 from candlewick.plans.models import standin_models, tape_trades
 from candlewick.schemas import RAW_TRADES
@@ -54,12 +57,29 @@ def test_nulls_sort_last_and_null_values_skip(spark):
 
 
 def test_scratch_tables_are_released(spark):
-    from candlewick.session import _SCRATCH, release_scratch
+    from candlewick.session import _SCOPES, release_scratch
 
     stg = standin_models(spark, SF_SMALL).stg_trades
     scaled.fct_trades_scaled(stg, block_rows=100).count()
-    assert _SCRATCH
-    assert release_scratch(spark) >= 1 and not _SCRATCH
+    assert _SCOPES[0]
+    assert release_scratch(spark) >= 1 and not _SCOPES[0]
+
+
+def test_a_scope_releases_its_own_scratch_only(spark):
+    from candlewick.session import _SCOPES, scratch_scope
+
+    stg = standin_models(spark, SF_SMALL).stg_trades
+    outer = scaled.fct_trades_scaled(stg, block_rows=100)
+    with scratch_scope(spark) as own:
+        inner = scaled.fct_trades_scaled(stg, block_rows=200)
+        assert own and inner.count() == outer.count()
+    assert not any(os.path.exists(p.removeprefix("file://")) for p in own)
+    assert outer.count() == stg.count()
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark) as own:
+        scaled.fct_trades_scaled(stg, block_rows=200)
+        raise ZeroDivisionError
+    assert own and not any(os.path.exists(p.removeprefix("file://")) for p in own)
+    assert len(_SCOPES) == 1
 
 
 def test_rows_without_symbol_take_the_plain_window(spark):

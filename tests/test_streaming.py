@@ -11,7 +11,7 @@ from candlewick.operators import bars, ingest
 from candlewick.plans.models import standin_raw
 from candlewick.schemas import RAW_TRADES
 from candlewick.sources.landing import write_landing
-from candlewick.streaming.bars import stream_candles
+from candlewick.streaming.bars import read_candles, stream_candles, update_candles
 from candlewick.streaming.ingest import start_landing_ingest
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -23,13 +23,15 @@ def test_landing_stream_ingest_is_idempotent(spark, scratch):
     first = trades.where(F.col("trade_time") < F.lit(1704844800000))  # before 2024-01-10
     write_landing(first, os.path.join(landing, "run1"))
     write_landing(trades, os.path.join(landing, "run2"))  # re-sends everything
-    q = start_landing_ingest(spark, landing + "/*", "trades", scratch, checkpoint=os.path.join(scratch, "ckpt"))
+    q = start_landing_ingest(spark, landing + "/*", "trades", scratch, checkpoint=os.path.join(scratch, "ckpt"),
+                             multiline=False)
     q.awaitTermination(300)
     table = ingest.read_raw_table(spark, scratch, "trades")
     assert table.count() == trades.count()
     assert table.exceptAll(trades).count() == 0
     # replaying the whole landing folder under a fresh checkpoint inserts nothing
-    q2 = start_landing_ingest(spark, landing + "/*", "trades", scratch, checkpoint=os.path.join(scratch, "ckpt2"))
+    q2 = start_landing_ingest(spark, landing + "/*", "trades", scratch, checkpoint=os.path.join(scratch, "ckpt2"),
+                              multiline=False)
     q2.awaitTermination(300)
     assert ingest.read_raw_table(spark, scratch, "trades").count() == trades.count()
 
@@ -81,3 +83,24 @@ def test_late_trades_after_the_watermark_are_dropped(spark, scratch):
     first_hour = emitted.where(F.col("open_time") == t0).collect()
     assert len(first_hour) == 1
     assert all(r.high_price == Decimal("10.00000000") and r.number_of_trades == 1 for r in first_hour)
+
+
+def test_close_time_follows_the_interval(spark, scratch):
+    trades = standin_raw(spark, SF_SMALL).trades
+    src = os.path.join(scratch, "trades")
+    trades.write.parquet(src)
+    stream = spark.readStream.schema(RAW_TRADES).parquet(src)
+    q = (stream_candles(stream, interval="5 minutes").writeStream.format("memory").queryName("candles_5m")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert spark.table("candles_5m").selectExpr("max(close_time - open_time) x", "min(close_time - open_time) y").first() == (299_999, 299_999)
+
+
+def test_a_late_trade_corrects_its_candle(spark, scratch):
+    trades = standin_raw(spark, SF_SMALL).trades
+    late = F.pmod("trade_id", F.lit(10)) == 3
+    update_candles(spark, trades.where(~late), scratch)
+    update_candles(spark, trades.where(late), scratch)
+    update_candles(spark, trades.where(late), scratch)  # a replayed batch
+    got, want = read_candles(spark, scratch), bars.candles_from_trades(trades)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
