@@ -8,7 +8,8 @@
 ``ingest`` appends new landed records (first write wins) through a
 ``availableNow`` stream, from files of one JSON array each, or of JSON lines
 with ``lines``; ``build`` writes every model layer; ``refresh``
-rewrites the candle fact and daily mart from SINCE's day on; ``check`` runs
+rewrites the candle fact and daily mart from SINCE's day on, and the other
+tables in full; ``check`` runs
 the 28 column tests on the written tables and prints the failing ones.
 The Spark master and settings come from ``spark-submit`` / the environment.
 """
@@ -19,10 +20,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from candlewick.operators import ingest, quality, staging
+from candlewick.operators import ingest, quality
 from candlewick.plans import incremental, materialize
 from candlewick.plans.models import Raw
-from candlewick.session import pin_conf, scratch_scope
+from candlewick.session import pin_conf
 from candlewick.streaming.ingest import start_landing_ingest
 
 
@@ -49,9 +50,9 @@ def main(argv: list[str]) -> int:
             print(f"{name}\t{path}")
     elif cmd == "refresh":
         root, out, since = args
-        paths = {n: f"{out.rstrip('/')}/{n}" for n in ("fct_candles", "daily_summary")}
-        with scratch_scope(spark):
-            incremental.refresh(spark, staging.stg_klines(_raw(spark, root).klines), paths, since)
+        fresh = ("fct_candles", "daily_summary")
+        incremental.refresh(spark, root, {n: f"{out.rstrip('/')}/{n}" for n in fresh}, since)
+        materialize.build(spark, _raw(spark, root), out, skip=fresh)
     else:
         out, symbols = args[0], args[1:]
         names = ("stg_klines", "stg_trades", "stg_tickers", "price_metrics", "symbol_volume",

@@ -8,23 +8,28 @@ windows reach back a bounded number of rows:
   rank only compares candles of the same hour;
 * the daily mart looks back 6 days (rolling 7) plus one (volume change).
 
-So the refresh reads the candles of the days from ``since`` on (whole days:
-the partitions it overwrites) plus the newest ``lookback`` earlier rows of
-each symbol (a per-symbol top-N, planned as a partial limit before
-the shuffle), recomputes, keeps rows at or after ``since`` and overwrites
-only those ``trade_date`` partitions (dynamic partition overwrite).  The
-result equals a full refresh; ``tests/test_incremental.py`` checks that.
+So the refresh reads the raw candles of the ``open_date`` partitions from
+``since``'s day on (exact: the de-duplication key holds the open time), and
+the earlier rows from the written tables, walking back over their
+``trade_date`` partitions until every symbol concerned has enough rows or the
+table begins.  It recomputes, overwrites the ``trade_date`` partitions from
+that day on and removes those that no longer have a row.  The result equals a
+full refresh; ``tests/test_incremental.py`` checks that.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.operators import marts, metrics
+from candlewick.operators import marts, metrics, staging
+from candlewick.operators.ingest import read_raw_table
+from candlewick.operators.scaled import written_table
 from candlewick.plans.materialize import CLUSTER_BY, MART_PARTITIONS
+from candlewick.session import scratch_scope
 
 CANDLE_LOOKBACK = metrics.MA_SLOW - 1  # rows before the first new candle
 DAY_LOOKBACK = marts.ROLLING_DAYS  # days before the first new day (6 + 1 for lag)
@@ -74,10 +79,66 @@ def overwrite_partitions(df: DataFrame, path: str, table: str) -> None:
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*MART_PARTITIONS[table]).parquet(path)
 
 
-def refresh(spark: SparkSession, stg_klines: DataFrame, paths: dict[str, str], since) -> None:
-    """Refresh ``fct_candles`` and ``daily_summary`` from ``since`` on."""
-    candles = candles_since(stg_klines, since)
-    overwrite_partitions(candles, paths["fct_candles"], "fct_candles")
-    fct = spark.read.parquet(paths["fct_candles"])
-    daily = spark.read.parquet(paths["daily_summary"])
-    overwrite_partitions(daily_since(fct, daily, since), paths["daily_summary"], "daily_summary")
+def partition_days(spark: SparkSession, path: str) -> list[str]:
+    """The ``trade_date`` partitions of a written table, from its folder names."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    return sorted(n.removeprefix("trade_date=") for n in names if re.fullmatch(r"trade_date=\d{4}-\d\d-\d\d", n))
+
+
+def drop_days(spark: SparkSession, path: str, days: list[str]) -> None:
+    jvm = spark._jvm
+    for day in days:
+        place = jvm.org.apache.hadoop.fs.Path(f"{path}/trade_date={day}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def earlier_rows(spark: SparkSession, path: str, time_col: str, start_day: str, rows: int, symbols: DataFrame) -> DataFrame:
+    """The newest ``rows`` rows of each of ``symbols`` before a day, read from the
+    fewest partitions of a written table that a walk back by doubling needs."""
+    table = spark.read.parquet(path)
+    days = [d for d in partition_days(spark, path) if d < start_day]
+    take = 2
+    while True:
+        since = days[-take] if take < len(days) else (days[0] if days else start_day)
+        part = table.where((F.col("trade_date") >= F.lit(since).cast("date")) & (F.col("trade_date") < F.lit(start_day).cast("date")))
+        part = part.join(symbols, "symbol", "left_semi")
+        enough = part.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= rows)
+        if take >= len(days) or symbols.join(enough, "symbol", "left_anti").isEmpty():
+            w = Window.partitionBy("symbol").orderBy(F.col(time_col).desc_nulls_last())
+            return part.select("*", F.row_number().over(w).alias("_rn")).where(F.col("_rn") <= rows).drop("_rn")
+        take *= 2
+
+
+def raw_since(spark: SparkSession, root: str, start_day: str) -> DataFrame:
+    """Staged candles of the raw partitions from a day on."""
+    raw = read_raw_table(spark, root, "klines", with_partition=True)
+    return staging.stg_klines(raw.where(F.col("open_date") >= F.lit(start_day).cast("date")).drop("open_date"))
+
+
+def refresh(spark: SparkSession, root: str, paths: dict[str, str], since) -> None:
+    """Refresh ``fct_candles`` and ``daily_summary`` from ``since``'s day on, from the
+    raw tables under ``root``."""
+    start = spark.range(1).select(F.to_date(_since(since)).cast("string")).first()[0]
+
+    def replace(table: str, rows: DataFrame) -> None:
+        path = paths[table]
+        fresh = {str(r[0]) for r in rows.select("trade_date").distinct().collect()}  # one per day
+        overwrite_partitions(rows, path, table)
+        drop_days(spark, path, [d for d in partition_days(spark, path) if d >= start and d not in fresh])
+
+    with scratch_scope(spark):
+        new = written_table(raw_since(spark, root, start), "new_candles")
+        symbols = new.select("symbol").distinct()
+        tail = earlier_rows(spark, paths["fct_candles"], "opened_at", start, CANDLE_LOOKBACK, symbols)
+        used = [c for c in new.columns if c in tail.columns]
+        context = new.select(*used).unionByName(tail.select(*used))
+        candles = marts.fct_candles(metrics.price_metrics(context)).where(F.col("opened_at") >= F.lit(start).cast("timestamp"))
+        replace("fct_candles", written_table(candles, "candles"))
+
+        fct = spark.read.parquet(paths["fct_candles"]).where(F.col("trade_date") >= F.lit(start).cast("date"))
+        days = marts.daily_aggregates(fct)
+        prior = earlier_rows(spark, paths["daily_summary"], "trade_date", start, DAY_LOOKBACK, symbols).select(*days.columns)
+        daily = marts.with_daily_trends(days.unionByName(prior)).where(F.col("trade_date") >= F.lit(start).cast("date"))
+        replace("daily_summary", written_table(daily, "daily"))

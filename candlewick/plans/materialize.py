@@ -36,6 +36,9 @@ CLUSTER_BY = {
 }
 
 
+SHARED = ("fct_candles",)  # marts that others read
+
+
 def register_views(models: Models) -> list[str]:
     """Register every model as a temporary view named after it."""
     names = ["stg_klines", "stg_trades", "stg_tickers", "latest_ticker", "price_metrics", "symbol_volume",
@@ -67,14 +70,15 @@ def build(spark: SparkSession, raw: Raw, out_dir: str, as_of: _dt.datetime | Non
           skip: Collection[str] = ()) -> dict[str, str]:
     """Write staging, intermediate and mart tables under ``out_dir``; ``as_of`` is
     the dimension's stamp (default: the time of the run).
-    Marts named in ``skip`` that no other model reads are left out."""
+    Marts named in ``skip`` are left as they are; the candle fact must then be
+    there, as other marts read it."""
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame, partition_by=()) -> DataFrame | None:
-        if name in skip:
-            return None
         path = f"{out}/{name}"
+        if name in skip:
+            return spark.read.parquet(path) if name in SHARED else None
         write_table(df, path, partition_by, CLUSTER_BY.get(name, ()))
         paths[name] = path
         return spark.read.parquet(path)

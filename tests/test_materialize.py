@@ -50,6 +50,7 @@ def test_command_line_build_refresh_check(spark, scratch, capsys):
         ingest.append_idempotent(spark, getattr(raw, name), root, name)
     assert main(["build", root, out]) == 0
     assert main(["refresh", root, out, "2024-01-25 00:00:00"]) == 0
+    assert spark.read.parquet(os.path.join(out, "fct_trades")).count() == raw.trades.count()
     symbols = ["CLICKUSDT", "ERRORUSDT", "PURCHASEUSDT", "SIGNUPUSDT", "VIEWUSDT"]
     assert main(["check", out, *symbols]) == 1  # snapshots repeat symbols in stg_tickers
     assert "FAIL stg_tickers.symbol unique: 5" in capsys.readouterr().out
