@@ -101,8 +101,10 @@ def symbol_volume(stg_trades: DataFrame, stg_tickers: DataFrame, all_snapshots:
     ``all_snapshots=True`` every snapshot is joined, as the original model
     does, which repeats a symbol once per snapshot.
 
-    The dominance share and both ranks run over the whole aggregated result
-    (one row per symbol and snapshot), never over trades.
+    The dominance share and both ranks run over the whole aggregated result.
+    That is one row per symbol by default; with all snapshots, whose number
+    grows with time, they come from counts (``snapshot_ranks``), not from a
+    window over all rows.
     """
     tickers = stg_tickers if all_snapshots else latest_ticker(stg_tickers)
     ts = trade_summary(stg_trades)
@@ -118,6 +120,8 @@ def symbol_volume(stg_trades: DataFrame, stg_tickers: DataFrame, all_snapshots:
         F.col("trade_count").alias("daily_trade_count"),
         "price_spread_pct",
     )
+    if all_snapshots:
+        return snapshot_ranks(ts, tk)
     everything = Window.partitionBy()
     joined = ts.join(tk, "symbol", "left")
     return joined.select(
@@ -126,3 +130,35 @@ def symbol_volume(stg_trades: DataFrame, stg_tickers: DataFrame, all_snapshots:
         F.rank().over(Window.orderBy(F.col("total_volume_usdt").desc_nulls_first())).alias("volume_rank"),
         F.rank().over(Window.orderBy(F.col("price_change_pct").desc_nulls_first())).alias("momentum_rank"),
     )
+
+
+def snapshot_ranks(ts: DataFrame, tk: DataFrame) -> DataFrame:
+    """Trade summaries with every snapshot of their symbol, and the shares and ranks
+    that windows over all these rows would give.
+
+    Total and volume rank follow from the summaries, each weighted by its number
+    of snapshots (a window over one row per symbol).  The momentum rank adds the
+    rows in whole-percent steps above the row's own (a window over one row per
+    step) to its rank within the step.
+    """
+    weight = tk.groupBy("symbol").agg(F.count(F.lit(1)).alias("_w"))
+    rows = ts.join(weight, "symbol", "left").withColumn("_w", F.coalesce("_w", F.lit(1)))
+    down = Window.orderBy(F.col("total_volume_usdt").desc_nulls_first())
+    upto = F.sum("_w").over(down.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    peers = F.sum("_w").over(Window.partitionBy("total_volume_usdt"))
+    total = F.sum(F.col("total_volume_usdt") * F.col("_w")).over(Window.partitionBy())
+    shares = rows.select(
+        *ts.columns,
+        rounded(pct("total_volume_usdt", total), 2).alias("volume_dominance_pct"),
+        (upto - peers + 1).cast("int").alias("volume_rank"),
+    )
+    joined = shares.join(tk, "symbol", "left").withColumn("_step", F.floor("price_change_pct"))
+    steps = joined.groupBy("_step").agg(F.count(F.lit(1)).alias("_n"))
+    above = Window.orderBy(F.col("_step").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    steps = steps.select(F.col("_step").alias("_of"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
+    own = Window.partitionBy("_step").orderBy(F.col("price_change_pct").desc_nulls_first())
+    ranked = joined.withColumn("_rank", F.rank().over(own)).join(steps, F.col("_step").eqNullSafe(F.col("_of")))
+    return ranked.select(
+        *ts.columns, *[c for c in tk.columns if c != "symbol"], "volume_dominance_pct", "volume_rank",
+        (F.col("_above") + F.col("_rank")).cast("int").alias("momentum_rank"),
+    )
