@@ -8,7 +8,6 @@ import os
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from candlewick.operators import ingest
 from candlewick.plans.models import standin_raw
