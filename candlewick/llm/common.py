@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -15,11 +16,26 @@ from pyspark.sql.pandas.types import to_arrow_type
 from candlewick.session import scratch_path
 
 #: Bytes of text that a worker holds as numpy arrays at a time.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
+
+
+#: Rows and bytes of a batch that Spark hands to a worker: texts are long.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
+
+
+def ready_workers(spark: SparkSession) -> None:
+    """Bound the batches of the session's Python workers, where it does not itself,
+    and let those of a local session import this package from where it lies."""
+    for key, value in BATCH.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    if spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     """A table of the given folder."""
+    ready_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +59,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     the steps before.
     """
     spark = df.sparkSession
+    ready_workers(spark)
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -103,6 +120,7 @@ def with_lists(df: DataFrame, reads: list[str], added: dict[str, T.DataType], ma
     ``reads`` that returns a list for each added column. Other columns pass
     through untouched; columns of the added names are replaced.
     """
+    ready_workers(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name not in added]
     types = {name: to_arrow_type(kind) for name, kind in added.items()}
 
@@ -118,6 +136,7 @@ def with_lists(df: DataFrame, reads: list[str], added: dict[str, T.DataType], ma
 
 def where_lists(df: DataFrame, reads: list[str], made: Callable[[], Callable[..., list[bool]]]) -> DataFrame:
     """The rows, all columns, for which the function that ``made`` gives is true."""
+    ready_workers(df.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = made()
