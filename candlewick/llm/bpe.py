@@ -64,7 +64,6 @@ class WordBPE:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)  # by rank
-        self.known: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         """The words of a text; special tokens stand as they are."""
@@ -134,17 +133,19 @@ class WordBPE:
             rank[near] = self._ranks(sym[near], sym[near + 1])
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, as little-endian 32-bit numbers."""
+    def encode(self, texts: list[str | None], known: dict[str, bytes] | None = None) -> list[bytes]:
+        """The ids of each text, as little-endian 32-bit numbers. ``known`` keeps
+        words with their ids for the next call, within its bound."""
+        known = {} if known is None else known
         rows = [self.pieces(t) if t else [] for t in texts]
-        new = sorted({w for r in rows for w in r if w not in self.known})
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {}
+        new = sorted({w for r in rows for w in r if w not in known})
+        if len(known) + len(new) > KNOWN_WORDS:
+            known.clear()
             new = sorted({w for r in rows for w in r})
         plain = [w for w in new if w not in self.special]
-        self.known |= zip(plain, self.merge([w.encode("utf-8") for w in plain]), strict=True)
-        self.known |= {w: np.uint32(self.special[w]).tobytes() for w in new if w in self.special}
-        get = self.known.__getitem__
+        known.update(zip(plain, self.merge([w.encode("utf-8") for w in plain]), strict=True))
+        known.update((w, np.uint32(self.special[w]).tobytes()) for w in new if w in self.special)
+        get = known.__getitem__
         return [b"".join(map(get, r)) for r in rows]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -162,7 +163,8 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
 
     def made() -> Callable[[list], tuple]:
         bpe = tokenizer(path)
-        return lambda texts: ([x for a, b in blocks([t or "" for t in texts]) for x in bpe.encode(texts[a:b])],)
+        known: dict[str, bytes] = {}  # of this task: a worker that is used again starts anew
+        return lambda texts: ([x for a, b in blocks([t or "" for t in texts]) for x in bpe.encode(texts[a:b], known)],)
 
     return with_lists(df, [text_col], {ids_col: T.BinaryType()}, made)
 
