@@ -36,9 +36,9 @@ from pyspark.sql import types as T
 from candlewick.llm.common import blocks, stored, utf8, with_lists
 from candlewick.llm.quality_rules import Counts
 
-DEPTH = 6
+DEPTH = 5
 #: Distinct keys that a worker sums before it passes them on.
-HELD_KEYS = 3_000_000
+HELD_KEYS = 1_500_000
 SYMBOLS = 256
 
 
@@ -96,7 +96,7 @@ def corpus_counts(texts: DataFrame, depth: int) -> DataFrame:
         counts, words, grams = Counts(), Sums(0), Sums(1)
         for part in parts:
             data = [normal(t) for t in utf8(part["text"])]
-            for a, b in blocks(data):
+            for a, b in blocks(data, 500_000):
                 yield from words.add(counts.words(b" ".join(data[a:b]))[0])
                 yield from grams.add(codes(data[a:b], depth)[0])
         yield from words.rows()
@@ -270,7 +270,7 @@ def scored(
     depth: int = DEPTH,
     min_share: float = 2e-6,
     divergence: float = 6.0,
-    chunk_bytes: int = 16_000_000,
+    chunk_bytes: int = 8_000_000,
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row.
@@ -292,7 +292,7 @@ def scored(
         counts, score = Counts(), Scorer(tree)
         rows = []
         data = [normal(t) for t in utf8(own["text"])]
-        for a, b in blocks(data):
+        for a, b in blocks(data, 500_000):
             hashes = [counts.words(t)[0].view(np.int64) for t in data[a:b]]
             size = np.array([len(h) for h in hashes], dtype=np.int64)
             flat = np.concatenate([*hashes, np.zeros(0, np.int64)])
