@@ -61,7 +61,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     ready_workers(spark)
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # the shared folder also holds copies of texts
     return spark.read.schema(df.schema).parquet(path)
 
 
