@@ -2,19 +2,25 @@
 
 The symbols are the bytes of a text's words, joined by one space, between marks
 of its start and end. A state of the tree is a context of up to ``depth``
-symbols. Candidates are the contexts that make up ``min_share`` or more of the
-training symbols, which bounds their number whatever the corpus; a candidate is
-retained if the next symbols after it diverge from those after its longest
-proper suffix by ``divergence`` nats or more over all its occurrences, or if a
-longer retained context ends in it. Distributions are smoothed towards that of
-the suffix by the number of distinct next symbols, and at last towards equal
-shares of all bytes. A symbol's probability is taken from the longest suffix of
-what comes before it that is a state; so the probabilities of all texts of
-words sum to one.
+symbols. Candidates are the contexts that occur ``min_count`` times or more in
+the training texts, however large the corpus is, or that make up ``min_share``
+of its symbols where that is given instead; a candidate is retained if the next
+symbols after it diverge from those after its longest proper suffix by
+``divergence`` nats or more over all its occurrences, or if a longer retained
+context ends in it. Distributions are smoothed towards that of the suffix by the
+number of distinct next symbols, and at last towards equal shares of all bytes.
+A symbol's probability is taken from the longest suffix of what comes before it
+that is a state; so the probabilities of all texts of words sum to one.
+
+The tree grows with the corpus, so it stays a table: the probability of every
+context of ``depth`` symbols and next symbol that some text holds. Contexts with
+the same last ``NEAR`` + 1 symbols meet in a task, which thus sees all their
+longer suffixes; only those of up to ``NEAR`` symbols, at most 256^3 with their
+next ones whatever the corpus, are handled in the driver. The table meets the
+texts in chunks of about ``chunk_bytes``.
 
 Beside the score every text gets a unigram base score: each of its words has
-the count of training words, which grow with the corpus, so counts and texts
-meet in chunks of about ``chunk_bytes`` of text.
+the count of training words, which meet the chunks in the same way.
 
 Null and empty texts have the end only. Repeated rows count and are scored
 each; other columns play no part; without training texts every byte has a share
@@ -29,17 +35,23 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.common import blocks, stored, utf8, with_lists
+from candlewick.llm.common import blocks, stored, utf8, whole_runs, with_lists
 from candlewick.llm.quality_rules import Counts
 
 DEPTH = 5
+#: Contexts that occur less often in training texts are no candidates.
+MIN_COUNT = 2
 #: Distinct keys that a worker sums before it passes them on.
 HELD_KEYS = 1_500_000
 SYMBOLS = 256
+#: Contexts of up to so many symbols are handled in the driver.
+NEAR = 2
+#: Rows of counts that a worker computes probabilities of at a time, or one context's.
+TREE_ROWS = 400_000
 
 
 def normal(text: bytes) -> bytes:
@@ -72,10 +84,10 @@ class Sums:
     def __init__(self, kind: int):
         self.kind, self.keys, self.held = kind, [], 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pd.DataFrame]:
-        found = np.unique(keys, return_counts=True)
-        self.keys.append(found)
-        self.held += len(found[0])
+    def add(self, keys: np.ndarray, weight: int = 1) -> Iterator[pd.DataFrame]:
+        key, n = np.unique(keys, return_counts=True)
+        self.keys.append((key, n * weight))
+        self.held += len(key)
         if self.held > HELD_KEYS:
             yield from self.rows()
 
@@ -89,143 +101,129 @@ class Sums:
         self.keys, self.held = [], 0
 
 
-def corpus_counts(texts: DataFrame, depth: int) -> DataFrame:
-    """(kind, key, n): counts of word hashes (0) and of contexts with a next symbol (1)."""
+def corpus_counts(texts: DataFrame, out: Column, depth: int) -> DataFrame:
+    """(kind, key, n): counts of word hashes (0) and of contexts with a next symbol
+    (1) in training texts; those of the contexts of other texts only are 0."""
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, words, grams = Counts(), Sums(0), Sums(1)
         for part in parts:
-            data = [normal(t) for t in utf8(part["text"])]
-            for a, b in blocks(data, 500_000):
-                yield from words.add(counts.words(b" ".join(data[a:b]))[0])
-                yield from grams.add(codes(data[a:b], depth)[0])
+            for held, own in part.groupby("held", sort=False):
+                data = [normal(t) for t in utf8(own["text"])]
+                for a, b in blocks(data, 500_000):
+                    if not held:
+                        yield from words.add(counts.words(b" ".join(data[a:b]))[0])
+                    yield from grams.add(codes(data[a:b], depth)[0], 0 if held else 1)
         yield from words.rows()
         yield from grams.rows()
 
-    rows = texts.select("text").mapInPandas(run, "kind int, key long, n long")
+    rows = texts.select("text", out.alias("held")).mapInPandas(run, "kind int, key long, n long")
     return rows.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 @dataclass
-class Tree:
-    """Log10 probabilities of symbols after states, and the log10 share that each
-    state leaves to its suffix; keys are codes with the depth on top."""
+class Level:
+    """Contexts of one length, with the symbols after them."""
 
-    key: np.ndarray
-    value: np.ndarray
-    state: np.ndarray
-    left: np.ndarray
     depth: int
-    root: float
-
-
-def tagged(code: np.ndarray, depth: int) -> np.ndarray:
-    return code | np.uint64(depth << 56)
-
-
-def grown(counts: DataFrame, depth: int, min_share: float, divergence: float) -> Tree:
-    """The tree of the counts (key, n) of codes of ``depth`` symbols and the next."""
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for d in range(depth, -1, -1):
-        if d < depth:
-            counts = stored(counts.groupBy(F.col("key").bitwiseAND(F.lit(int(mask(d + 1)))).alias("key")).agg(F.sum("n").alias("n")), "contexts")
-        context = Window.partitionBy(F.shiftright("key", 8))  # at most 256 rows each
-        kept = counts.withColumn("total", F.sum("n").over(context)).where(F.col("total") >= min_share * total)
-        table = kept.toArrow()  # at most 256 / min_share rows
-        key = table["key"].to_numpy().astype(np.uint64)
-        order = np.argsort(key)
-        levels.append((key[order], table["n"].to_numpy()[order].astype(float), table["total"].to_numpy()[order].astype(float)))
-    levels.reverse()
-    share = np.full(SYMBOLS, 1 / SYMBOLS)
-    before, chance = np.arange(SYMBOLS, dtype=np.uint64), share
-    states: list[tuple[np.ndarray, np.ndarray]] = []  # of each depth: contexts, which are retained
-    tables = []
-    for d, (key, n, all_n) in enumerate(levels):
+    key: np.ndarray
+    chance: np.ndarray
+    which: np.ndarray  # the context of each key
+    context: np.ndarray
+    kept: np.ndarray  # contexts that are retained
+
+
+def levels(code: np.ndarray, n: np.ndarray, depths: range, before: np.ndarray, chance: np.ndarray, least: float, divergence: float) -> list[Level]:
+    """The levels of the given depths of counted codes, which hold all of a context's
+    or none. ``before`` and ``chance`` are the keys and chances of the level before."""
+    out = []
+    for d in depths:
+        key, at = np.unique(code & mask(d + 1), return_inverse=True)
+        own_n = np.bincount(at, n, minlength=len(key))
         parent = chance[np.searchsorted(before, key & mask(max(d, 1)))]
         context = key >> np.uint64(8)
         first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(key) else np.zeros(0, np.int64)
-        kinds = np.diff(np.append(first, len(key)))
-        which = np.repeat(np.arange(len(first)), kinds)
-        own = (n + kinds[which] * parent) / (all_n + kinds[which])
-        apart = np.add.reduceat(n * np.log(own / parent), first) if len(first) else np.zeros(0)
-        left = kinds / (all_n[first] + kinds)
-        states.append((context[first], apart >= divergence if d else np.ones(len(first), bool)))
-        tables.append((key, own, which, left))
+        which = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
+        total, kinds = np.bincount(which, own_n, minlength=len(first)), np.bincount(which, own_n > 0, minlength=len(first))
+        counted = (total > 0) & ((total >= least) | (d == 0))
+        own = np.where(counted[which], (own_n + kinds[which] * parent) / np.maximum(total + kinds, 1)[which], parent)
+        apart = np.bincount(which, own_n * np.log(own / parent), minlength=len(first))
+        out.append(Level(d, key, own, which, context[first], counted & ((apart >= divergence) | (d == 0))))
         before, chance = key, own
-    for d in range(len(states) - 1, 1, -1):  # suffixes of retained contexts are retained
-        kept = np.searchsorted(states[d - 1][0], states[d][0][states[d][1]] & mask(d - 1))
-        states[d - 1][1][kept] = True
-    key, value, state, rest = [], [], [], []
-    for d, ((context, kept), (code, own, which, left)) in enumerate(zip(states, tables, strict=True)):
-        on = kept[which] if len(which) else np.zeros(0, bool)
-        key.append(tagged(code[on], d))
-        value.append(np.log10(own[on]))
-        state.append(tagged(context[kept], d))
-        rest.append(np.log10(left[kept]))
-    root = float(rest[0][0]) if len(rest[0]) else 0.0
-    return Tree(*(np.concatenate(x) for x in (key, value, state, rest)), depth, root)
-
-
-class Lookup:
-    """Values of sparse 64-bit keys, by open addressing."""
-
-    NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(len(keys) * 2).bit_length())
-        self.shift, self.last = np.uint64(64 - bits), np.int64((1 << bits) - 1)
-        self.keys, self.values = np.full(1 << bits, self.NONE), np.zeros(1 << bits)
-        at = self.slot(keys)
-        while len(keys):
-            self.keys[at] = np.where(self.keys[at] == self.NONE, keys, self.keys[at])
-            here = self.keys[at] == keys
-            self.values[at[here]] = values[here]
-            keys, values, at = keys[~here], values[~here], (at[~here] + 1) & self.last
-
-    def slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-
-    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(found, value)."""
-        at = self.slot(keys)
-        there = self.keys[at]
-        found = there == keys
-        left = np.flatnonzero(~found & (there != self.NONE))
-        while len(left):
-            at[left] = (at[left] + 1) & self.last
-            there = self.keys[at[left]]
-            found[left] = there == keys[left]
-            left = left[(there != keys[left]) & (there != self.NONE)]
-        return found, self.values[at]
-
-
-class Scorer:
-    """Log10 probabilities of texts under a tree."""
-
-    def __init__(self, tree: Tree):
-        self.tree = tree
-        self.after, self.left = Lookup(tree.key, tree.value), Lookup(tree.state, tree.left)
-
-    def symbols(self, code: np.ndarray) -> np.ndarray:
-        out, going = np.zeros(len(code)), np.arange(len(code))
-        for d in range(self.tree.depth, -1, -1):
-            own = code[going] & mask(d + 1)
-            found, value = self.after(tagged(own, d))
-            out[going[found]] += value[found]
-            going, own = going[~found], own[~found]
-            if d:
-                found, value = self.left(tagged(own >> np.uint64(8), d))
-                out[going[found]] += value[found]
-        out[going] += self.tree.root - np.log10(SYMBOLS)
-        return out
-
-    def __call__(self, texts: list[bytes]) -> np.ndarray:
-        out = []
-        for a, b in blocks(texts, 500_000):
-            code, sizes = codes(texts[a:b], self.tree.depth)
-            out.append(np.add.reduceat(self.symbols(code), np.cumsum(sizes) - sizes))
-        return np.concatenate(out) if out else np.zeros(0)
+    for longer, shorter in zip(out[:0:-1], out[-2::-1], strict=True):
+        keep_suffixes(shorter, longer.context[longer.kept])
+    return out
+
+
+def keep_suffixes(level: Level, longer: np.ndarray) -> None:
+    """Retain the contexts that retained ones of one symbol more end in."""
+    level.kept[np.searchsorted(level.context, longer & mask(level.depth))] = True
+
+
+def final(found: list[Level], before: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """The chance of each key of the last level, from its longest retained suffix;
+    ``before`` and ``chance`` are the keys and such chances of the level before."""
+    for x in found:
+        chance = np.where(x.kept[x.which], x.chance, chance[np.searchsorted(before, x.key & mask(max(x.depth, 1)))])
+        before = x.key
+    return chance
+
+
+@dataclass
+class Near:
+    """Log10 probabilities of symbols after contexts of ``NEAR`` symbols, or fewer."""
+
+    key: np.ndarray
+    value: np.ndarray
+    depth: int
+
+    def __call__(self, code: np.ndarray) -> np.ndarray:
+        return self.value[np.searchsorted(self.key, code & mask(self.depth + 1))]
+
+
+def grown(counts: DataFrame, depth: int, min_count: int, min_share: float | None, divergence: float) -> tuple[Near, DataFrame]:
+    """The tree of the counts (key, n) of codes of ``depth`` symbols and the next:
+    chances after the near contexts, and (key, value) of the codes whose longest
+    state is longer: their log10 probability."""
+    near = min(NEAR, depth)
+    low = counts.groupBy(F.col("key").bitwiseAND(F.lit(int(mask(near + 1)))).alias("key")).agg(F.sum("n").alias("n")).toArrow()
+    key, n = low["key"].to_numpy().astype(np.uint64), low["n"].to_numpy().astype(float)
+    least = min_count if min_share is None else min_share * n.sum()
+    start, equal = np.arange(SYMBOLS, dtype=np.uint64), np.full(SYMBOLS, 1 / SYMBOLS)
+    found = levels(key, n, range(near + 1), start, equal, least, divergence)
+    last, chance = found[-1].key, found[-1].chance
+
+    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in gathered(whole_runs(parts, ["context"]), TREE_ROWS):
+            code, n = part["key"].to_numpy().view(np.uint64), part["n"].to_numpy().astype(float)
+            own = levels(code, n, range(near + 1, depth + 1), last, chance, least, divergence)
+            p = final(own, last, np.full(len(last), np.nan))
+            on = ~np.isnan(p)
+            yield pd.DataFrame({"key": own[-1].key[on].view(np.int64), "value": np.log10(p[on])})
+
+    if depth > near:
+        context = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit(int(mask(near + 1))))
+        rows = counts.select("key", "n", context.alias("context")).repartition("context").sortWithinPartitions("context")
+        values = stored(rows.mapInPandas(run, "key long, value double"), "tree")
+        held = values.select(F.shiftrightunsigned("key", 8).bitwiseAND(F.lit(int(mask(near)))).alias("c")).distinct()
+        keep_suffixes(found[-1], held.toArrow()["c"].to_numpy().astype(np.uint64))  # at most 256^NEAR
+        for longer, shorter in zip(found[:0:-1], found[-2::-1], strict=True):
+            keep_suffixes(shorter, longer.context[longer.kept])
+    else:
+        values = counts.sparkSession.createDataFrame([], "key long, value double")
+    return Near(last, np.log10(final(found, start, equal)), near), values
+
+
+def gathered(parts: Iterable[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Batches put together until they hold so many rows."""
+    held: list[pd.DataFrame] = []
+    for part in parts:
+        held.append(part)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def chunked(docs: DataFrame, chunk_bytes: int) -> DataFrame:
@@ -248,17 +246,29 @@ def chunked(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     return with_lists(docs, ["text"], {"chunk": T.LongType()}, made)
 
 
-def chunk_words(texts: DataFrame) -> DataFrame:
-    """(chunk, key): hashes of the words of each chunk; a chunk's may repeat."""
+def chunk_keys(texts: DataFrame, depth: int) -> DataFrame:
+    """(chunk, kind, key): hashes of the words and codes of the symbols of each
+    chunk; a chunk's may repeat."""
+
+    def rows(chunk: int, data: list[bytes], counts: Counts) -> Iterator[pd.DataFrame]:
+        words = np.unique(counts.words(b" ".join(data))[0])
+        found = [np.unique(codes(data[a:b], depth)[0]) for a, b in blocks(data, 500_000)]
+        for kind, key in ((0, words), (1, np.unique(np.concatenate(found)))):
+            yield pd.DataFrame({"chunk": chunk, "kind": kind, "key": key.view(np.int64)})
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = Counts()
+        counts, at, data = Counts(), None, []
         for part in parts:
             for chunk, own in part.groupby("chunk", sort=False):
-                key = np.unique(counts.words(b" ".join(normal(t) for t in utf8(own["text"])))[0])
-                yield pd.DataFrame({"chunk": chunk, "key": key.view(np.int64)})
+                if chunk != at and data:
+                    yield from rows(at, data, counts)
+                    data = []
+                at = chunk
+                data += [normal(t) for t in utf8(own["text"])]
+        if data:
+            yield from rows(at, data, counts)
 
-    return texts.select("chunk", "text").mapInPandas(run, "chunk long, key long").distinct()
+    return texts.select("chunk", "text").mapInPandas(run, "chunk long, kind int, key long")
 
 
 RESULT = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -268,7 +278,8 @@ def scored(
     docs: DataFrame,
     out: Column,
     depth: int = DEPTH,
-    min_share: float = 2e-6,
+    min_count: int = MIN_COUNT,
+    min_share: float | None = None,
     divergence: float = 6.0,
     chunk_bytes: int = 8_000_000,
     text_col: str = "text",
@@ -278,31 +289,51 @@ def scored(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = stored(chunked(rows, chunk_bytes), "chunks")
     train = texts.where(~out)
-    counts = stored(corpus_counts(train, depth), "counts")
+    counts = stored(corpus_counts(texts, out, depth), "counts")
     words = counts.where("kind = 0").select("key", "n")
-    tree = grown(counts.where("kind = 1").select("key", "n"), depth, min_share, divergence)
+    near, tree = grown(counts.where("kind = 1").select("key", "n"), depth, min_count, min_share, divergence)
     ends = train.count()
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums.n + ends, sums.v + (ends > 0)
     least = np.log10(total + distinct + 1)
 
     def run(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        known = known.sort_values("key")
-        key, n = known["key"].to_numpy(), known["n"].to_numpy()
-        counts, score = Counts(), Scorer(tree)
+        key, n = sorted_of(known, 0)
+        code, value = sorted_of(known, 1)
+        code = code.view(np.uint64)
+        counts = Counts()
         rows = []
         data = [normal(t) for t in utf8(own["text"])]
         for a, b in blocks(data, 500_000):
             hashes = [counts.words(t)[0].view(np.int64) for t in data[a:b]]
             size = np.array([len(h) for h in hashes], dtype=np.int64)
-            flat = np.concatenate([*hashes, np.zeros(0, np.int64)])
-            at = np.minimum(np.searchsorted(key, flat), max(len(key) - 1, 0))
-            c = np.where(key[at] == flat, n[at], 0) if len(key) else np.zeros(len(flat), dtype=np.int64)
+            c = looked_up(key, n, np.concatenate([*hashes, np.zeros(0, np.int64)]), 0.0)
             text = np.repeat(np.arange(b - a), size)
             base = np.bincount(text, np.log10(c + 1) - least, minlength=b - a) + np.log10(ends + 1) - least
             seen = np.bincount(text, c > 0, minlength=b - a).astype(np.int64) + (ends > 0)
-            rows.append(pd.DataFrame({"n_tokens": size + 1, "n_known": seen, "train_tokens": total, "base_score": base, "score": score(data[a:b])}))
+            symbols, sizes = codes(data[a:b], depth)
+            p = looked_up(code, value, symbols, np.nan)
+            rest = np.isnan(p)
+            p[rest] = near(symbols[rest])
+            score = np.add.reduceat(p, np.cumsum(sizes) - sizes)
+            rows.append(pd.DataFrame({"n_tokens": size + 1, "n_known": seen, "train_tokens": total, "base_score": base, "score": score}))
         return pd.concat(rows, ignore_index=True).assign(doc_id=own["doc_id"].array)[[c.split()[0] for c in RESULT.split(", ")]]
 
-    need = chunk_words(texts).join(words, "key").select("chunk", "key", "n")
+    found = words.selectExpr("0 as kind", "key", "double(n) as value").unionByName(tree.selectExpr("1 as kind", "key", "value"))
+    need = chunk_keys(texts, depth).join(found, ["kind", "key"]).select("chunk", "kind", "key", "value")
     return texts.groupBy("chunk").cogroup(need.groupBy("chunk")).applyInPandas(run, RESULT)
+
+
+def sorted_of(known: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    own = known[known["kind"] == kind]
+    key, value = own["key"].to_numpy(), own["value"].to_numpy()
+    order = np.argsort(key.view(np.uint64) if kind else key)
+    return key[order], value[order]
+
+
+def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
+    """Values of the wanted keys by sorted keys."""
+    if not len(keys):
+        return np.full(len(wanted), missing)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], missing)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import zlib
@@ -116,3 +117,12 @@ def test_no_training_and_no_rows(spark):
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and r.score == pytest.approx(-10 * math.log10(256))
     assert r.base_score == 0
     assert lm.scored(df.limit(0), held_out(7, 2)).count() == 0
+
+
+def test_rare_contexts_stay_in_a_large_corpus(spark):
+    ids = (i for i in itertools.count(1) if not out_of_training(i, 7, 2))
+    rare = "zqxjkvwbpf"
+    for copies in (1, 300):
+        docs = [(next(ids), rare, "", 1) for _ in range(5)] + [(next(ids), "on the way to " * 1_000, "", 1) for _ in range(copies)]
+        got = lm.scored(spark.createDataFrame(docs, SCHEMA), held_out(7, 2)).collect()
+        assert all(r.score > -8 for r in got if r.n_tokens == 2)
