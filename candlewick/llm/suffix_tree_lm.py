@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from candlewick.llm.common import blocks, stored, utf8, whole_runs, with_lists
 from candlewick.llm.quality_rules import Counts
 
-DEPTH = 5
+DEPTH = 6
 #: Contexts that occur less often in training texts are no candidates.
 MIN_COUNT = 2
 #: Distinct keys that a worker sums before it passes them on.
