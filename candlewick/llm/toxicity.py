@@ -43,9 +43,13 @@ LOOKS = {
 #: for none, a gap for nothing, a gap between words.
 AS_LETTER, AS_NOTHING, AS_REPEAT, AS_GAP, AS_SPLIT = -0.7, -8.0, -1.5, -0.5, -6.0
 LETTERS = 28  # the boundary of a word, a to z, any other letter
-SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*]{1,2}[^\W_]){2,}(?![^\W_])")
+SIGNS = "".join(c for c in LOOKS if not c.isalnum())
+_UNIT = rf"(?:[^\W_]|[{re.escape(SIGNS)}])"
+SPACED = re.compile(rf"(?<![^\W_]){_UNIT}(?:[ .\-_*]{{1,2}}{_UNIT}){{2,}}(?![^\W_])")
 DRAWN = re.compile(r"([^\W\d_])\1\1")
 EDGE = ".,;:!?\"'()[]{}<>*#%&|~^`=-_/\\…„“”«»¿¡"
+#: Longer runs are decoded each time, and in steps of so many characters.
+STEP = 200
 PREFIXES = range(3, 11)
 #: Words of a lower bound under this are no evidence of toxicity together.
 EVIDENT = 0.5
@@ -112,26 +116,49 @@ class Restorer:
         return [*found, ("", AS_REPEAT)] if c == before else found
 
     def _decode(self, raw: str) -> str:
-        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        before = ""
-        for c in raw:
-            new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        states: dict[tuple[int, int], tuple[float, list | None]] = {(0, 0): (0.0, None)}
+        before, done = "", []
+        for i, c in enumerate(raw):
+            new: dict[tuple[int, int], tuple[float, list | None]] = {}
+            options = self.options(c, before)
             for (p, q), (score, path) in states.items():
-                for x, cost in self.options(c, before):
+                for x, cost in options:
                     at, s, to = (p, q), score + cost, path
                     if x:
                         k = letter(x)
-                        at, s, to = (q, k), s + self.model[p][q][k], (path, x)
+                        at, s, to = (q, k), s + self.model[p][q][k], [path, x]
                     if at not in new or s > new[at][0]:
                         new[at] = (s, to)
             states, before = new, c
+            if i % STEP == STEP - 1:
+                self.settle([path for _, path in states.values()], done)
         path = max(((s + self.model[p][q][0], at, to) for at, (s, to) in states.items() for p, q in [at]), key=lambda x: x[:2])[2]
+        return "".join(done) + self.spelt(path)
+
+    @staticmethod
+    def spelt(path: list | None) -> str:
         out = []
         while path:
             path, x = path
             out.append(x)
         return "".join(reversed(out))
 
+    def settle(self, paths: list[list | None], done: list[str]) -> None:
+        """Move what all paths begin with to ``done``."""
+        common: list[list] = []  # nodes of all paths so far, the last one first
+        for n, path in enumerate(paths):
+            own, nodes = [], {id(x) for x in common}
+            while path and not (n and id(path) in nodes):
+                own.append(path)
+                path = path[0]
+            if n:
+                common = common[next((i for i, x in enumerate(common) if x is path), len(common)) :]
+            else:
+                common = own
+        if common:
+            done.append(self.spelt(common[0]))
+            common[0][:] = [None, ""]
+
     def word(self, token: str) -> str:
         """A token in small letters, restored; edge punctuation goes."""
         core = token.rstrip(EDGE).lstrip(EDGE)
@@ -141,10 +168,16 @@ class Restorer:
             return core
         return self.decode(core)
 
+    def run(self, raw: str) -> str:
+        """A run of letters set apart, restored; sums and the like stay."""
+        if not any(map(str.isalpha, raw)) and any(c in SIGNS for c in raw):
+            return raw
+        return self.decode(raw) if len(raw) <= STEP else self._decode(raw)
+
     def restore(self, text: str) -> str:
         """The text in small letters, its words restored and set apart by spaces."""
         low = text.lower()
-        low = SPACED.sub(lambda m: self.decode(m[0]) if len(m[0]) < 200 else m[0], low) if SPACED.search(low) else low
+        low = SPACED.sub(lambda m: self.run(m[0]), low)
         drawn = bool(DRAWN.search(low))
         return " ".join([t if t.isalpha() and not drawn else self.word(t) for t in low.split()])
 

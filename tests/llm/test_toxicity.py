@@ -78,3 +78,13 @@ def test_cases(spark):
     assert got.count() == len(docs)
     assert toxicity.score_texts(df.limit(0), labels, held_out(3, 1)).count() == 0
     assert {r.score for r in toxicity.score_texts(df, labels.limit(0), held_out(3, 1)).collect()} == {0.0}
+
+
+def test_runs_of_any_length_and_with_signs(model, monkeypatch):
+    r = toxicity.Restorer(model)
+    assert [r.restore(raw) for raw in ("$ t u p i d", "1 d ! o t", "(s c u m)")] == ["stupid", "idiot", "scum"]
+    long = "  ".join(["s t u p i d"] * 40)
+    assert len(long) > 200 and r.restore(long).count("stupid") == 40
+    whole = r.restore(" ".join("you are a stupid idiot"[i % 22] for i in range(900)))
+    monkeypatch.setattr(toxicity, "STEP", 10_000)
+    assert toxicity.Restorer(model).restore(" ".join("you are a stupid idiot"[i % 22] for i in range(900))) == whole
