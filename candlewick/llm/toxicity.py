@@ -42,12 +42,15 @@ LOOKS = {
 #: Natural log of the channel: a sign for a letter, a sign for nothing, a repeated letter
 #: for none, a gap for nothing, a gap between words.
 AS_LETTER, AS_NOTHING, AS_REPEAT, AS_GAP, AS_SPLIT = -0.7, -8.0, -1.5, -0.5, -6.0
+#: The same of a sign for nothing where it is punctuation: before a word, after it.
+AS_OPENING, AS_CLOSING = {"(": -4.5, "|": -4.5}, {"!": -2.0, "|": -4.5, "$": -6.0}
 LETTERS = 28  # the boundary of a word, a to z, any other letter
 SIGNS = "".join(c for c in LOOKS if not c.isalnum())
 _UNIT = rf"(?:[^\W_]|[{re.escape(SIGNS)}])"
 SPACED = re.compile(rf"(?<![^\W_]){_UNIT}(?:[ .\-_*]{{1,2}}{_UNIT}){{2,}}(?![^\W_])")
 DRAWN = re.compile(r"([^\W\d_])\1\1")
-EDGE = ".,;:!?\"'()[]{}<>*#%&|~^`=-_/\\…„“”«»¿¡"
+REPEATED = re.compile(r"([^\W\d_]|[^\w\s])\1\1")
+EDGE = ".,;:?\"')[]{}<>*#%&~^`=-_/\\…„“”«»¿¡"  # none of the signs for letters
 #: Longer runs are decoded each time, and in steps of so many characters.
 STEP = 200
 PREFIXES = range(3, 11)
@@ -103,24 +106,27 @@ class Restorer:
         self.decode = lru_cache(maxsize=50_000)(self._decode)
 
     @staticmethod
-    def options(c: str, before: str) -> list[tuple[str, float]]:
+    def options(c: str, before: str, nothing: float = AS_NOTHING) -> list[tuple[str, float]]:
         """What a character may stand for, with the log-probability of that."""
         if c.isalpha():
             found = [(c, 0.0)]
         elif c in LOOKS:
-            found = [(x, AS_LETTER) for x in LOOKS[c]] + [("", AS_NOTHING)]
+            found = [(x, AS_LETTER) for x in LOOKS[c]] + [("", nothing)]
         elif c in " .-_*":
             found = [("", AS_GAP), (" ", AS_SPLIT)]
         else:
             found = [("", AS_GAP)]
         return [*found, ("", AS_REPEAT)] if c == before else found
 
-    def _decode(self, raw: str) -> str:
+    def _decode(self, raw: str, drawn: bool = True) -> str:
         states: dict[tuple[int, int], tuple[float, list | None]] = {(0, 0): (0.0, None)}
         before, done = "", []
+        inner = [i for i, c in enumerate(raw) if c.isalnum()] or [len(raw)]
+        first, last = inner[0], inner[-1]
         for i, c in enumerate(raw):
             new: dict[tuple[int, int], tuple[float, list | None]] = {}
-            options = self.options(c, before)
+            nothing = (AS_OPENING if i < first else AS_CLOSING if i > last else {}).get(c, AS_NOTHING)
+            options = self.options(c, before if drawn else "", nothing)
             for (p, q), (score, path) in states.items():
                 for x, cost in options:
                     at, s, to = (p, q), score + cost, path
@@ -160,13 +166,19 @@ class Restorer:
             common[0][:] = [None, ""]
 
     def word(self, token: str) -> str:
-        """A token in small letters, restored; edge punctuation goes."""
-        core = token.rstrip(EDGE).lstrip(EDGE)
-        if core[-2:] == "$$":
-            core = core.rstrip("$" + EDGE)
-        if core.isalpha() and not DRAWN.search(core) or not any(map(str.isalpha, core)):
+        """A token in small letters, restored; edge punctuation goes. Without letters
+        only one of several signs for letters, not digits alone, may be a word."""
+        core = token.strip(EDGE)
+        plain = core.strip(EDGE + SIGNS)
+        if core.isalpha() and not DRAWN.search(core):
             return core
-        return self.decode(core)
+        if any(map(str.isalpha, core)):
+            drawn = not plain.isalpha() or bool(REPEATED.search(core))
+        elif len(found := {c for c in core if c in LOOKS}) < 2 or found.isdisjoint(SIGNS):
+            return plain
+        else:
+            drawn = bool(REPEATED.search(core))
+        return self.decode(core, drawn) if len(core) <= STEP else self._decode(core, drawn)
 
     def run(self, raw: str) -> str:
         """A run of letters set apart, restored; sums and the like stay."""

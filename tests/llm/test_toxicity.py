@@ -88,3 +88,12 @@ def test_runs_of_any_length_and_with_signs(model, monkeypatch):
     whole = r.restore(" ".join("you are a stupid idiot"[i % 22] for i in range(900)))
     monkeypatch.setattr(toxicity, "STEP", 10_000)
     assert toxicity.Restorer(model).restore(" ".join("you are a stupid idiot"[i % 22] for i in range(900))) == whole
+
+
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [("!diot", "idiot"), ("|oser", "loser"), ("(lown", "clown"), ("worthle$$", "worthless"), ("$tup!d!", "stupid"), ("@$", "as"),
+     ("hello!", "hello"), ("good!!", "good"), ("(see", "see"), ("(the!)", "the"), ("!!!", ""), ("$$$", "")],
+)
+def test_signs_at_edges(model, raw, want):
+    assert toxicity.Restorer(model).restore(raw) == want
