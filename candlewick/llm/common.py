@@ -46,10 +46,12 @@ def held_out(divisor: int, remainder: int, id_col: str = "doc_id") -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, out: Column, max_rows: int) -> DataFrame:
     """(text, y): labelled rows outside ``out``, at most ``max_rows`` of them, those
-    of smallest hash of the id. The bound makes the broadcast of the ids small."""
+    of smallest hash of the id, and of rows of one id that of the smallest content
+    hash. The bound makes the broadcast of the ids small."""
     ids = labels.where(~out & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.join(F.broadcast(ids), "doc_id").select("text", "y")
+    rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "y", F.struct(F.xxhash64("text").alias("hash"), "text").alias("row"))
+    return rows.groupBy("doc_id", "y").agg(F.min("row").alias("row")).select("row.text", "y")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

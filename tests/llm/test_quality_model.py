@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 from candlewick.llm import quality_model as q
-from candlewick.llm.common import held_out
+from candlewick.llm.common import held_out, labelled_sample
 from candlewick.llm.queries import op2_quality
 
 SF = "/root/testdata/sf0.1"
@@ -58,3 +58,10 @@ def test_cases(spark):
     assert rows[(200, None)] == rows[(201, "")] and rows[(None, bad[0])] < 0.5
     assert q.score_texts(df.limit(0), labels, held_out(4, 2)).count() == 0
     assert {r.score for r in q.score_texts(df, labels.where("quality = 1"), held_out(4, 2)).collect()} == {0.5}
+
+
+def test_sample_has_one_row_of_an_id(spark):
+    docs = spark.createDataFrame([(1, f"copy {i % 7}") for i in range(300)] + [(i, "own") for i in range(2, 6)] + [(6, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 7)], "doc_id long, quality int")
+    rows = [tuple(r) for r in labelled_sample(docs, labels, "quality", held_out(1, 1), 100).collect()]
+    assert len(rows) == 6 and sum(t is not None and t.startswith("copy") for t, _ in rows) == 1 and (None, 0) in rows
