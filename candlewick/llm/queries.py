@@ -51,13 +51,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after three batches over all documents: each is loaded under the first
-    tokenizer version, copies of the text of a smaller id are deleted again, and
-    the documents left are counted anew under the second version. The first two
-    batches are sent twice."""
+    tokenizer version, copies of the text of a smaller id and documents without an
+    id are deleted again, and the documents left are counted anew under the second
+    version. The first two batches are sent twice."""
     first, second = token_rollup.VERSIONS
     counts = stored(token_rollup.counted(documents(spark, sf_dir), [first, second]), "counts")
     least = counts.groupBy("content").agg(F.min("doc_id").alias("least"))
-    counts = stored(counts.join(least, "content"), "counts").withColumn("copy", F.col("doc_id") > F.col("least"))
+    counts = stored(counts.join(least, "content"), "counts").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(True)))
     old, new = counts.withColumn("tokens", F.col("tokens_0")), counts.withColumn("tokens", F.col("tokens_1"))
     load = token_rollup.changes(old, first, 1)
     delete = token_rollup.changes(old.where("copy"), first, -1)

@@ -62,3 +62,12 @@ def test_a_late_writer_changes_nothing(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(r, "summed", while_another_commits)
     assert not roll.commit("b1", rows)
     assert rows_of(roll.totals()) == {("a", "en", "words-1"): (1, 2, 7)}
+
+
+def test_query_with_null_ids(spark, tmp_path):
+    docs = [(1, "one two", "en", "a"), (2, "one two", "en", "a"), (None, "one two", "en", "a"), (None, "alone", "de", "b"), (3, None, None, "b")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(ORACLE["op5_token_rollup"]).fetchall()
+    assert rows_of(op5_token_rollup(spark, str(tmp_path))) == {x[:3]: x[3:] for x in want}
