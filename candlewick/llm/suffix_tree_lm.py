@@ -46,7 +46,7 @@ DEPTH = 6
 #: Contexts that occur less often in training texts are no candidates.
 MIN_COUNT = 2
 #: Distinct keys that a worker sums before it passes them on.
-HELD_KEYS = 1_500_000
+HELD_KEYS = 3_000_000
 SYMBOLS = 256
 #: Contexts of up to so many symbols are handled in the driver.
 NEAR = 2
@@ -89,15 +89,22 @@ class Sums:
         self.keys.append((key, n * weight))
         self.held += len(key)
         if self.held > HELD_KEYS:
-            yield from self.rows()
+            self.merge()
+            if self.held > HELD_KEYS // 2:
+                yield from self.rows()
+
+    def merge(self) -> None:
+        key, n = (np.concatenate(x) for x in zip(*self.keys, strict=True))
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        self.keys, self.held = [(key[first], np.add.reduceat(n, first))], len(first)
 
     def rows(self) -> Iterator[pd.DataFrame]:
         if self.held:
-            key, n = (np.concatenate(x) for x in zip(*self.keys, strict=True))
-            order = np.argsort(key)
-            key, n = key[order], n[order]
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            yield pd.DataFrame({"kind": self.kind, "key": key[first].view(np.int64), "n": np.add.reduceat(n, first)})
+            self.merge()
+            key, n = self.keys[0]
+            yield pd.DataFrame({"kind": self.kind, "key": key.view(np.int64), "n": n})
         self.keys, self.held = [], 0
 
 
@@ -281,7 +288,7 @@ def scored(
     min_count: int = MIN_COUNT,
     min_share: float | None = None,
     divergence: float = 6.0,
-    chunk_bytes: int = 8_000_000,
+    chunk_bytes: int = 24_000_000,
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row.
