@@ -126,3 +126,11 @@ def test_rare_contexts_stay_in_a_large_corpus(spark):
         docs = [(next(ids), rare, "", 1) for _ in range(5)] + [(next(ids), "on the way to " * 1_000, "", 1) for _ in range(copies)]
         got = lm.scored(spark.createDataFrame(docs, SCHEMA), held_out(7, 2)).collect()
         assert all(r.score > -8 for r in got if r.n_tokens == 2)
+
+
+def test_six_symbols_back_are_seen(spark):
+    ids = [i for i in range(1, 99) if not out_of_training(i, 7, 2)]
+    texts = ["pabcdeq", "rabcdes"] * 20 + ["pabcdes"]
+    got = lm.scored(spark.createDataFrame([(i, t, "", 1) for i, t in zip(ids, texts, strict=False)], SCHEMA), held_out(7, 2))
+    score = {r.doc_id: r.score for r in got.collect()}
+    assert score[ids[0]] > score[ids[40]] + 0.5
