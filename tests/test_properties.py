@@ -53,9 +53,9 @@ def test_staging_keeps_one_row_per_key(spark, rows):
 @SETTINGS
 @given(rows=tapes)
 def test_first_wins_is_idempotent(spark, rows):
-    batch = _df(spark, rows)
+    batch = _df(spark, rows).withColumn("id_block", ingest.partition_value("trades"))
     keys, order = ("symbol", "trade_id"), ["extracted_at", "price"]
     once = ingest.first_wins(batch, keys, order)
-    again = ingest.new_rows(batch, once, keys, order)
+    again = ingest.new_rows(batch, once, keys, order, "id_block")
     assert again.count() == 0
     assert once.count() == len({(s, i) for s, i, *_ in rows})
