@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontam, quality_model, quality_rules, sharding, simhash, suffix_dedup, suffix_tree_lm, token_rollup, toxicity
+from candlewick.llm import (
+    bpe,
+    decontam,
+    html_text,
+    quality_model,
+    quality_rules,
+    sharding,
+    simhash,
+    spelling,
+    suffix_dedup,
+    suffix_tree_lm,
+    token_rollup,
+    toxicity,
+)
 from candlewick.llm.common import documents, held_out, stored
 from candlewick.session import scratch_path
 
@@ -91,6 +104,14 @@ def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(documents(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -102,6 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_suffix_tree_lm": op10_suffix_tree_lm,
+    "op11_spelling": op11_spelling,
+    "op13_html_text": op13_html_text,
 }
 
 ORACLE: dict[str, str] = {
