@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from candlewick.llm import (
     bpe,
     decontam,
+    divergence_audit,
     html_text,
     quality_model,
     quality_rules,
@@ -108,6 +109,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
 
 
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit.audit(documents(spark, sf_dir))
+
+
 def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(documents(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -124,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_suffix_tree_lm": op10_suffix_tree_lm,
     "op11_spelling": op11_spelling,
+    "op12_divergence_audit": op12_divergence_audit,
     "op13_html_text": op13_html_text,
 }
 
@@ -136,4 +142,37 @@ ORACLE: dict[str, str] = {
             sum(coalesce(strlen(text), 0))::bigint as bytes
         from documents join firsts using (doc_id)
         group by source, lang""",
+    "op12_divergence_audit": r"""
+        with docs as materialized (
+            select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x{00}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+') as found
+            from documents),
+        counts as materialized (
+            select lang, source, term, count(*) as n, count(distinct row) as docs
+            from (select row, lang, source, unnest(found) as term from docs) group by all),
+        vocabulary as materialized (
+            select lang, term, sum(n)::hugeint as n from counts group by lang, term having sum(docs) >= 3),
+        langs as (select lang, sum(n)::hugeint as total, count(*)::hugeint as terms from vocabulary group by lang),
+        held as (select lang, source, term, counts.n from counts join vocabulary using (lang, term)),
+        totals as (select lang, source, sum(n)::hugeint as total from held group by all),
+        groups as materialized (
+            select lang, source, coalesce(totals.total, 0) as total
+            from (select distinct lang, source from docs) left join totals using (lang, source)),
+        prices as materialized (
+            select lang, source, term, coalesce(held.n, 0)::hugeint as n,
+                1 + (1000000000::hugeint * (coalesce(held.n, 0) + 1)) // (groups.total + langs.terms) as p,
+                1 + (1000000000::hugeint * (vocabulary.n + 1)) // (langs.total + langs.terms) as q
+            from groups join langs using (lang) join vocabulary using (lang) left join held using (lang, source, term)),
+        gaps as (
+            select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+            from prices a join prices b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+        parts as (
+            select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+            from groups a join groups b on a.lang = b.lang and a.source <> b.source
+                left join gaps on gaps.lang = a.lang and gaps.source = a.source and gaps.item = b.source
+            union all
+            select lang, source, 'term', term, (((p - q) * (p - q)) // q)::bigint from prices where n > 0 and p > q),
+        ranks as (select *, row_number() over (partition by lang, source, part order by value desc, encode(item))::int as rank from parts)
+        select lang, source, part, item, value, rank from ranks where part = 'pair' or rank <= 200""",
 }
