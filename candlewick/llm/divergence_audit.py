@@ -43,7 +43,9 @@ LEAST_DOCS = 3
 TOP = 200
 UNIT = 1_000_000_000
 #: Distinct terms of sources that a worker counts before it passes them on.
-HELD_TERMS = 200_000
+HELD_TERMS = 400_000
+#: What a document with a term adds to its held number, above the occurrences.
+DOC = 1 << 40
 #: Pairs of a node and an ancestor that a worker corrects at a time.
 HELD_PAIRS = 1_000_000
 
@@ -59,23 +61,23 @@ def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents with the term."""
     ready_workers(docs.sparkSession)
 
-    def rows(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pd.DataFrame]:
-        for (lang, source), (n, df) in held.items():
-            if n:
-                terms = [t.decode() for t in n]
-                yield pd.DataFrame({"lang": lang, "source": source, "term": terms, "n": list(n.values()), "docs": [df[t] for t in n]})
+    def rows(held: dict[tuple[str, str], dict[bytes, int]]) -> Iterator[pd.DataFrame]:
+        for (lang, source), found in held.items():
+            if found:
+                terms = [t.decode() for t in found]
+                n, df = [x % DOC for x in found.values()], [x // DOC for x in found.values()]
+                yield pd.DataFrame({"lang": lang, "source": source, "term": terms, "n": n, "docs": df})
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[tuple[str, str], dict[bytes, int]] = {}
         size = 0
         for part in parts:
             for lang, source, text in zip(part["lang"], part["source"], part["text"], strict=True):
-                n, df = held.setdefault((lang, source), (Counter(), Counter()))
-                own = Counter(terms_of(text))
-                before = len(n)
-                n.update(own)
-                df.update(own.keys())
-                size += len(n) - before
+                own = held.setdefault((lang, source), {})
+                before, known = len(own), own.get
+                for term, n in Counter(terms_of(text)).items():
+                    own[term] = known(term, 0) + n + DOC
+                size += len(own) - before
                 if size > HELD_TERMS:
                     yield from rows(held)
                     held, size = {}, 0
@@ -86,9 +88,12 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 
 def price(count: Column, total: Column, terms: Column, unit: int = UNIT) -> Column:
-    """1 + floor(unit * (count + 1) / (total + terms)), exact."""
+    """1 + floor(unit * (count + 1) / (total + terms)), exact: in longs where the product
+    is one, else in decimals."""
     share = F.lit(unit).cast("decimal(11,0)") * (count + 1).cast("decimal(20,0)")
-    return F.call_function("div", share, (total + terms).cast("decimal(20,0)")) + 1
+    large = F.call_function("div", share, (total + terms).cast("decimal(20,0)"))
+    small = F.call_function("div", F.lit(unit).cast("long") * (count + 1), total + terms)
+    return F.when(count < F.lit((1 << 62) // unit), small).otherwise(large) + 1
 
 
 def apart(p: Column, q: Column) -> Column:
@@ -215,18 +220,17 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, unit: i
     vocabulary = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= least_docs)
     vocabulary = stored(vocabulary.drop("docs"), "vocabulary")
     langs = vocabulary.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
-    held = stored(counts.drop("docs").join(vocabulary, ["lang", "term"]), "held")
+    priced = vocabulary.join(langs, "lang").select("lang", "term", price(F.col("lang_n"), F.col("lang_total"), F.col("terms"), unit).alias("q"))
+    held = stored(counts.drop("docs").join(priced, ["lang", "term"]), "held")
     totals = held.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     zero = F.lit(0).cast("long")
     sizes = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
-    sizes = sizes.select("lang", "source", *(F.coalesce(c, zero).alias(c) for c in ("total", "terms", "lang_total")))
+    sizes = sizes.select("lang", "source", *(F.coalesce(c, zero).alias(c) for c in ("total", "terms")))
     by_size = Window.partitionBy("lang").orderBy(F.col("total").desc(), "source")
     p0 = F.when(F.col("terms") > 0, price(zero, F.col("total"), F.greatest("terms", F.lit(1)), unit)).otherwise(1)
     sizes = stored(sizes.select("*", p0.alias("p0"), F.row_number().over(by_size).alias("pos")), "sizes")
-    total, terms, whole = F.col("total"), F.col("terms"), F.col("lang_total")
-    kept = held.join(sizes, ["lang", "source"]).select(
-        "lang", "source", "term", "pos", "p0", price(F.col("n"), total, terms, unit).alias("p"), price(F.col("lang_n"), whole, terms, unit).alias("q")
-    )
+    own = price(F.col("n"), F.col("total"), F.col("terms"), unit)
+    kept = held.join(sizes, ["lang", "source"]).select("lang", "source", "term", "pos", "p0", own.alias("p"), "q")
     kept = stored(kept, "kept")
     dearer = kept.where("p > q").select("lang", "source", F.col("term").alias("item"), apart(F.col("p"), F.col("q")).alias("value"))
     best = ranked(dearer, "term").where(F.col("rank") <= top)
