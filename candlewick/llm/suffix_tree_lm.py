@@ -3,8 +3,7 @@
 The symbols are the bytes of a text's words, joined by one space, between marks
 of its start and end. A state of the tree is a context of up to ``depth``
 symbols. Candidates are the contexts that occur ``min_count`` times or more in
-the training texts, however large the corpus is, or that make up ``min_share``
-of its symbols where that is given instead; a candidate is retained if the next
+the training texts, however large the corpus is; a candidate is retained if the next
 symbols after it diverge from those after its longest proper suffix by
 ``divergence`` nats or more over all its occurrences, or if a longer retained
 context ends in it. Distributions are smoothed towards that of the suffix by the
@@ -16,13 +15,18 @@ The tree grows with the corpus, so it stays a table: the probability of every
 context of ``depth`` symbols and next symbol that some text holds. Contexts with
 the same last ``NEAR`` + 1 symbols meet in a task, which thus sees all their
 longer suffixes; only those of up to ``NEAR`` symbols, at most 256^3 with their
-next ones whatever the corpus, are handled in the driver. The table meets the
-texts in chunks of about ``chunk_bytes``.
+next ones whatever the corpus, are handled in the driver.
+
+Texts look their probabilities up in chunks of about ``chunk_bytes``: a chunk's
+distinct keys, mixed and sorted, are cut into buckets by their high bits; each bucket
+meets its part of the table in a task, which gives back the values in the same order.
+Keys and values travel as compressed lists, one row for each chunk and bucket, and a
+chunk is scored from the values of all its buckets.
 
 Beside the score every text gets a unigram base score: each of its words has
-the count of training words, which meet the chunks in the same way.
+the count of training words, which are looked up in the same way.
 
-Null and empty texts have the end only. Repeated rows count and are scored
+Null and empty texts have the end only; a very long text is a chunk by itself. Repeated rows count and are scored
 each; other columns play no part; without training texts every byte has a share
 of 1/256 and no word is known. An empty table gives an empty one.
 """
@@ -34,12 +38,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.common import blocks, stored, utf8, whole_runs, with_lists
+from candlewick.llm.common import blocks, mixed, stored, utf8, whole_runs, with_lists
 from candlewick.llm.quality_rules import Counts
 
 DEPTH = 6
@@ -52,6 +57,10 @@ SYMBOLS = 256
 NEAR = 2
 #: Rows of counts that a worker computes probabilities of at a time, or one context's.
 TREE_ROWS = 400_000
+#: Rows of the table that texts look up that a bucket holds.
+BUCKET_ROWS = 600_000
+#: Bytes of text of which a worker holds the codes at a time.
+CODE_BYTES = 500_000
 
 
 def normal(text: bytes) -> bytes:
@@ -104,7 +113,8 @@ class Sums:
         if self.held:
             self.merge()
             key, n = self.keys[0]
-            yield pd.DataFrame({"kind": self.kind, "key": key.view(np.int64), "n": n})
+            for a in range(0, len(key), TREE_ROWS):
+                yield pd.DataFrame({"kind": self.kind, "key": key[a : a + TREE_ROWS].view(np.int64), "n": n[a : a + TREE_ROWS]})
         self.keys, self.held = [], 0
 
 
@@ -117,7 +127,7 @@ def corpus_counts(texts: DataFrame, out: Column, depth: int) -> DataFrame:
         for part in parts:
             for held, own in part.groupby("held", sort=False):
                 data = [normal(t) for t in utf8(own["text"])]
-                for a, b in blocks(data, 500_000):
+                for a, b in blocks(data, CODE_BYTES):
                     if not held:
                         yield from words.add(counts.words(b" ".join(data[a:b]))[0])
                     yield from grams.add(codes(data[a:b], depth)[0], 0 if held else 1)
@@ -188,37 +198,37 @@ class Near:
         return self.value[np.searchsorted(self.key, code & mask(self.depth + 1))]
 
 
-def grown(counts: DataFrame, depth: int, min_count: int, min_share: float | None, divergence: float) -> tuple[Near, DataFrame]:
+def grown(counts: DataFrame, depth: int, min_count: int, divergence: float) -> tuple[Near, DataFrame]:
     """The tree of the counts (key, n) of codes of ``depth`` symbols and the next:
-    chances after the near contexts, and (key, value) of the codes whose longest
-    state is longer: their log10 probability."""
+    chances after the near contexts, and (key, value) of the codes, mixed, whose
+    longest state is longer: their log10 probability."""
     near = min(NEAR, depth)
     low = counts.groupBy(F.col("key").bitwiseAND(F.lit(int(mask(near + 1)))).alias("key")).agg(F.sum("n").alias("n")).toArrow()
     key, n = low["key"].to_numpy().astype(np.uint64), low["n"].to_numpy().astype(float)
-    least = min_count if min_share is None else min_share * n.sum()
     start, equal = np.arange(SYMBOLS, dtype=np.uint64), np.full(SYMBOLS, 1 / SYMBOLS)
-    found = levels(key, n, range(near + 1), start, equal, least, divergence)
+    found = levels(key, n, range(near + 1), start, equal, min_count, divergence)
     last, chance = found[-1].key, found[-1].chance
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in gathered(whole_runs(parts, ["context"]), TREE_ROWS):
             code, n = part["key"].to_numpy().view(np.uint64), part["n"].to_numpy().astype(float)
-            own = levels(code, n, range(near + 1, depth + 1), last, chance, least, divergence)
+            own = levels(code, n, range(near + 1, depth + 1), last, chance, min_count, divergence)
             p = final(own, last, np.full(len(last), np.nan))
             on = ~np.isnan(p)
-            yield pd.DataFrame({"key": own[-1].key[on].view(np.int64), "value": np.log10(p[on])})
+            code = own[-1].key[on]
+            yield pd.DataFrame({"key": mixed(code).view(np.int64), "value": np.log10(p[on]), "last": (code >> np.uint64(8) & mask(near)).view(np.int64)})
 
     if depth > near:
         context = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit(int(mask(near + 1))))
         rows = counts.select("key", "n", context.alias("context")).repartition("context").sortWithinPartitions("context")
-        values = stored(rows.mapInPandas(run, "key long, value double"), "tree")
-        held = values.select(F.shiftrightunsigned("key", 8).bitwiseAND(F.lit(int(mask(near)))).alias("c")).distinct()
-        keep_suffixes(found[-1], held.toArrow()["c"].to_numpy().astype(np.uint64))  # at most 256^NEAR
+        values = stored(rows.mapInPandas(run, "key long, value double, last long"), "tree")
+        held = values.select("last").distinct()
+        keep_suffixes(found[-1], held.toArrow()["last"].to_numpy().astype(np.uint64))  # at most 256^NEAR
         for longer, shorter in zip(found[:0:-1], found[-2::-1], strict=True):
             keep_suffixes(shorter, longer.context[longer.kept])
     else:
-        values = counts.sparkSession.createDataFrame([], "key long, value double")
-    return Near(last, np.log10(final(found, start, equal)), near), values
+        values = counts.sparkSession.createDataFrame([], "key long, value double, last long")
+    return Near(last, np.log10(final(found, start, equal)), near), values.drop("last")
 
 
 def gathered(parts: Iterable[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
@@ -253,15 +263,73 @@ def chunked(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     return with_lists(docs, ["text"], {"chunk": T.LongType()}, made)
 
 
-def chunk_keys(texts: DataFrame, depth: int) -> DataFrame:
-    """(chunk, kind, key): hashes of the words and codes of the symbols of each
-    chunk; a chunk's may repeat."""
+def planes(x: np.ndarray) -> bytes:
+    """Whole numbers compressed, their first bytes together, then their second."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def of_planes(data: bytes, kind: type) -> np.ndarray:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed_keys(x: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return planes(np.diff(x, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(of_planes(data, np.uint64), dtype=np.uint64)
+
+
+def packed_values(x: np.ndarray) -> tuple[bytes, bytes]:
+    """Numbers as the distinct ones and which of them each is."""
+    kinds, which = np.unique(x.view(np.int64), return_inverse=True)
+    return planes(kinds), planes(which.astype(np.uint32))
+
+
+def unpacked_values(kinds: bytes, which: bytes) -> np.ndarray:
+    return of_planes(kinds, np.int64)[of_planes(which, np.uint32)].view(np.float64)
+
+
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of keys whose bits are mixed, growing with the key."""
+    return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+class Keys:
+    """The distinct keys of a chunk, sorted: hashes of words and mixed codes."""
+
+    def __init__(self, data: list[bytes], depth: int, counts: Counts):
+        self.kinds = [self.distinct(f(x) for x in parts) for f, parts in (
+            (lambda x: counts.words(b" ".join(x))[0], [data[a:b] for a, b in blocks(data, CODE_BYTES)]),
+            (lambda x: mixed(codes(x, depth)[0]), [data[a:b] for a, b in blocks(data, CODE_BYTES)]),
+        )]
+
+    @staticmethod
+    def distinct(parts: Iterable[np.ndarray]) -> np.ndarray:
+        held, more, size = np.zeros(0, np.uint64), [], 0
+        for part in parts:
+            more.append(np.unique(part))
+            size += len(more[-1])
+            if size > HELD_KEYS // 2:
+                held, more, size = np.unique(np.concatenate([held, *more])), [], 0
+        return np.unique(np.concatenate([held, *more])) if more else held
+
+
+def chunk_keys(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(bucket, chunk, words, codes): the distinct keys of each chunk, packed."""
 
     def rows(chunk: int, data: list[bytes], counts: Counts) -> Iterator[pd.DataFrame]:
-        words = np.unique(counts.words(b" ".join(data))[0])
-        found = [np.unique(codes(data[a:b], depth)[0]) for a, b in blocks(data, 500_000)]
-        for kind, key in ((0, words), (1, np.unique(np.concatenate(found)))):
-            yield pd.DataFrame({"chunk": chunk, "kind": kind, "key": key.view(np.int64)})
+        edges = []
+        found = Keys(data, depth, counts).kinds
+        for key in found:
+            edges.append(np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1)))
+        used = np.flatnonzero(sum(np.diff(e) for e in edges))
+        for few in np.array_split(used, max(1, len(used) // 64)):
+            lists = [[packed_keys(key[e[b] : e[b + 1]]) for b in few] for key, e in zip(found, edges, strict=True)]
+            yield pd.DataFrame({"bucket": few, "chunk": chunk, "words": lists[0], "codes": lists[1]})
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, at, data = Counts(), None, []
@@ -275,7 +343,29 @@ def chunk_keys(texts: DataFrame, depth: int) -> DataFrame:
         if data:
             yield from rows(at, data, counts)
 
-    return texts.select("chunk", "text").mapInPandas(run, "chunk long, kind int, key long")
+    return texts.select("chunk", "text").mapInPandas(run, "bucket long, chunk long, words binary, codes binary")
+
+
+VALUES = ("words", "which_words", "codes", "which_codes")
+
+
+def looked_up_keys(keys: DataFrame, table: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, chunk, VALUES): the values of the keys that ``chunk_keys`` gives, in their
+    order, from (kind, key, value)."""
+    high = F.shiftrightunsigned("key", 32) * F.lit(buckets).cast("long")
+    table = table.select(F.shiftrightunsigned(high, 32).alias("bucket"), "kind", "key", "value")
+
+    def run(need: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        known = [sorted_of(own, kind) for kind in (0, 1)]
+        rows = []
+        for bucket, chunk, words, code in zip(need["bucket"], need["chunk"], need["words"], need["codes"], strict=True):
+            n = looked_up(*known[0], unpacked_keys(words), 0.0)
+            p = looked_up(*known[1], unpacked_keys(code), np.nan)
+            rows.append((bucket, chunk, *packed_values(n), *packed_values(p)))
+        return pd.DataFrame(rows, columns=["bucket", "chunk", *VALUES])
+
+    lists = ", ".join(f"{v} binary" for v in VALUES)
+    return keys.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(run, f"bucket long, chunk long, {lists}")
 
 
 RESULT = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -286,9 +376,8 @@ def scored(
     out: Column,
     depth: int = DEPTH,
     min_count: int = MIN_COUNT,
-    min_share: float | None = None,
     divergence: float = 6.0,
-    chunk_bytes: int = 24_000_000,
+    chunk_bytes: int = 12_000_000,
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row.
@@ -298,43 +387,45 @@ def scored(
     train = texts.where(~out)
     counts = stored(corpus_counts(texts, out, depth), "counts")
     words = counts.where("kind = 0").select("key", "n")
-    near, tree = grown(counts.where("kind = 1").select("key", "n"), depth, min_count, min_share, divergence)
+    near, tree = grown(counts.where("kind = 1").select("key", "n"), depth, min_count, divergence)
     ends = train.count()
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums.n + ends, sums.v + (ends > 0)
     least = np.log10(total + distinct + 1)
 
-    def run(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        key, n = sorted_of(known, 0)
-        code, value = sorted_of(known, 1)
-        code = code.view(np.uint64)
+    def run(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         counts = Counts()
-        rows = []
         data = [normal(t) for t in utf8(own["text"])]
-        for a, b in blocks(data, 500_000):
-            hashes = [counts.words(t)[0].view(np.int64) for t in data[a:b]]
+        key, code = Keys(data, depth, counts).kinds
+        found = found.sort_values("bucket")
+        n, value = (np.concatenate([np.zeros(0), *(unpacked_values(*x) for x in zip(found[a], found[b], strict=True))]) for a, b in (VALUES[:2], VALUES[2:]))
+        rows = []
+        for a, b in blocks(data, CODE_BYTES):
+            hashes = [counts.words(t)[0] for t in data[a:b]]
             size = np.array([len(h) for h in hashes], dtype=np.int64)
-            c = looked_up(key, n, np.concatenate([*hashes, np.zeros(0, np.int64)]), 0.0)
+            c = looked_up(key, n, np.concatenate([*hashes, np.zeros(0, np.uint64)]), 0.0)
             text = np.repeat(np.arange(b - a), size)
             base = np.bincount(text, np.log10(c + 1) - least, minlength=b - a) + np.log10(ends + 1) - least
             seen = np.bincount(text, c > 0, minlength=b - a).astype(np.int64) + (ends > 0)
             symbols, sizes = codes(data[a:b], depth)
-            p = looked_up(code, value, symbols, np.nan)
+            p = looked_up(code, value, mixed(symbols), np.nan)
             rest = np.isnan(p)
             p[rest] = near(symbols[rest])
             score = np.add.reduceat(p, np.cumsum(sizes) - sizes)
             rows.append(pd.DataFrame({"n_tokens": size + 1, "n_known": seen, "train_tokens": total, "base_score": base, "score": score}))
         return pd.concat(rows, ignore_index=True).assign(doc_id=own["doc_id"].array)[[c.split()[0] for c in RESULT.split(", ")]]
 
-    found = words.selectExpr("0 as kind", "key", "double(n) as value").unionByName(tree.selectExpr("1 as kind", "key", "value"))
-    need = chunk_keys(texts, depth).join(found, ["kind", "key"]).select("chunk", "kind", "key", "value")
-    return texts.groupBy("chunk").cogroup(need.groupBy("chunk")).applyInPandas(run, RESULT)
+    table = words.selectExpr("0 as kind", "key", "double(n) as value").unionByName(tree.selectExpr("1 as kind", "key", "value"))
+    buckets = max(1, -(-(sums.v + tree.count()) // BUCKET_ROWS))
+    found = looked_up_keys(chunk_keys(texts, depth, buckets), table, buckets)
+    return texts.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(run, RESULT)
 
 
 def sorted_of(known: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a kind in order, and their values."""
     own = known[known["kind"] == kind]
-    key, value = own["key"].to_numpy(), own["value"].to_numpy()
-    order = np.argsort(key.view(np.uint64) if kind else key)
+    key, value = own["key"].to_numpy().view(np.uint64), own["value"].to_numpy()
+    order = np.argsort(key)
     return key[order], value[order]
 
 

@@ -40,18 +40,16 @@ def plain_base(docs, mod, rest):
     return rows
 
 
-def plain_tree(docs, mod, rest, depth, min_share, divergence):
+def plain_tree(docs, mod, rest, depth, min_count, divergence):
     counts = [defaultdict(Counter) for _ in range(depth + 1)]
-    total = 0
     for i, t in docs:
         if not out_of_training(i, mod, rest):
             b = b"\n" * depth + " ".join(words_of(t)).encode() + b"\n"
             for p in range(depth, len(b)):
-                total += 1
                 for d in range(depth + 1):
                     counts[d][b[p - d : p]][b[p]] += 1
     for level in counts:
-        for u in [u for u, c in level.items() if sum(c.values()) < min_share * total]:
+        for u in [u for u, c in level.items() if sum(c.values()) < min_count and u]:
             del level[u]
 
     def chance(u, s):
@@ -93,14 +91,15 @@ def test_beats_the_base_on_held_out_rows(spark):
     assert got.s > got.b and got.n > 0.8
 
 
+@pytest.mark.parametrize("limits", [{"depth": 3, "min_count": 4, "divergence": 2.0}, {"depth": lm.DEPTH, "min_count": lm.MIN_COUNT, "divergence": 6.0}])
 @pytest.mark.parametrize("chunk_bytes", [16_000_000, 200])
-def test_scores_of_a_plain_tree(spark, chunk_bytes):
+def test_scores_of_a_plain_tree(spark, monkeypatch, chunk_bytes, limits):
+    monkeypatch.setattr(lm, "BUCKET_ROWS", chunk_bytes // 10)
     rng = np.random.default_rng(2)
     word = lambda: "".join(rng.choice(["the", "a", "on", "é", "ing", "X"], rng.integers(1, 4)))
     docs = [(i, " ".join(word() for _ in range(rng.integers(0, 40)))) for i in range(40)]
     docs += [(50, None), (51, ""), (51, ""), (None, "The  null\tid"), (52, "unseen zq \x00\U0001f600"), (53, "on " * 20_000)]
     df = spark.createDataFrame([(i, t, "clash", 1) for i, t in docs], SCHEMA)
-    limits = {"depth": 3, "min_share": 1e-3, "divergence": 2.0}
     got = sorted((tuple(r) for r in lm.scored(df, held_out(7, 2), chunk_bytes=chunk_bytes, **limits).collect()), key=str)
     scores, chance = plain_tree(docs, 7, 2, **limits)
     want = sorted(((*r, s) for r, s in zip(plain_base(docs, 7, 2), scores, strict=True)), key=str)
