@@ -54,6 +54,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, out: Column,
     return rows.groupBy("doc_id", "y").agg(F.min("row").alias("row")).select("row.text", "y")
 
 
+def fresh_names(df: DataFrame, *stems: str) -> list[str]:
+    """A column name that the frame lacks, in any case, for each stem."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        taken.add(stem.lower())
+        out.append(stem)
+    return out
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once under the shared checkpoint folder and reread.
 

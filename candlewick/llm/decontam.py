@@ -8,9 +8,10 @@ verified along its diagonal: words are compared one by one, and an overlap
 counts where ``min_words`` in a row agree in a share of ``agree`` or more.
 
 Words are runs of ASCII letters and digits and of characters outside ASCII, in
-small letters. Items of fewer words than ``min_words`` must occur whole and
-unchanged, and those of fewer than ``least_words`` never count. Null and empty
-texts hold nothing; repeated rows get their results each; ids of items may
+small letters; in scripts without spaces every character is one. Items of fewer
+words than ``min_words`` count, however few they are (``least_words`` may ask for
+more), where they occur whole and unchanged. Null and empty texts hold nothing;
+long ones are searched whole; repeated rows get their results each; ids of items may
 repeat and be null. With an empty table on either side no overlap is found.
 Other columns play no part, whatever their names.
 
@@ -22,6 +23,7 @@ pass over the training texts.
 from __future__ import annotations
 
 import math
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
@@ -31,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import blocks, mixed, where_lists
+from candlewick.llm.common import blocks, mixed, ready_workers, where_lists
 from candlewick.llm.suffix_dedup import Hashes
 from candlewick.llm.tokens import word_hashes
 
@@ -52,8 +54,14 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return mixed(total)
 
 
+#: Characters of scripts that put no space between words: each is a word.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
 def small(text: str | None) -> bytes:
-    return (text or "").lower().encode("utf-8")
+    """A text in small letters, with spaces around characters that are words."""
+    low = (text or "").lower()
+    return (UNSPACED.sub(r" \g<0> ", low) if UNSPACED.search(low) else low).encode("utf-8")
 
 
 class Items:
@@ -150,13 +158,14 @@ def overlaps(
     items: DataFrame,
     min_words: int = 13,
     agree: float = 0.8,
-    least_words: int = 8,
+    least_words: int = 1,
     block_bytes: int = 8_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, item_id, overlap_words, item_words): a row for each training row
     and test item with an overlap."""
+    ready_workers(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def passed(ids: list, texts: list) -> DataFrame:
@@ -174,7 +183,7 @@ def overlaps(
 
 
 def without_overlaps(
-    docs: DataFrame, items: DataFrame, min_words: int = 13, agree: float = 0.8, least_words: int = 8, block_bytes: int = 8_000_000, text_col: str = "text"
+    docs: DataFrame, items: DataFrame, min_words: int = 13, agree: float = 0.8, least_words: int = 1, block_bytes: int = 8_000_000, text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that overlap with no test item."""
     for ids, texts in item_blocks(items, block_bytes, "item_id", "text"):

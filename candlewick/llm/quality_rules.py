@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.common import mixed, with_lists
+from candlewick.llm.common import mixed, ready_workers, with_lists
 from candlewick.llm.suffix_dedup import Hashes
 
 SPACES = [0x20, *range(0x09, 0x0E)]
@@ -131,6 +131,7 @@ def references(docs: DataFrame, common_share: float) -> dict[str | None, tuple[n
                 total.clear()
         yield from rows()
 
+    ready_workers(docs.sparkSession)
     rows = docs.select(F.col("lang").cast("string").alias("lang"), "text").mapInPandas(run, "lang string, place long, n long")
     sums = rows.groupBy("lang", "place").agg(F.sum("n").alias("n"))
     of_words = F.col("place") < (1 << WORD_BITS)

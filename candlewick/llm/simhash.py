@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import stored, utf8, whole_runs
+from candlewick.llm.common import fresh_names, ready_workers, stored, utf8, whole_runs
 from candlewick.llm.components import components
 
 BITS = 64
@@ -64,6 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
             fps = np.array([fingerprint(t, shingle) for t in utf8(part["text"])], dtype=np.uint64)
             yield part[["doc_id", "content"]].assign(fp=fps.view(np.int64))
 
+    ready_workers(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), content_of(text_col).alias("content"), F.col(text_col).alias("text"))
     return rows.mapInPandas(run, "doc_id long, content long, fp long")
 
@@ -193,10 +194,9 @@ def one_of_each(
     only if there is no other; of rows with the same id and text, any one)."""
     found = labelled(docs, shingle, max_bits, ring, bucket_limit, id_col, text_col)
     least = found.groupBy("label").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "content")).alias("m"))
-    kept = least.select(F.coalesce("m.doc_id", F.lit(0)).alias("_id"), F.col("m.content").alias("_content"), F.col("m.none").alias("_none"))
-    rows = docs.select(
-        "*", F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("_id"), content_of(text_col).alias("_content"), F.isnull(id_col).alias("_none")
-    )
-    key = ["_id", "_content", "_none"]
+    *key, nth = fresh_names(docs, "_id", "_content", "_none", "_n")
+    kept = least.select(F.coalesce("m.doc_id", F.lit(0)), "m.content", "m.none").toDF(*key)
+    own = (F.coalesce(F.col(id_col).cast("long"), F.lit(0)), content_of(text_col), F.isnull(id_col))
+    rows = docs.select("*", *(c.alias(k) for c, k in zip(own, key, strict=True)))
     same = Window.partitionBy(*key).orderBy(F.lit(0))
-    return rows.join(kept, key, "left_semi").withColumn("_n", F.row_number().over(same)).where("_n = 1").drop(*key, "_n")
+    return rows.join(kept, key, "left_semi").withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1).drop(*key, nth)

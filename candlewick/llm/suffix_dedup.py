@@ -18,7 +18,7 @@ together), and equal strings lie in segments of equal anchors.
 Texts are whole, as UTF-8 bytes; null and empty ones have nothing to remove. A
 row's result depends on its text and on the other rows only: repeated rows
 count as occurrences of each other. An empty table gives an empty one. Other
-columns pass through; clashing names are replaced.
+columns pass through, whatever their names. A text of any length is read in slices.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.common import mixed, stored, utf8, with_lists
+from candlewick.llm.common import fresh_names, mixed, stored, utf8, with_lists
 from candlewick.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 GRAM = 32
@@ -230,7 +230,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, shard_bytes: int = SHARD_
     spans = found.join(runs, ["h", "seg"]).select(
         "k1", "k2", F.explode(F.transform("runs", lambda r: F.struct((F.col("lo") + r.a).alias("a"), (F.col("lo") + r.b + length - 1).alias("b")))).alias("s")
     )
-    return spans.groupBy("k1", "k2").agg(F.collect_list("s").alias("spans"))
+    return spans.groupBy("k1", "k2").agg(F.collect_set("s").alias("spans"))
 
 
 def kept_bytes(data: bytes, spans: list | None) -> tuple[bytes, list[tuple[int, int]]]:
@@ -242,14 +242,15 @@ def kept_bytes(data: bytes, spans: list | None) -> tuple[bytes, list[tuple[int,
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), runs
 
 
-def with_spans(docs: DataFrame, length: int, text_col: str = "text", **limits: int) -> DataFrame:
-    """All rows and columns, with _spans: the byte ranges to remove (null: none)."""
+def with_spans(docs: DataFrame, length: int, text_col: str = "text", **limits: int) -> tuple[DataFrame, str]:
+    """All rows and columns, with one of a new name: the byte ranges to remove (null: none)."""
+    k1, k2, ranges = fresh_names(docs, "_k1", "_k2", "_spans")
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.xxhash64(F.coalesce(text_col, F.lit("")))]
-    rows = docs.select("*", key[0].alias("_k1"), key[1].alias("_k2"))
+    rows = docs.select("*", key[0].alias(k1), key[1].alias(k2))
     long = rows.where(F.octet_length(text_col) >= length)
-    texts = long.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col(text_col).alias("text"))
-    spans = repeated_spans(texts, length, **limits).toDF("_k1", "_k2", "_spans")
-    return rows.join(spans, ["_k1", "_k2"], "left").drop("_k1", "_k2")
+    texts = long.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(text_col).alias("text"))
+    spans = repeated_spans(texts, length, **limits).toDF(k1, k2, ranges)
+    return rows.join(spans, [k1, k2], "left").drop(k1, k2), ranges
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", **limits: int) -> DataFrame:
@@ -262,8 +263,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", *
     def made() -> Callable[[list, list], tuple]:
         return lambda texts, spans: ([left(t, s) for t, s in zip(texts, spans, strict=True)],)
 
-    rows = with_spans(docs, length, text_col, **limits)
-    return with_lists(rows, [text_col, "_spans"], {text_col: T.StringType()}, made).select(*docs.columns)
+    rows, ranges = with_spans(docs, length, text_col, **limits)
+    return with_lists(rows, [text_col, ranges], {text_col: T.StringType()}, made).select(*docs.columns)
 
 
 def removal_digests(docs: DataFrame, length: int = 400, **limits: int) -> DataFrame:
@@ -283,5 +284,5 @@ def removal_digests(docs: DataFrame, length: int = 400, **limits: int) -> DataFr
         return of
 
     added = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept_sha256": T.StringType()}
-    rows = with_spans(docs.select("doc_id", "text"), length, **limits)
-    return with_lists(rows, ["text", "_spans"], added, made).select("doc_id", *added)
+    rows, ranges = with_spans(docs.select("doc_id", "text"), length, **limits)
+    return with_lists(rows, ["text", ranges], added, made).select("doc_id", *added)

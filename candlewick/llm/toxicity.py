@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.common import blocks, labelled_sample, stored, utf8, with_lists
+from candlewick.llm.common import blocks, labelled_sample, ready_workers, stored, utf8, with_lists
 
 # Letters that a sign is written for: fixed values.
 LOOKS = {
@@ -88,6 +88,7 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         code = np.flatnonzero(total)
         yield pd.DataFrame({"code": code, "n": total[code]})
 
+    ready_workers(docs.sparkSession)
     rows = docs.select(F.col(text_col).alias("text")).mapInPandas(run, "code long, n long")
     counts = np.zeros(LETTERS**3)
     for r in rows.groupBy("code").agg(F.sum("n").alias("n")).collect():  # at most 28^3 rows

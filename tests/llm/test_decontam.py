@@ -16,10 +16,11 @@ ITEMS = "item_id long, text string, doc_id int"
 
 
 def words_of(text):
-    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
+    spaced = re.sub("([ぁ-ヿ一-鿿])", r" \1 ", (text or "").lower())
+    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", spaced)
 
 
-def plain(docs, items, min_words=13, agree=0.8, least=8):
+def plain(docs, items, min_words=13, agree=0.8, least=1):
     out = []
     for d, text in docs:
         own = words_of(text)
@@ -93,3 +94,17 @@ def test_empty_tables(spark):
     it = spark.createDataFrame([(i, t, 7) for i, t in enumerate(items)], ITEMS)
     assert decontam.overlaps(df.limit(0), it).count() == decontam.overlaps(df, it.limit(0)).count() == 0
     assert decontam.without_overlaps(df, it.limit(0)).count() == len(docs)
+
+
+def test_short_items_of_any_script_occur_whole(spark):
+    items = [(1, "two words"), (2, "One"), (3, "東京は日本の首都です"), (4, ""), (5, None)]
+    docs = [(1, "here are two, words"), (2, "two other words, onerous"), (3, "多分、東京は日本の首都ですね。"), (4, "東京は日本"), (5, "one")]
+    got = decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = sorted(tuple(r) for r in got.collect())
+    assert found == plain(docs, items) == [(1, 1, 2, 2), (3, 3, 10, 10), (5, 2, 1, 1)]
+
+
+def test_frames_that_were_read_elsewhere(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert decontam.overlaps(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).count() > 0

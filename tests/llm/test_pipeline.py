@@ -33,7 +33,7 @@ def test_stages(spark):
     assert set(rows[2]) == set(group)
 
     ids = sorted(rows[2])
-    removed = dict(zip(ids, plain_removal([rows[2][i].text for i in ids], 400), strict=True))
+    removed = dict(zip(ids, plain_removal([rows[2][i].text for i in ids], corpus_pipeline.REPEAT_BYTES), strict=True))
     assert set(rows[3]) == set(ids)
     for i in ids:
         was, now = rows[2][i].text, rows[3][i].text
@@ -70,3 +70,27 @@ def test_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF), "odd")
     assert docs.count() == 0
+
+
+def test_clashing_columns_pass_every_stage(spark):
+    names = ["_toxicity", "_id", "_content", "_none", "_n", "_k1", "_K2", "_spans", "fp", "label", "score", "k1", "h", "seg", "item_id", "tokens"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    extra = stored(docs.select("*", *(docs.doc_id.cast("string").alias(n) for n in names)), "extra")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        extra = stored(stage(spark, extra, SF), name)
+        assert extra.columns == [*docs.columns, *names]
+        assert all(r[n] == str(r.doc_id) for r in extra.collect() for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, extra, SF).count() == extra.count()
+
+
+def test_planted_passages_of_fifty_words_go(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghilmnorstu"), rng.integers(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    planted = [text(rng.integers(51, 61)) for _ in range(40)]
+    rows = [(i, f"{text(80)} {planted[i % 40]} {text(70)}") for i in range(80)] + [(100 + i, text(200)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id: r.text for r in corpus_pipeline.without_repeats(spark, docs, SF).collect()}
+    gone = [planted[i % 40] not in left[i] and len(left[i]) <= len(t) - len(planted[i % 40]) for i, t in rows[:80]]
+    assert np.mean(gone) >= 0.9
+    assert all(left[i] == t for i, t in rows[80:])
