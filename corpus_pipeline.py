@@ -12,15 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import bpe, decontam, simhash, suffix_dedup, toxicity
-from candlewick.llm.common import documents, held_out, stored
+from candlewick.llm.common import documents, fresh_names, held_out, stored
 from candlewick.llm.queries import LABEL_SCORE, word_bpe_path
 
+#: Unit of the repeats: a passage of fifty words, of three letters and a space on average
+#: or longer ones, holds a string of so many bytes at all of its places.
+REPEAT_BYTES = 200
+
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator scores below the label's threshold."""
     labels = documents(spark, sf_dir, "labels")
-    scored = toxicity.score_texts(docs, labels, held_out(3, 1), score_col="_toxicity")
-    return scored.where(F.col("_toxicity") < LABEL_SCORE).drop("_toxicity")
+    score = fresh_names(docs, "_toxicity")[0]
+    scored = toxicity.score_texts(docs, labels, held_out(3, 1), score_col=score)
+    return scored.where(F.col(score) < LABEL_SCORE).drop(score)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +34,9 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, strings of 400 bytes that occur more than once gone from
-    their texts; ``n_chars`` counts what is left."""
-    left = suffix_dedup.remove_repeats(docs, length=400)
+    """All documents, strings of ``REPEAT_BYTES`` bytes that occur more than once gone
+    from their texts; ``n_chars`` counts what is left."""
+    left = suffix_dedup.remove_repeats(docs, length=REPEAT_BYTES)
     return left.withColumn("n_chars", F.length("text").cast("long"))
 
 
