@@ -1,13 +1,14 @@
 """Command line: the runs an hourly schedule triggers.
 
-    python -m candlewick ingest  LANDING_DIR DATASET RAW_ROOT [lines]
+    python -m candlewick ingest  LANDING_DIR DATASET RAW_ROOT [lines] [quarantine]
     python -m candlewick build   RAW_ROOT OUT_DIR
     python -m candlewick refresh RAW_ROOT OUT_DIR SINCE
     python -m candlewick check   OUT_DIR SYMBOL [SYMBOL ...]
 
 ``ingest`` appends new landed records (first write wins) through a
 ``availableNow`` stream, from files of one JSON array each, or of JSON lines
-with ``lines``; ``build`` writes every model layer; ``refresh``
+with ``lines``; a bad record fails the run, or with ``quarantine`` goes to a
+table beside the raw one; ``build`` writes every model layer; ``refresh``
 rewrites the candle fact and daily mart from SINCE's day on, and the other
 tables in full; ``check`` runs
 the 28 column tests on the written tables and prints the failing ones.
@@ -42,8 +43,9 @@ def main(argv: list[str]) -> int:
     spark = pin_conf(SparkSession.builder.appName("candlewick").getOrCreate())
     cmd, args = argv[0], argv[1:]
     if cmd == "ingest":
-        landing, dataset, root, *layout = args
-        start_landing_ingest(spark, landing, dataset, root, multiline=layout != ["lines"]).awaitTermination()
+        landing, dataset, root, *said = args
+        on_bad = "quarantine" if "quarantine" in said else "fail"
+        start_landing_ingest(spark, landing, dataset, root, multiline="lines" not in said, on_bad=on_bad).awaitTermination()
     elif cmd == "build":
         root, out = args
         for name, path in materialize.build(spark, _raw(spark, root), out).items():

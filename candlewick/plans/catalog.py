@@ -163,6 +163,36 @@ def _landing_round_trip(spark, sf_dir):
     return landing.read_landing(spark, path, "trades").select(*RAW_TRADES.names)
 
 
+def _landing_arrays(spark, sf_dir):
+    """Raw trades landed as files of one JSON array of 1000 ids each, and read back."""
+    trades = standin_raw(spark, sf_dir).trades
+    texts = [F.col(c).cast("string").alias(c) if c in ("price", "quantity", "quote_qty", "extracted_at") else F.col(c) for c in RAW_TRADES.names]
+    arrays = trades.groupBy(F.floor(F.col("trade_id") / 1000)).agg(F.to_json(F.collect_list(F.struct(*texts))).alias("value"))
+    path = scratch_path(spark, "landing")
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return landing.read_landing(spark, path, "trades", multiline=True).select(*RAW_TRADES.names)
+
+
+def _landing_quarantine(spark, sf_dir):
+    """Records by reason (good ones: none) of landed trades with planted faults: ids left
+    out, prices of too many digits, times that are no number, lines cut short."""
+    trades = standin_raw(spark, sf_dir).trades
+    texts = [F.col(c).cast("string").alias(c) if c in ("price", "quantity", "quote_qty", "extracted_at") else F.col(c) for c in RAW_TRADES.names]
+    text, last = F.to_json(F.struct(*texts)), F.col("trade_id") % 50
+    faulty = (
+        F.when(last == 7, F.regexp_replace(text, r'"trade_id":\d+,', ""))
+        .when(last == 9, F.regexp_replace(text, r'"price":"[^"]*"', '"price":"0.0000012345"'))
+        .when(last == 11, F.regexp_replace(text, r'"trade_time":(\d+)', '"trade_time":"$1?"'))
+        .when(last == 13, F.expr("left(to_json(struct(*)), 20)"))
+        .otherwise(text)
+    )
+    path = scratch_path(spark, "landing")
+    trades.select(faulty.alias("value")).write.text(path)
+    bad = landing.quarantined_landing(spark, path, "trades").select("reason")
+    good = landing.read_landing(spark, path, "trades", on_bad="quarantine").select(F.lit("none").alias("reason"))
+    return bad.unionByName(good).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
 def _normalize_quarantine(spark, sf_dir):
     """Bad records by symbol and reason, of trade payloads with planted faults: ids
     that are no number, prices of too many digits, payloads cut short."""
@@ -212,6 +242,8 @@ QUERIES: dict[str, Query] = {
     "payload_trades": lambda spark, sf_dir: payloads.pack_trade_payloads(standin_raw(spark, sf_dir).trades),
     "payload_tickers": lambda spark, sf_dir: payloads.pack_ticker_payloads(standin_raw(spark, sf_dir).tickers),
     "landing_round_trip": _landing_round_trip,
+    "landing_arrays": _landing_arrays,
+    "landing_quarantine": _landing_quarantine,
     "append_klines": _append("klines", _bar_batches("klines")),
     "append_trades": _append("trades", _tape_batches, TAPE_ORDER),
     "append_tickers": _append("tickers", _bar_batches("tickers")),

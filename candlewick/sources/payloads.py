@@ -20,9 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from candlewick.schemas import KLINE_POSITIONS, RAW_KEYS, RAW_SCHEMAS, TICKER_FIELDS, TRADE_FIELDS
+from candlewick.schemas import KLINE_POSITIONS, RAW_SCHEMAS, TICKER_FIELDS, TRADE_FIELDS
+from candlewick.sources.checked import good_or_fail, known_on_bad, reasons
 
 # Payload shapes with every value as text, and (place in the payload, raw column).
 TEXT_SHAPES = {
@@ -39,16 +39,6 @@ def _stamp(extracted_at: Column | str | None) -> Column:
     return (F.col(extracted_at) if isinstance(extracted_at, str) else extracted_at).cast("timestamp_ntz")
 
 
-def _bad_value(text: Column, field: T.StructField) -> Column:
-    """True where the text is there and its column cannot hold it exactly."""
-    typed = text.try_cast(field.dataType)
-    bad = typed.isNull()
-    if isinstance(field.dataType, T.DecimalType):
-        wide = text.try_cast(T.DecimalType(38, 18))
-        bad = bad | wide.isNull() | (wide != typed) | text.rlike(r"\.\d{18}\d*[1-9]")
-    return text.isNotNull() & bad
-
-
 def _records(payloads: DataFrame, dataset: str, payload: str, symbol: str, extracted_at) -> DataFrame:
     """One row per record: the raw columns, ``_reason`` (null: good), ``_payload``
     and ``_record`` (its values as JSON); a payload that cannot be read is one
@@ -71,31 +61,20 @@ def _records(payloads: DataFrame, dataset: str, payload: str, symbol: str, extra
     if "symbol" not in value:
         value["symbol"] = F.col("_symbol")
     schema = RAW_SCHEMAS[dataset]
-    reasons = [F.when(F.col("_broken"), "payload: not the expected JSON")]
-    reasons += [F.when(value[k].isNull(), f"{k}: missing") for k in dict.fromkeys(["symbol", *RAW_KEYS[dataset]])]
-    reasons += [
-        F.when(_bad_value(value[f.name], f), f"{f.name}: not {f.dataType.simpleString()}")
-        for f in schema.fields
-        if f.name in value and not isinstance(f.dataType, T.StringType)
-    ]
+    reason = F.coalesce(F.when(F.col("_broken"), "payload: not the expected JSON"), *reasons(value, dataset))
     typed = [
         (value[f.name].try_cast(f.dataType) if f.name in value else F.col(f.name)).alias(f.name) for f in schema.fields
     ]
     return rows.select(
-        *typed, F.coalesce(*reasons).alias("_reason"), "_payload", F.to_json(F.struct(F.col("_r").alias("r"))).alias("_record")
+        *typed, reason.alias("_reason"), "_payload", F.to_json(F.struct(F.col("_r").alias("r"))).alias("_record")
     )
 
 
 def normalize(payloads: DataFrame, dataset: str, payload: str = "payload", symbol: str = "symbol",
               extracted_at: Column | str | None = "extracted_at", on_bad: str = "fail") -> DataFrame:
     """Typed raw records of ``dataset`` (``klines``, ``trades`` or ``tickers``)."""
-    if on_bad not in ("fail", "quarantine"):
-        raise ValueError(f"unknown on_bad {on_bad!r}")
     rows = _records(payloads, dataset, payload, symbol, extracted_at)
-    good = F.col("_reason").isNull()
-    if on_bad == "fail":
-        text = F.concat(F.lit("bad record, "), "_reason", F.lit(": "), F.coalesce("_record", "_payload"))
-        good = F.when(good, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
+    good = F.col("_reason").isNull() if known_on_bad(on_bad) == "quarantine" else good_or_fail("_reason", "_record", "_payload")
     return rows.where(good).select(*RAW_SCHEMAS[dataset].names)
 
 

@@ -52,7 +52,7 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
-for _name, _same in (("landing_round_trip", "normalize_trades"), ("append_klines", "normalize_klines"),
+for _name, _same in (("landing_round_trip", "normalize_trades"), ("landing_arrays", "normalize_trades"), ("append_klines", "normalize_klines"),
                      ("append_trades", "idempotent_append"), ("append_tickers", "normalize_tickers"),
                      ("dim_symbols_all_snapshots", "dim_symbols")):
     DECIMAL_COLUMNS[_name] = DECIMAL_COLUMNS[_same]
@@ -92,6 +92,8 @@ _SQL: dict[str, str] = {
         "select symbol, regexp_replace(reason, 'JSON .*', 'JSON') as reason, cast(sum(records) as bigint) as records "
         "from normalize_quarantine group by 1, 2", "normalize_quarantine"),
     "landing_round_trip": model("raw_trades"),
+    "landing_arrays": model("raw_trades"),
+    "landing_quarantine": model("landing_quarantine"),
     "append_klines": model("raw_klines"),
     "append_trades": model("appended"),
     "append_tickers": model("raw_tickers"),

@@ -352,6 +352,12 @@ cte("payload_tickers", ("raw_tickers",), """
            || '","lowPrice":"' || low_price || '","volume":"' || volume || '","quoteVolume":"' || quote_volume
            || '","openTime":' || open_time || ',"closeTime":' || close_time || ',"count":' || "count" || '}' as payload
     from raw_tickers""")
+cte("landing_quarantine", ("raw_trades",), """
+    select case trade_id % 50 when 7 then 'trade_id: missing' when 9 then 'price: not decimal(18,8)'
+                when 11 then 'trade_time: not bigint' when 13 then 'record: not JSON' else 'none' end as reason,
+           count(*) as records
+    from raw_trades group by 1""")
+
 cte("normalize_quarantine", ("raw_trades",), """
     select symbol, reason, count(*) as records from (
         select symbol,
