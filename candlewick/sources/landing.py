@@ -8,7 +8,8 @@ cannot hold exactly (not a number, too many digits before or after the point)
 is a bad record.  ``on_bad="fail"`` (the default) fails the run on the first
 one; ``on_bad="quarantine"`` gives the good records only, and
 ``quarantined_landing`` the others with reason and text.  Other values may be
-missing and are NULL then; keys that no column has are ignored.
+missing and are NULL then; keys that no column has are ignored.  A file of one array
+must hold nothing after it: Spark's parser reads the first JSON value of such a file.
 
 Each record also gets its arrival order (``_mtime``, ``_file``, ``_block``,
 ``_pos``: file time, file, split start, and a counter that grows along each split) so that a

@@ -9,7 +9,8 @@ candles of the same trades.
 
 ``update_candles`` loses nothing: a batch of trades is appended to the raw
 table (first write wins), and the candles of the days that it touches are
-computed again from all raw trades of those days.
+computed again from all raw trades of those days; the scan is filtered by their
+span of trade times, which skips row groups of other times.
 """
 
 from __future__ import annotations
@@ -77,10 +78,13 @@ def update_candles(spark: SparkSession, trades: DataFrame, root: str, interval_m
         raise ValueError("candles must not reach over the end of a day")
     append_idempotent(spark, trades, root, "trades")
     day = F.to_date(F.timestamp_millis("trade_time"))
-    days = touched(trades.where(F.col("trade_time").isNotNull()).withColumn("open_date", day), "open_date")
+    timed = trades.where(F.col("trade_time").isNotNull())
+    days = touched(timed.withColumn("open_date", day), "open_date")
     if days is None:
         return
-    raw = read_raw_table(spark, root, "trades").where(F.col("trade_time").isNotNull()).withColumn("open_date", day)
+    low, high = timed.agg(F.min("trade_time"), F.max("trade_time")).first()
+    span = F.col("trade_time").between(low // DAY_MS * DAY_MS, high // DAY_MS * DAY_MS + DAY_MS - 1)  # reaches the scan
+    raw = read_raw_table(spark, root, "trades").where(span).withColumn("open_date", day)
     bars = candles_from_trades(raw.where(days), interval_ms).withColumn("open_date", partition_value("klines"))
     writer = bars.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("open_date").parquet(candles_path(root))
