@@ -9,9 +9,9 @@
 ``availableNow`` stream, from files of one JSON array each, or of JSON lines
 with ``lines``; a bad record fails the run, or with ``quarantine`` goes to a
 table beside the raw one; ``build`` writes every model layer; ``refresh``
-rewrites the candle fact and daily mart from SINCE's day on, and the other
-tables in full; ``check`` runs
-the 28 column tests on the written tables and prints the failing ones.
+replaces the days from SINCE's on in every table that has days, and merges the
+symbol tables from partials (SINCE: the day of the earliest record that came
+since the last run); ``check`` runs the 28 column tests on the written tables and prints the failing ones.
 The Spark master and settings come from ``spark-submit`` / the environment.
 """
 
@@ -52,8 +52,10 @@ def main(argv: list[str]) -> int:
             print(f"{name}\t{path}")
     elif cmd == "refresh":
         root, out, since = args
-        fresh = ("fct_candles", "daily_summary")
-        incremental.refresh(spark, root, {n: f"{out.rstrip('/')}/{n}" for n in fresh}, since)
+        fresh = (*incremental.CANDLE_TABLES, *incremental.TRADE_TABLES)
+        paths = {n: f"{out.rstrip('/')}/{n}" for n in fresh}
+        incremental.refresh(spark, root, paths, since)
+        incremental.refresh_trades(spark, root, paths, since)
         materialize.build(spark, _raw(spark, root), out, skip=fresh)
     else:
         out, symbols = args[0], args[1:]

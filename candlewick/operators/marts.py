@@ -131,6 +131,18 @@ def trade_window_columns() -> list:
     ]
 
 
+def candle_stats(stg_klines: DataFrame) -> DataFrame:
+    """Per-symbol span, count and close prices of all candles."""
+    return stg_klines.groupBy("symbol").agg(
+        F.min("opened_at").alias("first_seen_at"),
+        F.max("opened_at").alias("last_seen_at"),
+        F.count(F.lit(1)).alias("total_candles"),
+        F.round(F.min("close_price"), 4).alias("historical_low"),
+        F.round(F.max("close_price"), 4).alias("historical_high"),
+        rounded(F.avg("close_price"), 4).alias("avg_close_price"),
+    )
+
+
 def dim_symbols(
     stg_tickers: DataFrame,
     stg_klines: DataFrame,
@@ -140,15 +152,17 @@ def dim_symbols(
     """One row per trading pair: current 24 h state, sentiment and candle
     history.  ``as_of`` fixes ``last_updated_at`` (default: the current time).
     """
+    return dim_of_stats(stg_tickers, candle_stats(stg_klines), as_of, all_snapshots)
+
+
+def dim_of_stats(
+    stg_tickers: DataFrame,
+    stats: DataFrame,
+    as_of: _dt.datetime | str | None = None,
+    all_snapshots: bool = False,
+) -> DataFrame:
+    """``dim_symbols`` from candle statistics, computed or merged from partials."""
     tickers = stg_tickers if all_snapshots else latest_ticker(stg_tickers)
-    stats = stg_klines.groupBy("symbol").agg(
-        F.min("opened_at").alias("first_seen_at"),
-        F.max("opened_at").alias("last_seen_at"),
-        F.count(F.lit(1)).alias("total_candles"),
-        F.round(F.min("close_price"), 4).alias("historical_low"),
-        F.round(F.max("close_price"), 4).alias("historical_high"),
-        rounded(F.avg("close_price"), 4).alias("avg_close_price"),
-    )
     if as_of is None:
         stamp = F.current_timestamp()
     else:

@@ -106,8 +106,12 @@ def symbol_volume(stg_trades: DataFrame, stg_tickers: DataFrame, all_snapshots:
     grows with time, they come from counts (``snapshot_ranks``), not from a
     window over all rows.
     """
+    return volume_of_summary(trade_summary(stg_trades), stg_tickers, all_snapshots)
+
+
+def volume_of_summary(ts: DataFrame, stg_tickers: DataFrame, all_snapshots: bool = False) -> DataFrame:
+    """``symbol_volume`` from trade summaries, computed or merged from partials."""
     tickers = stg_tickers if all_snapshots else latest_ticker(stg_tickers)
-    ts = trade_summary(stg_trades)
     tk = tickers.select(
         "symbol",
         "last_price",

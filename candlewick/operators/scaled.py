@@ -182,6 +182,49 @@ def fct_trades_scaled(
     )
 
 
+TAIL_ROWS = RELATIVE_SIZE_ROWS - 1
+
+
+def _newest(df: DataFrame, *by: str) -> DataFrame:
+    """The last ``TAIL_ROWS`` trades per ``by`` in the fact's order, numbered from the
+    newest (``_rn``); cut inside the map tasks first, so no group is hot."""
+    last = [F.col(c).desc_nulls_first() for c in ("traded_at", "trade_id")]
+    numbered = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*last)))
+    return numbered.where(F.col("_rn") <= TAIL_ROWS)
+
+
+def trade_tails(fct_trades: DataFrame) -> DataFrame:
+    """State of the trade fact: the last trades of each symbol and day, with their
+    running totals.  From it a refresh starts at any day without the trades before."""
+    dated = fct_trades.where(F.col("trade_date").isNotNull())
+    return _newest(dated, "symbol", "trade_date").select(
+        "symbol", "traded_at", "trade_id", "trade_value_usdt", "cumulative_volume_usdt", "trade_date")
+
+
+def fct_trades_from(
+    stg_trades: DataFrame, tails: DataFrame, start_day: str, block_rows: int = DEFAULT_BLOCK_ROWS, partitions: int | None = None
+) -> DataFrame:
+    """Trade fact of the days from ``start_day`` on (and of trades without a time, which
+    come last), from the staged trades of these days and the ``trade_tails`` before.
+
+    The tail rows fill the frames of a symbol's first trades; what they do not show
+    of the running total is one opening value per symbol.
+    """
+    day = F.lit(start_day).cast("date")
+    before = _newest(tails.where(F.col("trade_date") < day), "symbol")
+    dtype = stg_trades.schema["trade_value_usdt"].dataType
+    opening = before.groupBy(F.coalesce("symbol", F.lit(NULL_SERIES)).alias("_of")).agg(
+        _exact_add(F.max(F.when(F.col("_rn") == 1, F.col("cumulative_volume_usdt"))), -F.sum("trade_value_usdt"), dtype).alias("_open")
+    )
+    shown = before.select("symbol", "traded_at", "trade_id", "trade_value_usdt")
+    facts = fct_trades_scaled(stg_trades.unionByName(shown, allowMissingColumns=True), block_rows, partitions)
+    facts = facts.where(F.col("trade_date").isNull() | (F.col("trade_date") >= day))
+    total = _exact_add(F.col("_open"), F.col("cumulative_volume_usdt"), dtype)
+    return facts.join(opening, F.coalesce("symbol", F.lit(NULL_SERIES)) == F.col("_of"), "left").select(
+        *[total.alias(c) if c == "cumulative_volume_usdt" else F.col(c) for c in FCT_TRADE_COLUMNS]
+    )
+
+
 def price_metrics_scaled(
     stg_klines: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS, partitions: int | None = None
 ) -> DataFrame:

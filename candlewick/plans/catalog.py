@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.operators import ingest, marts, metrics, panels, quality, scaled, staging
-from candlewick.plans import materialize
+from candlewick.operators import ingest, marts, metrics, panels, partials, quality, scaled, staging
+from candlewick.plans import incremental, materialize
 from candlewick.plans.models import DEFAULT_AS_OF, standin_models, standin_raw, tape_trades
 from candlewick.schemas import RAW_KEYS, RAW_TRADES
 from candlewick.session import scratch_path
@@ -102,18 +102,53 @@ REFRESH_SINCE = "2024-01-20 00:00:00"  # first day an incremental refresh rewrit
 def _fct_candles_incremental(spark, sf_dir):
     """Candle-fact rows an incremental refresh from REFRESH_SINCE writes:
     computed from those days plus 29 earlier candles per symbol."""
-    from candlewick.plans.incremental import candles_since
-
-    return candles_since(standin_models(spark, sf_dir).stg_klines, REFRESH_SINCE)
+    return incremental.candles_since(standin_models(spark, sf_dir).stg_klines, REFRESH_SINCE)
 
 
 def _daily_summary_incremental(spark, sf_dir):
     """Daily rows from REFRESH_SINCE on, with the trend windows fed by the
     newest earlier days of the existing daily table."""
-    from candlewick.plans.incremental import daily_since
-
     m = standin_models(spark, sf_dir)
-    return daily_since(m.fct_candles, marts.daily_summary(m.fct_candles, sort=False), REFRESH_SINCE)
+    return incremental.daily_since(m.fct_candles, marts.daily_summary(m.fct_candles, sort=False), REFRESH_SINCE)
+
+
+def _refreshed(spark, sf_dir, dataset: str) -> dict[str, DataFrame]:
+    """Written candle or trade tables after a build on the records before REFRESH_SINCE, an append of
+    all records and a refresh from that day on."""
+    raw = getattr(standin_raw(spark, sf_dir), dataset)
+    time = "trade_time" if dataset == "trades" else "open_time"
+    root, out = scratch_path(spark, "raw"), scratch_path(spark, "built")
+    ingest.append_idempotent(spark, raw.where(F.col(time) < REFRESH_SINCE_MS), root, dataset)
+    first = ingest.read_raw_table(spark, root, dataset)
+    if dataset == "trades":
+        paths, run = materialize.build_trades(spark, first, out), incremental.refresh_trades
+    else:
+        paths, run = materialize.build_candles(spark, first, out), incremental.refresh
+    ingest.append_idempotent(spark, raw, root, dataset)
+    run(spark, root, paths, REFRESH_SINCE)
+    return {t: spark.read.parquet(path) for t, path in paths.items()}
+
+
+def _fct_trades_incremental(spark, sf_dir):
+    done = _refreshed(spark, sf_dir, "trades")
+    return done["fct_trades"].select(*marts.FCT_TRADE_COLUMNS)
+
+
+def _symbol_volume_incremental(spark, sf_dir):
+    done = _refreshed(spark, sf_dir, "trades")
+    summary = partials.merged_trade_summary(done["trade_partials"])
+    return metrics.volume_of_summary(summary, standin_models(spark, sf_dir).stg_tickers)
+
+
+def _dim_symbols_incremental(spark, sf_dir):
+    done = _refreshed(spark, sf_dir, "klines")
+    stats = partials.merged_candle_stats(done["candle_partials"])
+    return marts.dim_of_stats(standin_models(spark, sf_dir).stg_tickers, stats, as_of=DEFAULT_AS_OF)
+
+
+def _candle_grain_incremental(spark, sf_dir):
+    done = _refreshed(spark, sf_dir, "klines")
+    return done["daily_summary_candle_grain"].select(*marts.DAILY_COLUMNS)
 
 
 TAPE_ORDER = ("extracted_at", "price", "quantity", "quote_qty", "trade_time", "is_buyer_maker")
@@ -270,6 +305,10 @@ QUERIES: dict[str, Query] = {
     "daily_summary_candle_grain": _model("daily_summary_candle_grain"),
     "fct_candles_incremental": _fct_candles_incremental,
     "daily_summary_incremental": _daily_summary_incremental,
+    "fct_trades_incremental": _fct_trades_incremental,
+    "symbol_volume_incremental": _symbol_volume_incremental,
+    "dim_symbols_incremental": _dim_symbols_incremental,
+    "daily_summary_candle_grain_incremental": _candle_grain_incremental,
     "quality_checks": _quality_checks,
     "panel_data_freshness": _panel(lambda m: panels.data_freshness(m.raw.klines, m.raw.trades, m.raw.tickers)),
     "panel_rolling_trend": _panel(lambda m: panels.rolling_trend(_daily(m))),

@@ -6,37 +6,60 @@
   and read back, so the two consumers of staged candles (price metrics and
   the symbol dimension) do not recompute them, and a lost executor only
   re-runs tasks of the current layer (lineage is cut at each written table).
-  Facts and the daily mart are partitioned by ``trade_date`` so that
-  dashboard filters on dates prune files; the dimension is one small file set.
+  Tables with a time are partitioned by ``trade_date``, so that dashboard
+  filters on dates prune files and a refresh replaces whole days; the symbol
+  tables are merged from partials per symbol and day.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.operators import marts, metrics, staging
+from candlewick.functions.temporal import trade_date
+from candlewick.operators import marts, metrics, partials, scaled, staging
 from candlewick.plans.models import Models, Raw
 from candlewick.session import scratch_scope
 
 MART_PARTITIONS = {
+    "stg_klines": ("trade_date",),
+    "stg_trades": ("trade_date",),
+    "price_metrics": ("trade_date",),
     "fct_candles": ("trade_date",),
     "fct_trades": ("trade_date",),
     "daily_summary": ("trade_date",),
     "daily_summary_candle_grain": ("trade_date",),
+    "trade_tails": ("trade_date",),
+    "trade_partials": ("trade_date",),
+    "candle_partials": ("trade_date",),
     "dim_symbols": (),
 }
 CLUSTER_BY = {
+    "stg_klines": ("symbol", "opened_at"),
+    "stg_trades": ("symbol", "traded_at", "trade_id"),
+    "price_metrics": ("symbol", "opened_at"),
     "fct_candles": ("symbol", "opened_at"),
     "fct_trades": ("symbol", "traded_at", "trade_id"),
     "daily_summary": ("symbol",),
     "daily_summary_candle_grain": ("symbol",),
+    "trade_tails": ("symbol", "traded_at", "trade_id"),
+    "trade_partials": ("symbol",),
+    "candle_partials": ("symbol",),
 }
 
 
-SHARED = ("fct_candles",)  # marts that others read
+SHARED = ("trade_partials", "candle_partials")  # tables that others read
+
+
+# Models without a day of their own are written with the day of this column.
+DAY_OF = {"stg_klines": "opened_at", "stg_trades": "traded_at", "price_metrics": "opened_at"}
+
+
+def dated(table: str, df: DataFrame) -> DataFrame:
+    """``df`` with the partition column of its written table."""
+    return df.withColumn("trade_date", trade_date(DAY_OF[table])) if table in DAY_OF else df
 
 
 def register_views(models: Models) -> list[str]:
@@ -66,33 +89,62 @@ def write_table(df: DataFrame, path: str, partition_by=(), cluster_by=()) -> Non
     w.parquet(path)
 
 
+class _Writer:
+    """Writes tables under a folder and reads them back; leaves those in ``skip``."""
+
+    def __init__(self, spark: SparkSession, out_dir: str, skip: Collection[str]):
+        self.spark, self.out, self.skip, self.paths = spark, out_dir.rstrip("/"), skip, {}
+
+    def put(self, name: str, make: Callable[[], DataFrame]) -> DataFrame | None:
+        path = f"{self.out}/{name}"
+        if name in self.skip:
+            return self.spark.read.parquet(path) if name in SHARED else None
+        df = dated(name, make())
+        write_table(df, path, MART_PARTITIONS.get(name, ()), CLUSTER_BY.get(name, ()))
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)  # a table without rows has no files to tell
+
+    def candles(self, raw_klines: DataFrame) -> DataFrame | None:
+        stg = self.put("stg_klines", lambda: staging.stg_klines(raw_klines))
+        pm = self.put("price_metrics", lambda: metrics.price_metrics(stg))
+        fct = self.put("fct_candles", lambda: marts.fct_candles(pm))
+        self.put("daily_summary", lambda: marts.daily_summary(fct, sort=False))
+        self.put("daily_summary_candle_grain", lambda: marts.daily_summary_candle_grain(fct, sort=False))
+        return self.put("candle_partials", lambda: partials.candle_partials(stg))
+
+    def trades(self, raw_trades: DataFrame) -> DataFrame | None:
+        stg = self.put("stg_trades", lambda: staging.stg_trades(raw_trades))
+        fct = self.put("fct_trades", lambda: marts.fct_trades(stg))
+        self.put("trade_tails", lambda: scaled.trade_tails(fct))
+        return self.put("trade_partials", lambda: partials.trade_partials(stg))
+
+
+def build_candles(spark: SparkSession, raw_klines: DataFrame, out_dir: str) -> dict[str, str]:
+    """The tables made of candles alone."""
+    writer = _Writer(spark, out_dir, ())
+    with scratch_scope(spark):
+        writer.candles(raw_klines)
+    return writer.paths
+
+
+def build_trades(spark: SparkSession, raw_trades: DataFrame, out_dir: str) -> dict[str, str]:
+    """The tables made of trades alone."""
+    writer = _Writer(spark, out_dir, ())
+    with scratch_scope(spark):  # intermediate tables of the blocked windows
+        writer.trades(raw_trades)
+    return writer.paths
+
+
 def build(spark: SparkSession, raw: Raw, out_dir: str, as_of: _dt.datetime | None = None,
           skip: Collection[str] = ()) -> dict[str, str]:
     """Write staging, intermediate and mart tables under ``out_dir``; ``as_of`` is
     the dimension's stamp (default: the time of the run).
-    Marts named in ``skip`` are left as they are; the candle fact must then be
-    there, as other marts read it."""
-    out = out_dir.rstrip("/")
-    paths: dict[str, str] = {}
-
-    def put(name: str, df: DataFrame, partition_by=()) -> DataFrame | None:
-        path = f"{out}/{name}"
-        if name in skip:
-            return spark.read.parquet(path) if name in SHARED else None
-        write_table(df, path, partition_by, CLUSTER_BY.get(name, ()))
-        paths[name] = path
-        return spark.read.parquet(path)
-
-    with scratch_scope(spark):  # intermediate tables of the blocked windows
-        stg_k = put("stg_klines", staging.stg_klines(raw.klines))
-        stg_t = put("stg_trades", staging.stg_trades(raw.trades))
-        stg_x = put("stg_tickers", staging.stg_tickers(raw.tickers))
-        pm = put("price_metrics", metrics.price_metrics(stg_k))
-        put("symbol_volume", metrics.symbol_volume(stg_t, stg_x))
-        fc = put("fct_candles", marts.fct_candles(pm), MART_PARTITIONS["fct_candles"])
-        put("fct_trades", marts.fct_trades(stg_t), MART_PARTITIONS["fct_trades"])
-        put("dim_symbols", marts.dim_symbols(stg_x, stg_k, as_of=as_of))
-        put("daily_summary", marts.daily_summary(fc, sort=False), MART_PARTITIONS["daily_summary"])
-        put("daily_summary_candle_grain", marts.daily_summary_candle_grain(fc, sort=False),
-            MART_PARTITIONS["daily_summary_candle_grain"])
-    return paths
+    Tables named in ``skip`` are left as they are; those in ``SHARED`` must then be
+    there, as others read them."""
+    writer = _Writer(spark, out_dir, skip)
+    with scratch_scope(spark):
+        tickers = writer.put("stg_tickers", lambda: staging.stg_tickers(raw.tickers))
+        of_candles, of_trades = writer.candles(raw.klines), writer.trades(raw.trades)
+        writer.put("symbol_volume", lambda: metrics.volume_of_summary(partials.merged_trade_summary(of_trades), tickers))
+        writer.put("dim_symbols", lambda: marts.dim_of_stats(tickers, partials.merged_candle_stats(of_candles), as_of=as_of))
+    return writer.paths

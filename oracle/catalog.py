@@ -54,7 +54,9 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
 
 for _name, _same in (("landing_round_trip", "normalize_trades"), ("landing_arrays", "normalize_trades"), ("append_klines", "normalize_klines"),
                      ("append_trades", "idempotent_append"), ("append_tickers", "normalize_tickers"),
-                     ("dim_symbols_all_snapshots", "dim_symbols")):
+                     ("dim_symbols_all_snapshots", "dim_symbols"), ("fct_trades_incremental", "fct_trades"),
+                     ("symbol_volume_incremental", "symbol_volume"), ("dim_symbols_incremental", "dim_symbols"),
+                     ("daily_summary_candle_grain_incremental", "daily_summary_candle_grain")):
     DECIMAL_COLUMNS[_name] = DECIMAL_COLUMNS[_same]
 
 
@@ -108,6 +110,10 @@ _SQL: dict[str, str] = {
         "select * from fct_candles where opened_at >= timestamp '2024-01-20 00:00:00'", "fct_candles"),
     "daily_summary_incremental": statement(
         "select * from daily_summary where trade_date >= date '2024-01-20'", "daily_summary"),
+    "fct_trades_incremental": model("fct_trades"),
+    "symbol_volume_incremental": model("symbol_volume"),
+    "dim_symbols_incremental": model("dim_symbols"),
+    "daily_summary_candle_grain_incremental": model("daily_summary_candle_grain"),
     "quality_checks": quality_sql(),
     **{name: panel_sql(name) for name in PANELS},
 }
