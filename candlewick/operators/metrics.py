@@ -136,15 +136,21 @@ def volume_of_summary(ts: DataFrame, stg_tickers: DataFrame, all_snapshots: bool
     )
 
 
+#: Tell snapshots of one change apart, so that a frequent change spreads over tasks.
+SNAPSHOT_TIES = ("symbol", "last_price", "daily_volume", "daily_quote_volume", "daily_trade_count")
+
+
 def snapshot_ranks(ts: DataFrame, tk: DataFrame) -> DataFrame:
     """Trade summaries with every snapshot of their symbol, and the shares and ranks
     that windows over all these rows would give.
 
     Total and volume rank follow from the summaries, each weighted by its number
-    of snapshots (a window over one row per symbol).  The momentum rank adds the
-    rows in whole-percent steps above the row's own (a window over one row per
-    step) to its rank within the step.
+    of snapshots (a window over one row per symbol).  The momentum rank comes from
+    places in ranges taken from the data (``scaled.with_rank``), so it does not matter
+    how close together the changes lie.  Building the frame writes the joined rows once.
     """
+    from candlewick.operators.scaled import with_rank  # scaled builds on this module
+
     weight = tk.groupBy("symbol").agg(F.count(F.lit(1)).alias("_w"))
     rows = ts.join(weight, "symbol", "left").withColumn("_w", F.coalesce("_w", F.lit(1)))
     down = Window.orderBy(F.col("total_volume_usdt").desc_nulls_first())
@@ -156,13 +162,7 @@ def snapshot_ranks(ts: DataFrame, tk: DataFrame) -> DataFrame:
         rounded(pct("total_volume_usdt", total), 2).alias("volume_dominance_pct"),
         (upto - peers + 1).cast("int").alias("volume_rank"),
     )
-    joined = shares.join(tk, "symbol", "left").withColumn("_step", F.floor("price_change_pct"))
-    steps = joined.groupBy("_step").agg(F.count(F.lit(1)).alias("_n"))
-    above = Window.orderBy(F.col("_step").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    steps = steps.select(F.col("_step").alias("_of"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
-    own = Window.partitionBy("_step").orderBy(F.col("price_change_pct").desc_nulls_first())
-    ranked = joined.withColumn("_rank", F.rank().over(own)).join(steps, F.col("_step").eqNullSafe(F.col("_of")))
+    joined = shares.join(tk, "symbol", "left")
+    ranked = with_rank(joined, "price_change_pct", SNAPSHOT_TIES, "momentum_rank")
     return ranked.select(
-        *ts.columns, *[c for c in tk.columns if c != "symbol"], "volume_dominance_pct", "volume_rank",
-        (F.col("_above") + F.col("_rank")).cast("int").alias("momentum_rank"),
-    )
+        *ts.columns, *[c for c in tk.columns if c != "symbol"], "volume_dominance_pct", "volume_rank", "momentum_rank")

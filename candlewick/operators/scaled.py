@@ -66,21 +66,14 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
 _ID_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
 
 
-def positioned(
-    df: DataFrame,
-    series: Sequence[str],
-    order: Sequence[str],
-    partitions: int | None = None,
-) -> DataFrame:
-    """Add ``_pos``: the 0-based position of each row within its ``series``
-    in ``order`` (ascending, NULLs last), without a per-series task."""
-    series = list(series)
-    keys = [F.col(c).asc_nulls_last() for c in [*series, *order]]
+def range_tagged(df: DataFrame, keys: Sequence[Column], partitions: int | None = None) -> DataFrame:
+    """The rows range-partitioned and sorted by ``keys``, written once, each with its
+    partition (``_pid``) and its place there (``_local``, from 0)."""
     # Without an explicit count AQE may merge adjacent ranges (small inputs
-    # then write few files); merged ranges stay contiguous, so positions hold.
+    # then write few files); merged ranges stay contiguous, so places hold.
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     pid = F.spark_partition_id().cast("long")
-    tagged = written_table(
+    return written_table(
         ranged.sortWithinPartitions(*keys)
         .select(
             "*",
@@ -89,6 +82,18 @@ def positioned(
         ),
         "positions",
     )
+
+
+def positioned(
+    df: DataFrame,
+    series: Sequence[str],
+    order: Sequence[str],
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add ``_pos``: the 0-based position of each row within its ``series``
+    in ``order`` (ascending, NULLs last), without a per-series task."""
+    series = list(series)
+    tagged = range_tagged(df, [F.col(c).asc_nulls_last() for c in [*series, *order]], partitions)
     stats = tagged.groupBy("_pid", *series).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first")
     )
@@ -108,6 +113,30 @@ def positioned(
     )
 
 
+def with_rank(df: DataFrame, value: str, ties: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
+    """Add ``name``: ``rank() over (order by value desc nulls first)`` over all rows,
+    without putting them, or the rows of one value, into one task.
+
+    The ranges come from the data.  ``ties`` tell equal values apart, so a value that
+    many rows share is cut over several ranges.  A value's rank is one more than the
+    place of its first row: the rows of earlier ranges plus its first place in its own;
+    where a range begins with the value that ended the one before, the earlier place
+    holds.  The helper table has one row per range and value and is joined by both, so
+    no join key has more rows than a range.  NULL is a value; no rows give no rows.
+    """
+    keys = [F.col(value).desc_nulls_first(), *[F.col(c).asc_nulls_last() for c in ties]]
+    tagged = range_tagged(df, keys, partitions)
+    runs = tagged.groupBy("_pid", value).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    sizes = runs.groupBy("_pid").agg(F.sum("_n").alias("_rows")).select(
+        "_pid", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    place = F.min(F.col("_before") + F.col("_first")).over(Window.partitionBy(value))  # at most a row per range each
+    ranks = runs.join(sizes, "_pid").select(
+        F.col("_pid").alias("_of_pid"), F.col(value).alias("_of_value"), (place + 1).cast("int").alias(name))
+    cond = (tagged["_pid"] == ranks["_of_pid"]) & tagged[value].eqNullSafe(ranks["_of_value"])
+    return tagged.join(ranks, cond, "inner").select(*df.columns, name)
+
+
 def with_halo(df: DataFrame, block_rows: int, halo: int) -> DataFrame:
     """Assign ``_blk`` from ``_pos`` and copy the last ``halo`` rows of each
     block into the next one (``_halo`` = true on the copies)."""

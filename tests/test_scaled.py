@@ -8,6 +8,9 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from candlewick.operators import marts, metrics, scaled, staging
 from candlewick.plans.models import standin_models, tape_trades
 from candlewick.schemas import RAW_TRADES
@@ -89,3 +92,31 @@ def test_rows_without_symbol_take_the_plain_window(spark):
     rows = [(None if i % 3 == 0 else "AUSDT", i, Decimal(i), Decimal("1"), None, i * 1000, False, t0) for i in range(40)]
     stg = staging.stg_trades(spark.createDataFrame(rows, schema))
     assert _same(marts.fct_trades(stg, method="plain"), scaled.fct_trades_scaled(stg, block_rows=10, partitions=3))
+
+
+def test_ranks_carry_over_range_boundaries(spark):
+    """Nine tenths of the values lie within one per cent, a third of all rows share one."""
+    near = F.when(F.col("id") % 3 == 0, F.lit(0.25)).when(F.col("id") % 10 == 1, F.col("id") - 500).when(F.col("id") % 50 == 2, F.lit(None))
+    df = spark.range(2000).select("id", near.otherwise((F.col("id") % 97) / 100).cast("decimal(18,8)").alias("change"))
+    order = Window.orderBy(F.col("change").desc_nulls_first())
+    want = df.withColumn("place", F.rank().over(order))
+    for partitions in (1, 5, 16):
+        assert _same(scaled.with_rank(df, "change", ["id"], "place", partitions), want)
+    assert _same(scaled.with_rank(df.repartition(7), "change", ["id"], "place"), want)
+    assert scaled.with_rank(df.limit(0), "change", ["id"], "place").count() == 0
+    repeated = df.unionByName(df)  # copies that nothing tells apart
+    assert _same(scaled.with_rank(repeated, "change", ["id"], "place", 9), repeated.withColumn("place", F.rank().over(order)))
+
+
+def test_no_range_holds_a_hot_value(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 3 > 0, F.lit(1)).otherwise(F.col("id")).alias("change"))
+    tagged = scaled.range_tagged(df, [F.col("change").desc_nulls_first(), F.col("id").asc_nulls_last()], 16)
+    sizes = [r[0] for r in tagged.groupBy("_pid").count().select("count").collect()]
+    assert len(sizes) >= 12 and max(sizes) < 2.5 * 4000 / 16  # boundaries are sampled
+
+
+def test_snapshot_ranks_equal_plain_windows(spark):
+    m = standin_models(spark, SF_SMALL)
+    got = metrics.symbol_volume(m.stg_trades, m.stg_tickers, all_snapshots=True)
+    want = got.drop("momentum_rank").withColumn("momentum_rank", F.rank().over(Window.orderBy(F.col("price_change_pct").desc_nulls_first())))
+    assert _same(got, want.select(*got.columns))
