@@ -96,23 +96,18 @@ def candles_from_trades(trades: DataFrame, interval_ms: int = HOUR_MS) -> DataFr
     )
 
 
-def tickers_from_trades(trades: DataFrame, window_ms: int = DAY_MS) -> DataFrame:
-    """One 24 h ticker snapshot per symbol and day, in the raw-tickers schema.
-
-    ``prev_close_price`` is the last price of the symbol's previous snapshot;
-    that window runs over the aggregated snapshots (symbols x days rows).
-    """
+def ticker_rows(bars: DataFrame, window_ms: int, prev_close: Column) -> DataFrame:
+    """Raw-tickers rows of the aggregates of windows."""
     c = F.col
     change = c("close_price") - c("open_price")
-    prev = Window.partitionBy("symbol").orderBy("open_time")
-    return _bar_aggregates(trades, window_ms).select(
+    return bars.select(
         _typed(
             {
                 "symbol": c("symbol"),
                 "price_change": change,
                 "price_change_pct": F.round(pct(change, "open_price").cast("decimal(38,10)"), 3),
                 "weighted_avg_price": F.round(ratio("quote_volume", "volume").cast("decimal(38,10)"), 8),
-                "prev_close_price": F.lag("close_price").over(prev),
+                "prev_close_price": prev_close,
                 "last_price": c("close_price"),
                 "open_price": c("open_price"),
                 "high_price": c("high_price"),
@@ -127,3 +122,22 @@ def tickers_from_trades(trades: DataFrame, window_ms: int = DAY_MS) -> DataFrame
             RAW_TICKERS,
         )
     )
+
+
+def tickers_from_trades(trades: DataFrame, window_ms: int = DAY_MS) -> DataFrame:
+    """One 24 h ticker snapshot per symbol and day, in the raw-tickers schema.
+
+    ``prev_close_price`` is the last price of the symbol's previous snapshot;
+    that window runs over the aggregated snapshots (symbols x days rows).
+    """
+    prev = Window.partitionBy("symbol").orderBy("open_time")
+    return ticker_rows(_bar_aggregates(trades, window_ms), window_ms, F.lag("close_price").over(prev))
+
+
+def with_prev_close(tickers: DataFrame, window_ms: int = DAY_MS) -> DataFrame:
+    """Snapshots of sliding windows with ``prev_close_price``: the last price of the
+    symbol's newest earlier snapshot that ends where this one begins, or whole windows
+    before that (NULL: none)."""
+    phase = F.pmod("open_time", F.lit(window_ms))
+    prev = Window.partitionBy("symbol", phase).orderBy("open_time")
+    return tickers.withColumn("prev_close_price", F.lag("last_price").over(prev))

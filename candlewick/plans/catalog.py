@@ -10,12 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.operators import ingest, marts, metrics, panels, partials, quality, scaled, staging
+from candlewick.operators import bars, ingest, marts, metrics, panels, partials, quality, scaled, staging
 from candlewick.plans import incremental, materialize
 from candlewick.plans.models import DEFAULT_AS_OF, standin_models, standin_raw, tape_trades
 from candlewick.schemas import RAW_KEYS, RAW_TRADES
 from candlewick.session import scratch_path
 from candlewick.sources import landing, payloads
+from candlewick.streaming.bars import stream_tickers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +46,11 @@ def _tickers_24h(spark, sf_dir):
     return standin_raw(spark, sf_dir).tickers
 
 
+def _tickers_sliding(spark, sf_dir):
+    """The 24 hours up to each full hour, per symbol."""
+    return bars.with_prev_close(stream_tickers(standin_raw(spark, sf_dir).trades))
+
+
 def _dedupe_latest(spark, sf_dir):
     return staging.stg_trades(tape_trades(spark, sf_dir))
 
@@ -269,6 +275,7 @@ def _daily(m):
 QUERIES: dict[str, Query] = {
     "candles_1h": _candles_1h,
     "tickers_24h": _tickers_24h,
+    "tickers_sliding": _tickers_sliding,
     "normalize_klines": _normalize_klines,
     "normalize_trades": _normalize_trades,
     "normalize_tickers": _normalize_tickers,

@@ -18,11 +18,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.operators.bars import candles_from_trades, trade_order_key
+from candlewick.operators.bars import candles_from_trades, ticker_rows, trade_order_key
 from candlewick.operators.ingest import append_idempotent, partition_value, read_raw_table, touched
 from candlewick.schemas import RAW_KLINES, VOLUME
 
-DAY_MS = 86_400_000
+HOUR_MS = 3_600_000
+DAY_MS = 24 * HOUR_MS
 
 
 def stream_candles(trades: DataFrame, interval: str = "1 hour", lateness: str = "10 minutes") -> DataFrame:
@@ -66,6 +67,48 @@ def stream_candles(trades: DataFrame, interval: str = "1 hour", lateness: str =
     return out.select([F.col(f.name).cast(f.dataType) for f in RAW_KLINES.fields])
 
 
+def stream_tickers(trades: DataFrame, hours: int = 24, lateness: str = "10 minutes") -> DataFrame:
+    """Raw-tickers rows of the ``hours`` up to each full hour, from a (streaming or batch)
+    raw-trades DataFrame.
+
+    Two aggregations in a row: trades to partials per symbol and hour, then partials to
+    windows that slide by an hour, so the copies for overlapping windows are of partials,
+    not of trades, and the state is a few hours and ``hours`` windows per symbol.  A
+    window is emitted once the watermark has passed its end; later trades are dropped.
+    A symbol without a trade in a window has no row for it; trades without a time have
+    none either.  ``prev_close_price`` is NULL, as it may lie any time back:
+    ``bars.with_prev_close`` fills it in the written snapshots.
+    """
+    order, notional = trade_order_key(), F.col("price") * F.col("quantity")
+    timed = trades.where(F.col("trade_time").isNotNull()).withColumn("_ts", F.timestamp_millis("trade_time"))
+    partials = (
+        timed.withWatermark("_ts", lateness)
+        .groupBy("symbol", F.window("_ts", "1 hour").alias("hour"))
+        .agg(
+            F.min_by("price", order).alias("open_price"),
+            F.min(order).alias("first"),
+            F.max("price").alias("high_price"),
+            F.min("price").alias("low_price"),
+            F.max_by("price", order).alias("close_price"),
+            F.max(order).alias("last"),
+            F.sum("quantity").alias("volume"),
+            F.sum(notional).alias("quote_volume"),
+            F.count(F.lit(1)).alias("trade_count"),
+        )
+    )
+    windows = partials.groupBy("symbol", F.window(F.window_time("hour"), f"{hours} hours", "1 hour").alias("w")).agg(
+        F.min_by("open_price", "first").alias("open_price"),
+        F.max("high_price").alias("high_price"),
+        F.min("low_price").alias("low_price"),
+        F.max_by("close_price", "last").alias("close_price"),
+        F.sum("volume").alias("volume"),
+        F.sum("quote_volume").alias("quote_volume"),
+        F.sum("trade_count").alias("trade_count"),
+    )
+    opened = windows.withColumn("open_time", F.unix_millis(F.col("w.start")))
+    return ticker_rows(opened, hours * HOUR_MS, F.lit(None))
+
+
 def candles_path(root: str) -> str:
     return f"{root.rstrip('/')}/trade_candles"
 

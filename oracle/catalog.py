@@ -53,7 +53,7 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
 
 
 for _name, _same in (("landing_round_trip", "normalize_trades"), ("landing_arrays", "normalize_trades"), ("append_klines", "normalize_klines"),
-                     ("append_trades", "idempotent_append"), ("append_tickers", "normalize_tickers"),
+                     ("append_trades", "idempotent_append"), ("append_tickers", "normalize_tickers"), ("tickers_sliding", "normalize_tickers"),
                      ("dim_symbols_all_snapshots", "dim_symbols"), ("fct_trades_incremental", "fct_trades"),
                      ("symbol_volume_incremental", "symbol_volume"), ("dim_symbols_incremental", "dim_symbols"),
                      ("daily_summary_candle_grain_incremental", "daily_summary_candle_grain")):
@@ -70,6 +70,7 @@ def exact(sql: str, cols: tuple[str, ...]) -> str:
 _SQL: dict[str, str] = {
     "candles_1h": model("raw_klines"),
     "tickers_24h": model("raw_tickers"),
+    "tickers_sliding": model("tickers_sliding"),
     "stg_klines": model("stg_klines"),
     "stg_trades": model("stg_trades"),
     "stg_tickers": model("stg_tickers"),

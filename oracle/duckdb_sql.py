@@ -40,11 +40,12 @@ def ms(ts: str) -> str:
     return f"(epoch_us({ts}) // 1000)"
 
 
-def bars(source: str, bucket_ms: int) -> str:
+def bars(source: str, bucket_ms: int, copies: int = 1) -> str:
+    """Aggregates of tumbling buckets, or of windows of ``copies`` buckets that slide by one."""
     notional = wide_mul("price", "quantity")
     taker = "not coalesce(is_buyer_maker, false)"
     return f"""
-    select symbol, trade_time - ((trade_time % {bucket_ms}) + {bucket_ms}) % {bucket_ms} as open_time,
+    select symbol, trade_time - ((trade_time % {bucket_ms}) + {bucket_ms}) % {bucket_ms} - step * {bucket_ms} as open_time,
            first(price order by trade_time, trade_id) as open_price,
            max(price) as high_price,
            min(price) as low_price,
@@ -54,7 +55,7 @@ def bars(source: str, bucket_ms: int) -> str:
            count(*) as trade_count,
            sum(case when {taker} then quantity else 0 end) as taker_base,
            sum(case when {taker} then {notional} else 0 end) as taker_quote
-    from {source}
+    from {source}, range({copies}) steps(step)
     where trade_time is not null
     group by all"""
 
@@ -128,12 +129,15 @@ cte("raw_klines", ("hour_bars",), """
     from hour_bars""")
 
 cte("day_bars", ("raw_trades",), bars("raw_trades", 86_400_000))
-cte("raw_tickers", ("day_bars",), f"""
+
+
+def tickers_sql(source: str, prev: str) -> str:
+    return f"""
     select symbol,
            cast(close_price - open_price as decimal(18,8)) as price_change,
            cast(round(cast({pct('close_price - open_price', 'open_price')} as decimal(38,10)), 3) as decimal(18,8)) as price_change_pct,
            cast(round(cast({ratio('quote_volume', 'volume')} as decimal(38,10)), 8) as decimal(18,8)) as weighted_avg_price,
-           lag(close_price) over (partition by symbol order by open_time) as prev_close_price,
+           lag(close_price) over (partition by {prev} order by open_time) as prev_close_price,
            close_price as last_price, open_price, high_price, low_price,
            cast(volume as decimal(28,8)) as volume,
            cast(quote_volume as decimal(28,8)) as quote_volume,
@@ -141,7 +145,12 @@ cte("raw_tickers", ("day_bars",), f"""
            open_time + 86400000 as close_time,
            cast(trade_count as integer) as count,
            epoch_ms(open_time + 86400000) as extracted_at
-    from day_bars""")
+    from {source}"""
+
+
+cte("raw_tickers", ("day_bars",), tickers_sql("day_bars", "symbol"))
+cte("sliding_bars", ("raw_trades",), bars("raw_trades", 3_600_000, copies=24))
+cte("tickers_sliding", ("sliding_bars",), tickers_sql("sliding_bars", "symbol, open_time % 86400000"))
 
 cte("tape_raw", (), f"""
     select l_returnflag || l_linestatus || 'USDT' as symbol,

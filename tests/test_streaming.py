@@ -11,7 +11,7 @@ from candlewick.operators import bars, ingest
 from candlewick.plans.models import standin_raw
 from candlewick.schemas import RAW_TRADES
 from candlewick.sources.landing import write_landing
-from candlewick.streaming.bars import read_candles, stream_candles, update_candles
+from candlewick.streaming.bars import read_candles, stream_candles, stream_tickers, update_candles
 from candlewick.streaming.ingest import start_landing_ingest
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -104,3 +104,23 @@ def test_a_late_trade_corrects_its_candle(spark, scratch):
     update_candles(spark, trades.where(late), scratch)  # a replayed batch
     got, want = read_candles(spark, scratch), bars.candles_from_trades(trades)
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_streamed_tickers_equal_batch_for_closed_windows(spark, scratch):
+    """The windows that end with a day are the batch's snapshots."""
+    trades = standin_raw(spark, SF_SMALL).trades
+    src = os.path.join(scratch, "trades")
+    trades.repartitionByRange(6, "trade_time").sortWithinPartitions("trade_time").write.parquet(src)
+    stream = spark.readStream.schema(RAW_TRADES).parquet(src)
+    q = (stream_tickers(stream).writeStream.format("memory").queryName("tickers_stream")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    newest = trades.agg(F.max("trade_time")).first()[0]
+    closed = F.col("close_time") + 600_000 <= F.lit(newest)
+    got = bars.with_prev_close(spark.table("tickers_stream"))
+    sliding = bars.with_prev_close(stream_tickers(trades)).where(closed)
+    assert got.exceptAll(sliding).count() == sliding.exceptAll(got).count() == 0
+    days = got.where(F.col("open_time") % bars.DAY_MS == 0)
+    expected = bars.tickers_from_trades(trades).where(closed)
+    assert days.count() > 0
+    assert days.exceptAll(expected).count() == expected.exceptAll(days).count() == 0
