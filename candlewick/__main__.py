@@ -22,7 +22,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from candlewick.operators import ingest, quality
-from candlewick.plans import incremental, materialize
+from candlewick.plans import incremental, materialize, publish
 from candlewick.plans.models import Raw
 from candlewick.session import pin_conf
 from candlewick.streaming.ingest import start_landing_ingest
@@ -54,6 +54,7 @@ def main(argv: list[str]) -> int:
         root, out, since = args
         fresh = (*incremental.CANDLE_TABLES, *incremental.TRADE_TABLES)
         paths = {n: f"{out.rstrip('/')}/{n}" for n in fresh}
+        publish.recover(spark, out)
         incremental.refresh(spark, root, paths, since)
         incremental.refresh_trades(spark, root, paths, since)
         materialize.build(spark, _raw(spark, root), out, skip=fresh)

@@ -9,6 +9,8 @@
   Tables with a time are partitioned by ``trade_date``, so that dashboard
   filters on dates prune files and a refresh replaces whole days; the symbol
   tables are merged from partials per symbol and day.
+  The tables are written aside and moved into place together (``plans.publish``),
+  so a build that fails or is running leaves the old ones whole.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from candlewick.functions.temporal import trade_date
 from candlewick.operators import marts, metrics, partials, scaled, staging
 from candlewick.plans.models import Models, Raw
+from candlewick.plans.publish import published
 from candlewick.session import scratch_scope
 
 MART_PARTITIONS = {
@@ -90,18 +93,18 @@ def write_table(df: DataFrame, path: str, partition_by=(), cluster_by=()) -> Non
 
 
 class _Writer:
-    """Writes tables under a folder and reads them back; leaves those in ``skip``."""
+    """Writes the tables of ``out_dir`` into the folder ``aside`` and reads them back;
+    leaves those in ``skip``.  ``paths`` tells where they are once published."""
 
-    def __init__(self, spark: SparkSession, out_dir: str, skip: Collection[str]):
-        self.spark, self.out, self.skip, self.paths = spark, out_dir.rstrip("/"), skip, {}
+    def __init__(self, spark: SparkSession, out_dir: str, aside: str, skip: Collection[str] = ()):
+        self.spark, self.out, self.aside, self.skip, self.paths = spark, out_dir.rstrip("/"), aside, skip, {}
 
     def put(self, name: str, make: Callable[[], DataFrame]) -> DataFrame | None:
-        path = f"{self.out}/{name}"
         if name in self.skip:
-            return self.spark.read.parquet(path) if name in SHARED else None
-        df = dated(name, make())
+            return self.spark.read.parquet(f"{self.out}/{name}") if name in SHARED else None
+        df, path = dated(name, make()), f"{self.aside}/{name}"
         write_table(df, path, MART_PARTITIONS.get(name, ()), CLUSTER_BY.get(name, ()))
-        self.paths[name] = path
+        self.paths[name] = f"{self.out}/{name}"
         return self.spark.read.schema(df.schema).parquet(path)  # a table without rows has no files to tell
 
     def candles(self, raw_klines: DataFrame) -> DataFrame | None:
@@ -121,16 +124,16 @@ class _Writer:
 
 def build_candles(spark: SparkSession, raw_klines: DataFrame, out_dir: str) -> dict[str, str]:
     """The tables made of candles alone."""
-    writer = _Writer(spark, out_dir, ())
-    with scratch_scope(spark):
+    with scratch_scope(spark), published(spark, out_dir) as aside:
+        writer = _Writer(spark, out_dir, aside)
         writer.candles(raw_klines)
     return writer.paths
 
 
 def build_trades(spark: SparkSession, raw_trades: DataFrame, out_dir: str) -> dict[str, str]:
     """The tables made of trades alone."""
-    writer = _Writer(spark, out_dir, ())
-    with scratch_scope(spark):  # intermediate tables of the blocked windows
+    with scratch_scope(spark), published(spark, out_dir) as aside:  # scratch: tables of the blocked windows
+        writer = _Writer(spark, out_dir, aside)
         writer.trades(raw_trades)
     return writer.paths
 
@@ -141,8 +144,8 @@ def build(spark: SparkSession, raw: Raw, out_dir: str, as_of: _dt.datetime | Non
     the dimension's stamp (default: the time of the run).
     Tables named in ``skip`` are left as they are; those in ``SHARED`` must then be
     there, as others read them."""
-    writer = _Writer(spark, out_dir, skip)
-    with scratch_scope(spark):
+    with scratch_scope(spark), published(spark, out_dir) as aside:
+        writer = _Writer(spark, out_dir, aside, skip)
         tickers = writer.put("stg_tickers", lambda: staging.stg_tickers(raw.tickers))
         of_candles, of_trades = writer.candles(raw.klines), writer.trades(raw.trades)
         writer.put("symbol_volume", lambda: metrics.volume_of_summary(partials.merged_trade_summary(of_trades), tickers))
