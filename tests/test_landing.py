@@ -96,3 +96,34 @@ def test_no_quarantine_without_bad_records(spark, scratch):
         start_landing_ingest(spark, scratch, "trades", scratch, on_bad="ignore")
     with pytest.raises(ValueError, match="on_bad"):
         read_landing(spark, scratch, "trades", on_bad="ignore")
+
+
+def test_array_files_are_read_once(spark, scratch):
+    """One line a file: no read of its own for every number, which the array's bytes show."""
+    records = [record({"price": 0.5, "trade_id": i}) for i in range(2000)]
+    path = put(os.path.join(scratch, "a.json"), records, False)
+    assert read_landing(spark, path, "trades", multiline=True).count() == len(records)
+    stats = spark._jvm.org.apache.hadoop.fs.FileSystem
+
+    def read_bytes() -> int:
+        return sum(s.getBytesRead() for s in stats.getAllStatistics())
+
+    before = read_bytes()
+    rows = read_landing(spark, path, "trades", multiline=True).collect()
+    assert {r.price for r in rows} == {Decimal("0.5")} and sorted(r.trade_id for r in rows) == list(range(2000))
+    assert read_bytes() - before < 5 * os.path.getsize(path)
+
+
+def test_array_file_as_one_line(spark, scratch):
+    """Indented arrays, an object, nothing, a byte order mark and digits of numbers as written."""
+    texts = {
+        "indented": json.dumps([record({}), record({"trade_id": 2})], indent=2), "object": json.dumps(record({"trade_id": 3})),
+        "empty": "", "blank": " \n\t", "none": "[]", "mark": "﻿" + json.dumps([record({"trade_id": 4})]),
+    }
+    for name, text in texts.items():
+        with open(os.path.join(scratch, name), "w", newline="") as f:
+            f.write(text)
+    assert sorted(r.trade_id for r in read_landing(spark, scratch, "trades", multiline=True).collect()) == [1, 2, 3, 4]
+    long = '[{"symbol": "BTCUSDT", "trade_id": 5, "price": 0.1234567800000000000001}]'
+    bad = quarantined_landing(spark, put(os.path.join(scratch, "long"), [long[1:-1]], False), "trades", multiline=True).collect()
+    assert [r.reason for r in bad] == ["price: not decimal(18,8)"]
