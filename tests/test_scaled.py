@@ -120,3 +120,20 @@ def test_snapshot_ranks_equal_plain_windows(spark):
     got = metrics.symbol_volume(m.stg_trades, m.stg_tickers, all_snapshots=True)
     want = got.drop("momentum_rank").withColumn("momentum_rank", F.rank().over(Window.orderBy(F.col("price_change_pct").desc_nulls_first())))
     assert _same(got, want.select(*got.columns))
+
+
+def test_tagged_trades_are_narrow_and_not_shuffled_for_their_places(spark):
+    stg = staging.stg_trades(tape_trades(spark, SF_SMALL))
+    found = scaled.fct_trades_scaled(stg, block_rows=100)
+    base = ["trade_id", "traded_at", "quantity", "quote_qty", "trade_value_usdt", "trade_direction", "_keyed", "_key", "_series"]
+    tables = [spark.read.parquet(f) for f in {p.rsplit("/", 1)[0] for p in found.inputFiles()}]
+    assert [*base, "_pid", "_local"] in [t.columns for t in tables]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_series" in plan and "hashpartitioning(_pid" not in plan
+
+
+def test_other_trade_keys_pass(spark):
+    stg = staging.stg_trades(tape_trades(spark, SF_SMALL)).limit(200)
+    other = stg.withColumn("trade_key", F.when(F.col("trade_id") % 3 == 0, "other").when(F.col("trade_id") % 3 == 1, F.col("trade_key")))
+    other = scaled.written_table(other.withColumn("symbol", F.when(F.col("trade_id") % 5 > 0, F.col("symbol"))), "other")
+    assert _same(marts.fct_trades(other, method="plain"), scaled.fct_trades_scaled(other, block_rows=20))
