@@ -56,3 +56,12 @@ def test_trade_staging_columns(spark):
     assert r.trade_direction == "buy"
     assert r.traded_at == dt.datetime(2024, 1, 1, 0, 0, 0, 123000)
     assert list(staging.stg_trades(spark.createDataFrame(rows, RAW_TRADES)).columns)[-1] == "row_num"
+
+
+def test_trades_are_shuffled_as_raw_columns(spark):
+    df = staging.stg_trades(spark.createDataFrame([("AUSDT", 1, Decimal("2"), Decimal("3"), None, 1000, True, T0)], RAW_TRADES))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning") :]
+    assert not any(c in below for c in ("trade_key", "trade_value_usdt", "trade_direction", "traded_at"))
+    r = df.first()
+    assert (r.trade_key, r.trade_value_usdt, r.trade_direction) == ("AUSDT_1", Decimal(6), "sell")
