@@ -11,20 +11,18 @@ number of distinct next symbols, and at last towards equal shares of all bytes.
 A symbol's probability is taken from the longest suffix of what comes before it
 that is a state; so the probabilities of all texts of words sum to one.
 
-The tree grows with the corpus, so it stays a table: the probability of every
-context of ``depth`` symbols and next symbol that some text holds. Contexts with
-the same last ``NEAR`` + 1 symbols meet in a task, which thus sees all their
-longer suffixes; only those of up to ``NEAR`` symbols, at most 256^3 with their
-next ones whatever the corpus, are handled in the driver.
-
-Texts look their probabilities up in chunks of about ``chunk_bytes``: a chunk's
-distinct keys, mixed and sorted, are cut into buckets by their high bits; each bucket
-meets its part of the table in a task, which gives back the values in the same order.
-Keys and values travel as compressed lists, one row for each chunk and bucket, and a
-chunk is scored from the values of all its buckets.
+The tree grows with the corpus, so it is spread over buckets. One pass cuts the texts
+into chunks of about ``chunk_bytes`` and gives the distinct codes of each (context and
+next symbol) with their counts in training texts, newest symbols of the context first,
+as compressed lists of differences, one row for each chunk and bucket. Contexts with
+the same last ``NEAR`` + 1 symbols are of one bucket; its task thus sees all their longer
+suffixes, makes their probabilities and gives each chunk those of its codes, in
+the same order. Only the contexts of up to ``NEAR`` symbols, at most 256^3 with their next ones
+whatever the corpus, are handled in the driver. A chunk is scored from the values of
+all its buckets.
 
 Beside the score every text gets a unigram base score: each of its words has
-the count of training words, which are looked up in the same way.
+the count of training words, which go the same way as hashes.
 
 Null and empty texts have the end only; a very long text is a chunk by itself. Repeated rows count and are scored
 each; other columns play no part; without training texts every byte has a share
@@ -33,7 +31,7 @@ of 1/256 and no word is known. An empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,25 +40,26 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from candlewick.llm.common import blocks, mixed, stored, utf8, whole_runs, with_lists
+from candlewick.llm.common import blocks, mixed, stored, utf8
 from candlewick.llm.quality_rules import Counts
 
 DEPTH = 6
 #: Contexts that occur less often in training texts are no candidates.
 MIN_COUNT = 2
-#: Distinct keys that a worker sums before it passes them on.
+#: Keys that a worker holds before it sums those that are equal.
 HELD_KEYS = 3_000_000
 SYMBOLS = 256
 #: Contexts of up to so many symbols are handled in the driver.
 NEAR = 2
-#: Rows of counts that a worker computes probabilities of at a time, or one context's.
-TREE_ROWS = 400_000
-#: Rows of the table that texts look up that a bucket holds.
+#: Keys of chunks that meet in a bucket, about.
 BUCKET_ROWS = 600_000
+#: Bytes of text for a distinct key of a chunk, about.
+KEY_BYTES = 8
 #: Bytes of text of which a worker holds the codes at a time.
-CODE_BYTES = 500_000
+CODE_BYTES = 1_000_000
+#: Buckets of the counts of near contexts, and of a chunk's texts.
+LOW, TEXT = -1, -2
 
 
 def normal(text: bytes) -> bytes:
@@ -87,55 +86,43 @@ def codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return code[at], sizes
 
 
-class Sums:
-    """Counts of keys, passed on when too many are held."""
+def turned(code: np.ndarray, depth: int) -> np.ndarray:
+    """Codes with the symbols of the context the other way round."""
+    one = np.uint64(8)
+    return (code >> one).byteswap() >> np.uint64(64 - 8 * depth) << one | code & np.uint64(255)
 
-    def __init__(self, kind: int):
-        self.kind, self.keys, self.held = kind, [], 0
 
-    def add(self, keys: np.ndarray, weight: int = 1) -> Iterator[pd.DataFrame]:
-        key, n = np.unique(keys, return_counts=True)
-        self.keys.append((key, n * weight))
-        self.held += len(key)
-        if self.held > HELD_KEYS:
-            self.merge()
-            if self.held > HELD_KEYS // 2:
-                yield from self.rows()
-
-    def merge(self) -> None:
-        key, n = (np.concatenate(x) for x in zip(*self.keys, strict=True))
-        order = np.argsort(key)
-        key, n = key[order], n[order]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        self.keys, self.held = [(key[first], np.add.reduceat(n, first))], len(first)
-
-    def rows(self) -> Iterator[pd.DataFrame]:
-        if self.held:
-            self.merge()
-            key, n = self.keys[0]
-            for a in range(0, len(key), TREE_ROWS):
-                yield pd.DataFrame({"kind": self.kind, "key": key[a : a + TREE_ROWS].view(np.int64), "n": n[a : a + TREE_ROWS]})
-        self.keys, self.held = [], 0
-
-
-def corpus_counts(texts: DataFrame, out: Column, depth: int) -> DataFrame:
-    """(kind, key, n): counts of word hashes (0) and of contexts with a next symbol
-    (1) in training texts; those of the contexts of other texts only are 0."""
+def firsts(x: np.ndarray) -> np.ndarray:
+    """Places of sorted numbers that differ from the one before."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
+
+
+def tallied(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order and the sums of their numbers."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = firsts(keys)
+    return keys[at], np.add.reduceat(n[order], at) if len(at) else n
 
-    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, words, grams = Counts(), Sums(0), Sums(1)
-        for part in parts:
-            for held, own in part.groupby("held", sort=False):
-                data = [normal(t) for t in utf8(own["text"])]
-                for a, b in blocks(data, CODE_BYTES):
-                    if not held:
-                        yield from words.add(counts.words(b" ".join(data[a:b]))[0])
-                    yield from grams.add(codes(data[a:b], depth)[0], 0 if held else 1)
-        yield from words.rows()
-        yield from grams.rows()
 
-    rows = texts.select("text", out.alias("held")).mapInPandas(run, "kind int, key long, n long")
-    return rows.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+class Tally:
+    """Counts of keys: those of training texts count, the others are there."""
+
+    def __init__(self) -> None:
+        self.keys, self.held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+
+    def add(self, keys: np.ndarray, counts: bool) -> None:
+        keys = np.sort(keys)  # np.unique hashes, which takes twenty times as long
+        at = firsts(keys)
+        n = np.diff(np.append(at, len(keys)))
+        self.keys.append((keys[at], n if counts else np.zeros_like(n)))
+        self.held += len(at)
+        if self.held > HELD_KEYS:
+            self.held = len(self.total()[0]) // 2  # sums again after as many keys more
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        self.keys = [tallied(*(np.concatenate(x) for x in zip(*self.keys, strict=True)))]
+        return self.keys[0]
 
 
 @dataclass
@@ -198,80 +185,22 @@ class Near:
         return self.value[np.searchsorted(self.key, code & mask(self.depth + 1))]
 
 
-def grown(counts: DataFrame, depth: int, min_count: int, divergence: float) -> tuple[Near, DataFrame]:
-    """The tree of the counts (key, n) of codes of ``depth`` symbols and the next:
-    chances after the near contexts, and (key, value) of the codes, mixed, whose
-    longest state is longer: their log10 probability."""
-    near = min(NEAR, depth)
-    low = counts.groupBy(F.col("key").bitwiseAND(F.lit(int(mask(near + 1)))).alias("key")).agg(F.sum("n").alias("n")).toArrow()
-    key, n = low["key"].to_numpy().astype(np.uint64), low["n"].to_numpy().astype(float)
-    start, equal = np.arange(SYMBOLS, dtype=np.uint64), np.full(SYMBOLS, 1 / SYMBOLS)
-    found = levels(key, n, range(near + 1), start, equal, min_count, divergence)
-    last, chance = found[-1].key, found[-1].chance
-
-    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in gathered(whole_runs(parts, ["context"]), TREE_ROWS):
-            code, n = part["key"].to_numpy().view(np.uint64), part["n"].to_numpy().astype(float)
-            own = levels(code, n, range(near + 1, depth + 1), last, chance, min_count, divergence)
-            p = final(own, last, np.full(len(last), np.nan))
-            on = ~np.isnan(p)
-            code = own[-1].key[on]
-            yield pd.DataFrame({"key": mixed(code).view(np.int64), "value": np.log10(p[on]), "last": (code >> np.uint64(8) & mask(near)).view(np.int64)})
-
-    if depth > near:
-        context = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit(int(mask(near + 1))))
-        rows = counts.select("key", "n", context.alias("context")).repartition("context").sortWithinPartitions("context")
-        values = stored(rows.mapInPandas(run, "key long, value double, last long"), "tree")
-        held = values.select("last").distinct()
-        keep_suffixes(found[-1], held.toArrow()["last"].to_numpy().astype(np.uint64))  # at most 256^NEAR
-        for longer, shorter in zip(found[:0:-1], found[-2::-1], strict=True):
-            keep_suffixes(shorter, longer.context[longer.kept])
-    else:
-        values = counts.sparkSession.createDataFrame([], "key long, value double, last long")
-    return Near(last, np.log10(final(found, start, equal)), near), values.drop("last")
-
-
-def gathered(parts: Iterable[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
-    """Batches put together until they hold so many rows."""
-    held: list[pd.DataFrame] = []
-    for part in parts:
-        held.append(part)
-        if sum(map(len, held)) >= rows:
-            yield pd.concat(held, ignore_index=True)
-            held = []
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
-def chunked(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """Rows with the number of their chunk of about so many bytes of text."""
-
-    def made() -> Callable[[list], tuple]:
-        state = {"size": 0, "chunk": TaskContext.get().partitionId() << 32}
-
-        def of(texts: list) -> tuple:
-            out = []
-            for t in texts:
-                if state["size"] > chunk_bytes:
-                    state["size"], state["chunk"] = 0, state["chunk"] + 1
-                state["size"] += len(t or "") + 16
-                out.append(state["chunk"])
-            return (out,)
+def planes(x: np.ndarray) -> bytes:
+    """Whole numbers compressed, their first bytes together, then their second."""
+    return pressed(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
 
-        return of
 
-    return with_lists(docs, ["text"], {"chunk": T.LongType()}, made)
+def of_planes(data: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(unpressed(data), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def planes(x: np.ndarray) -> bytes:
-    """Whole numbers compressed, their first bytes together, then their second."""
-    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+def pressed(raw: bytes) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def of_planes(data: bytes, kind: type) -> np.ndarray:
-    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+def unpressed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
 
 
 def packed_keys(x: np.ndarray) -> bytes:
@@ -283,89 +212,116 @@ def unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(of_planes(data, np.uint64), dtype=np.uint64)
 
 
-def packed_values(x: np.ndarray) -> tuple[bytes, bytes]:
-    """Numbers as the distinct ones and which of them each is."""
-    kinds, which = np.unique(x.view(np.int64), return_inverse=True)
-    return planes(kinds), planes(which.astype(np.uint32))
-
-
-def unpacked_values(kinds: bytes, which: bytes) -> np.ndarray:
-    return of_planes(kinds, np.int64)[of_planes(which, np.uint32)].view(np.float64)
-
-
 def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of keys whose bits are mixed, growing with the key."""
     return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-class Keys:
-    """The distinct keys of a chunk, sorted: hashes of words and mixed codes."""
+def code_buckets(code: np.ndarray, depth: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of sorted turned codes by bucket, and where each bucket begins and the last ends."""
+    newest = code >> np.uint64(8 * (depth - min(NEAR, depth - 1)))
+    bucket = bucket_of(mixed(newest), buckets)
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
-    def __init__(self, data: list[bytes], depth: int, counts: Counts):
-        self.kinds = [self.distinct(f(x) for x in parts) for f, parts in (
-            (lambda x: counts.words(b" ".join(x))[0], [data[a:b] for a, b in blocks(data, CODE_BYTES)]),
-            (lambda x: mixed(codes(x, depth)[0]), [data[a:b] for a, b in blocks(data, CODE_BYTES)]),
-        )]
 
-    @staticmethod
-    def distinct(parts: Iterable[np.ndarray]) -> np.ndarray:
-        held, more, size = np.zeros(0, np.uint64), [], 0
-        for part in parts:
-            more.append(np.unique(part))
-            size += len(more[-1])
-            if size > HELD_KEYS // 2:
-                held, more, size = np.unique(np.concatenate([held, *more])), [], 0
-        return np.unique(np.concatenate([held, *more])) if more else held
-
-
-def chunk_keys(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
-    """(bucket, chunk, words, codes): the distinct keys of each chunk, packed."""
-
-    def rows(chunk: int, data: list[bytes], counts: Counts) -> Iterator[pd.DataFrame]:
-        edges = []
-        found = Keys(data, depth, counts).kinds
-        for key in found:
-            edges.append(np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1)))
-        used = np.flatnonzero(sum(np.diff(e) for e in edges))
+LISTS = ("words", "word_counts", "codes", "code_counts")
+
+
+def with_keys(rows: DataFrame, depth: int, buckets: int, chunk_bytes: int) -> DataFrame:
+    """(chunk, bucket, LISTS) of rows (doc_id, text, held): the distinct keys of each chunk
+    and their counts in the rows that are not ``held``. The rows of the bucket TEXT have
+    the chunk's normal texts instead, with their ids and which of these are null."""
+
+    def lists(chunk: int, words: Tally, grams: Tally) -> Iterator[pa.RecordBatch]:
+        (word, word_n), (code, code_n) = words.total(), grams.total()
+        low, low_n = tallied(turned(code, depth) & mask(min(NEAR, depth) + 1), code_n)
+        order, edges = code_buckets(code, depth, buckets)
+        word_edges = np.searchsorted(bucket_of(word, buckets), np.arange(buckets + 1))
+        code, code_n = code[order], code_n[order]
+        yield of_lists(chunk, [LOW], [(packed_keys(low[:0]), planes(low_n[:0].astype(np.uint32)), packed_keys(low), planes(low_n.astype(np.uint32)))])
+        used = np.flatnonzero(np.diff(edges) + np.diff(word_edges))
         for few in np.array_split(used, max(1, len(used) // 64)):
-            lists = [[packed_keys(key[e[b] : e[b + 1]]) for b in few] for key, e in zip(found, edges, strict=True)]
-            yield pd.DataFrame({"bucket": few, "chunk": chunk, "words": lists[0], "codes": lists[1]})
+            parts = [(slice(word_edges[i], word_edges[i + 1]), slice(edges[i], edges[i + 1])) for i in few]
+            yield of_lists(chunk, few, [(
+                packed_keys(word[w]), planes(word_n[w].astype(np.uint32)), packed_keys(code[c]), planes(code_n[c].astype(np.uint32)),
+            ) for w, c in parts])
+
+    def of_lists(chunk: int, bucket: Iterable[int], found: list[tuple[bytes, ...]]) -> pa.RecordBatch:
+        n = len(found)
+        columns = [pa.array([x[i] for x in found], pa.binary()) for i in range(len(LISTS))]
+        return pa.RecordBatch.from_arrays([pa.array([chunk] * n, pa.int64()), pa.array([int(x) for x in bucket], pa.int64()), *columns], names=["chunk", "bucket", *LISTS])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, chunk, size = Counts(), TaskContext.get().partitionId() << 32, 0
+        words, grams = Tally(), Tally()
+        for batch in batches:
+            texts, held = utf8(batch.column("text").to_pylist()), np.array(batch.column("held").to_pylist(), dtype=bool)
+            start = 0
+            while start < len(texts):
+                end = start
+                while end < len(texts) and size <= chunk_bytes:
+                    size += len(texts[end]) + 16
+                    end += 1
+                data = [normal(t) for t in texts[start:end]]
+                ids = batch.column("doc_id").slice(start, end - start)
+                yield of_lists(chunk, [TEXT], [(planes(ids.fill_null(0).to_numpy(zero_copy_only=False)), planes(ids.is_null().to_numpy(zero_copy_only=False)), pressed(b"\n".join(data)), b"")])
+                for out in (False, True):
+                    some = [t for t, h in zip(data, held[start:end], strict=True) if h == out]
+                    for a, b in blocks(some, CODE_BYTES):
+                        words.add(counts.words(b" ".join(some[a:b]))[0], not out)
+                        grams.add(turned(codes(some[a:b], depth)[0], depth), not out)
+                start = end
+                if size > chunk_bytes:
+                    yield from lists(chunk, words, grams)
+                    chunk, size, words, grams = chunk + 1, 0, Tally(), Tally()
+        if size:
+            yield from lists(chunk, words, grams)
+
+    return rows.mapInArrow(run, f"chunk long, bucket long, {', '.join(f'{c} binary' for c in LISTS)}")
+
+
+def near_counts(keys: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of near contexts, in order, and their counts."""
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, at, data = Counts(), None, []
         for part in parts:
-            for chunk, own in part.groupby("chunk", sort=False):
-                if chunk != at and data:
-                    yield from rows(at, data, counts)
-                    data = []
-                at = chunk
-                data += [normal(t) for t in utf8(own["text"])]
-        if data:
-            yield from rows(at, data, counts)
+            for code, n in zip(part["codes"], part["code_counts"], strict=True):
+                yield pd.DataFrame({"key": unpacked_keys(code).view(np.int64), "n": of_planes(n, np.uint32).astype(np.int64)})
 
-    return texts.select("chunk", "text").mapInPandas(run, "bucket long, chunk long, words binary, codes binary")
+    low = keys.where(F.col("bucket") == LOW).select("codes", "code_counts").mapInPandas(run, "key long, n long")
+    low = low.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    return low["key"].to_numpy().astype(np.uint64), low["n"].to_numpy().astype(float)
 
 
-VALUES = ("words", "which_words", "codes", "which_codes")
+VALUES = "bucket long, chunk long, words binary, codes binary, total long, kinds long, last binary"
 
 
-def looked_up_keys(keys: DataFrame, table: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, chunk, VALUES): the values of the keys that ``chunk_keys`` gives, in their
-    order, from (kind, key, value)."""
-    high = F.shiftrightunsigned("key", 32) * F.lit(buckets).cast("long")
-    table = table.select(F.shiftrightunsigned(high, 32).alias("bucket"), "kind", "key", "value")
+def bucket_values(keys: DataFrame, depth: int, found: list[Level], min_count: int, divergence: float) -> DataFrame:
+    """For each chunk and bucket the counts of its words and the log10 probabilities of its
+    codes (NaN: that of a near context), in the order of its lists; and a row without a
+    chunk for each bucket: its training words, the distinct ones, and the near contexts that
+    retained longer ones end in. ``found`` are the levels of the near contexts."""
+    last, before, near = found[-1].key, found[-1].chance, found[-1].depth
 
-    def run(need: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        known = [sorted_of(own, kind) for kind in (0, 1)]
-        rows = []
-        for bucket, chunk, words, code in zip(need["bucket"], need["chunk"], need["words"], need["codes"], strict=True):
-            n = looked_up(*known[0], unpacked_keys(words), 0.0)
-            p = looked_up(*known[1], unpacked_keys(code), np.nan)
-            rows.append((bucket, chunk, *packed_values(n), *packed_values(p)))
-        return pd.DataFrame(rows, columns=["bucket", "chunk", *VALUES])
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        words, own = ([unpacked_keys(x) for x in part[c]] for c in ("words", "codes"))
+        word_n, own_n = ([of_planes(x, np.uint32) for x in part[c]] for c in ("word_counts", "code_counts"))
+        word, word_n = tallied(np.concatenate(words), np.concatenate(word_n).astype(np.int64))
+        key, n = tallied(np.concatenate(own), np.concatenate(own_n).astype(float))
+        code, value = turned(key, depth), np.full(len(key), np.nan)
+        if depth > near:
+            tree = levels(code, n, range(near + 1, depth + 1), last, before, min_count, divergence)
+            chance = final(tree, last, np.full(len(last), np.nan))
+            value = np.log10(chance[np.searchsorted(tree[-1].key, code)])
+        shorter = np.sort(code[~np.isnan(value)] >> np.uint64(8) & mask(near))
+        bucket = int(part["bucket"].iloc[0])
+        rows = [(bucket, None, None, None, int(word_n.sum()), int((word_n > 0).sum()), packed_keys(shorter[firsts(shorter)]))]
+        for chunk, w, c in zip(part["chunk"], words, own, strict=True):
+            rows.append((bucket, chunk, planes(word_n[np.searchsorted(word, w)]), planes(value[np.searchsorted(key, c)]), 0, 0, None))
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in VALUES.split(", ")]).astype({"chunk": "Int64"})
 
-    lists = ", ".join(f"{v} binary" for v in VALUES)
-    return keys.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(run, f"bucket long, chunk long, {lists}")
+    return keys.where("bucket >= 0").select("bucket", "chunk", *LISTS).groupBy("bucket").applyInPandas(run, VALUES)
 
 
 RESULT = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -377,61 +333,81 @@ def scored(
     depth: int = DEPTH,
     min_count: int = MIN_COUNT,
     divergence: float = 6.0,
-    chunk_bytes: int = 12_000_000,
+    chunk_bytes: int = 24_000_000,
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row.
     ``out`` marks, by id, the rows that are not learned from."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    texts = stored(chunked(rows, chunk_bytes), "chunks")
-    train = texts.where(~out)
-    counts = stored(corpus_counts(texts, out, depth), "counts")
-    words = counts.where("kind = 0").select("key", "n")
-    near, tree = grown(counts.where("kind = 1").select("key", "n"), depth, min_count, divergence)
-    ends = train.count()
-    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    total, distinct = sums.n + ends, sums.v + (ends > 0)
-    least = np.log10(total + distinct + 1)
-
-    def run(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.select("doc_id", "text", out.alias("held"))
+    ends, size = rows.agg(F.count_if(~F.col("held")), F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1), F.lit(0))).first()
+    buckets = max(1, -(-size // (KEY_BYTES * BUCKET_ROWS)))
+    keys = stored(with_keys(rows, depth, buckets, chunk_bytes), "chunks")
+    texts = keys.where(F.col("bucket") == TEXT).select("chunk", *LISTS[:3])
+
+    start, equal = np.arange(SYMBOLS, dtype=np.uint64), np.full(SYMBOLS, 1 / SYMBOLS)
+    found = levels(*near_counts(keys), range(min(NEAR, depth) + 1), start, equal, min_count, divergence)
+    values = stored(bucket_values(keys, depth, found, min_count, divergence), "values")
+    sums = values.where("chunk is null").select("total", "kinds", "last").toArrow()  # a row for each bucket
+    for shorter in sums["last"].to_pylist():
+        keep_suffixes(found[-1], unpacked_keys(shorter))
+    for longer, shorter in zip(found[:0:-1], found[-2::-1], strict=True):
+        keep_suffixes(shorter, longer.context[longer.kept])
+    near = Near(found[-1].key, np.log10(final(found, start, equal)), found[-1].depth)
+    total = sum(sums["total"].to_pylist()) + ends
+    least = np.log10(total + sum(sums["kinds"].to_pylist()) + (ends > 0) + 1)
+
+    def run(own: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
         counts = Counts()
-        data = [normal(t) for t in utf8(own["text"])]
-        key, code = Keys(data, depth, counts).kinds
-        found = found.sort_values("bucket")
-        n, value = (np.concatenate([np.zeros(0), *(unpacked_values(*x) for x in zip(found[a], found[b], strict=True))]) for a, b in (VALUES[:2], VALUES[2:]))
+        ids, null = (np.concatenate([of_planes(x, kind) for x in own[c]]) for c, kind in zip(LISTS, (np.int64, np.bool_), strict=False))
+        data = [t for x in own["codes"] for t in unpressed(x).split(b"\n")]
+        word = distinct(counts.words(b" ".join(data[a:b]))[0] for a, b in blocks(data, CODE_BYTES))
+        code = distinct(turned(codes(data[a:b], depth)[0], depth) for a, b in blocks(data, CODE_BYTES))
+        parts = parts.sort_values("bucket")
+        n = np.concatenate([np.zeros(0, np.int64), *(of_planes(x, np.int64) for x in parts["words"])])
+        value = np.empty(len(code))
+        value[code_buckets(code, depth, buckets)[0]] = np.concatenate([np.zeros(0), *(of_planes(x, np.float64) for x in parts["codes"])])
         rows = []
         for a, b in blocks(data, CODE_BYTES):
             hashes = [counts.words(t)[0] for t in data[a:b]]
             size = np.array([len(h) for h in hashes], dtype=np.int64)
-            c = looked_up(key, n, np.concatenate([*hashes, np.zeros(0, np.uint64)]), 0.0)
+            c = looked_up(word, n, np.concatenate([*hashes, np.zeros(0, np.uint64)]))
             text = np.repeat(np.arange(b - a), size)
             base = np.bincount(text, np.log10(c + 1) - least, minlength=b - a) + np.log10(ends + 1) - least
             seen = np.bincount(text, c > 0, minlength=b - a).astype(np.int64) + (ends > 0)
             symbols, sizes = codes(data[a:b], depth)
-            p = looked_up(code, value, mixed(symbols), np.nan)
+            p = looked_up(code, value, turned(symbols, depth))
             rest = np.isnan(p)
             p[rest] = near(symbols[rest])
             score = np.add.reduceat(p, np.cumsum(sizes) - sizes)
             rows.append(pd.DataFrame({"n_tokens": size + 1, "n_known": seen, "train_tokens": total, "base_score": base, "score": score}))
-        return pd.concat(rows, ignore_index=True).assign(doc_id=own["doc_id"].array)[[c.split()[0] for c in RESULT.split(", ")]]
+        return pd.concat(rows, ignore_index=True).assign(doc_id=pd.arrays.IntegerArray(ids, null))[[c.split()[0] for c in RESULT.split(", ")]]
+
+    lists = values.where("chunk is not null").select("chunk", "bucket", "words", "codes")
+    return texts.groupBy("chunk").cogroup(lists.groupBy("chunk")).applyInPandas(run, RESULT)
 
-    table = words.selectExpr("0 as kind", "key", "double(n) as value").unionByName(tree.selectExpr("1 as kind", "key", "value"))
-    buckets = max(1, -(-(sums.v + tree.count()) // BUCKET_ROWS))
-    found = looked_up_keys(chunk_keys(texts, depth, buckets), table, buckets)
-    return texts.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(run, RESULT)
 
+def distinct(parts: Iterable[np.ndarray]) -> np.ndarray:
+    """The distinct numbers of all parts, in order."""
+    held, size = [np.zeros(0, np.uint64)], 0
+    for part in parts:
+        part = np.sort(part)
+        held.append(part[firsts(part)])
+        size += len(held[-1])
+        if size > HELD_KEYS:
+            held = [merged(held)]
+            size = len(held[0]) // 2
+    return merged(held)
 
-def sorted_of(known: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a kind in order, and their values."""
-    own = known[known["kind"] == kind]
-    key, value = own["key"].to_numpy().view(np.uint64), own["value"].to_numpy()
-    order = np.argsort(key)
-    return key[order], value[order]
 
+def merged(parts: list[np.ndarray]) -> np.ndarray:
+    every = np.sort(np.concatenate(parts))
+    return every[firsts(every)]
 
-def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
-    """Values of the wanted keys by sorted keys."""
-    if not len(keys):
-        return np.full(len(wanted), missing)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], missing)
+
+def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Values of the wanted keys, which are all there, by sorted keys."""
+    order = np.argsort(wanted)  # searching in order stays in the cache
+    out = np.empty(len(wanted), values.dtype)
+    out[order] = values[np.searchsorted(keys, wanted[order])]
+    return out

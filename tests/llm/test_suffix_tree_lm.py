@@ -133,3 +133,25 @@ def test_six_symbols_back_are_seen(spark):
     got = lm.scored(spark.createDataFrame([(i, t, "", 1) for i, t in zip(ids, texts, strict=False)], SCHEMA), held_out(7, 2))
     score = {r.doc_id: r.score for r in got.collect()}
     assert score[ids[0]] > score[ids[40]] + 0.5
+
+
+def test_keys_of_a_chunk_are_small_and_counted(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 7))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words, 400)) for _ in range(200)]
+    rows = spark.createDataFrame([(i, t, i % 4 == 0) for i, t in enumerate(texts)], "doc_id long, text string, held boolean").coalesce(1)
+    lists = [r for r in lm.with_keys(rows, 6, 3, 10**9).collect() if r.bucket >= 0]
+    got, size = {}, 0
+    for r in lists:
+        size += len(r.codes)
+        got |= dict(zip(lm.turned(lm.unpacked_keys(r.codes), 6).tolist(), lm.of_planes(r.code_counts, np.uint32).tolist(), strict=True))
+    want = Counter(dict.fromkeys(lm.codes([t.encode() for t in texts], 6)[0].tolist(), 0))
+    want.update(lm.codes([t.encode() for i, t in enumerate(texts) if i % 4], 6)[0].tolist())
+    assert got == dict(want) and {r.chunk for r in lists} == {0}
+    assert size < 4 * len(got)
+
+
+def test_large_ids_beside_null_ids(spark):
+    ids = [None, 2**60 + 1, 2**60 + 3, -(2**62) - 1]
+    got = lm.scored(spark.createDataFrame([(i, "some words", "", 1) for i in ids], SCHEMA).coalesce(1), held_out(7, 2)).collect()
+    assert {r.doc_id for r in got} == set(ids)
