@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -83,3 +84,17 @@ def test_texts_after_removal(spark):
 
 def test_empty_table(spark):
     assert made(spark, []) == []
+
+
+def test_a_worker_holds_few_arrays_at_a_time():
+    texts = ["".join(np.random.default_rng(i).choice(list("abcdefg "), 5000)).encode() for i in range(300)]
+    tracemalloc.start()
+    try:
+        hashes = suffix_dedup.Hashes()
+        for block in suffix_dedup.slices(texts, 200):
+            sizes = np.array([len(t) for _, _, t in block])
+            flat = np.frombuffer(b"".join(t for _, _, t in block), dtype=np.uint8)
+            suffix_dedup.segments(flat, np.append(0, np.cumsum(sizes)[:-1]), sizes, 200, hashes)
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
