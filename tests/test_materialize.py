@@ -77,3 +77,23 @@ def test_command_line_loads_indented_arrays(spark, scratch):
         assert table.exceptAll(rows).count() == rows.exceptAll(table).count() == 0, name
     assert main(["build", root, out]) == 0
     assert spark.read.parquet(os.path.join(out, "daily_summary")).count() > 0
+
+
+def test_tables_are_made_once_and_large_dates_are_split(spark, scratch):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(parts):
+        for part in parts:
+            made.add(len(part))
+            yield part
+
+    rows = spark.range(0, 20_000, 1, 8).selectExpr("if(id % 50 = 0, date'2024-01-02', date'2024-01-01') as trade_date", "id")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        materialize.write_table(rows.mapInPandas(seen, rows.schema), f"{scratch}/t", ("trade_date",), ("id",))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert made.value == 20_000
+    assert sorted(r.id for r in spark.read.parquet(f"{scratch}/t").collect()) == list(range(20_000))
+    assert len(os.listdir(f"{scratch}/t/trade_date=2024-01-01")) > 4
