@@ -7,6 +7,8 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from candlewick.llm import suffix_dedup
@@ -98,3 +100,40 @@ def test_a_worker_holds_few_arrays_at_a_time():
         assert tracemalloc.get_traced_memory()[1] < 40e6
     finally:
         tracemalloc.stop()
+
+
+def test_parts_of_many_texts_leave_in_few_batches(monkeypatch):
+    texts = [f"é{i:05d}".encode() * 100 for i in range(600)]
+    cuts = [[(i, k, i % 3, 5 * k, 450) for k in range(i % 4 + 1)] for i in range(600)]
+    lists = {c: pa.array([[x[j] for x in row] for row in cuts], type=pa.list_(pa.int64())) for j, c in enumerate(suffix_dedup.CUTS)}
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([t.decode() for t in texts]), **lists})
+    want = [(h, seg, kinds, texts[i][lo : lo + n]) for i, row in enumerate(cuts) for h, seg, kinds, lo, n in row]
+    for limit, least, most in ((1_000_000, 1, 1), (100_000, 6, 8)):
+        monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", limit)
+        got = list(suffix_dedup.cut_parts([batch, batch.slice(0, 0)]))
+        assert least <= sum(b.num_rows > 0 for b in got) <= most  # one of each text would be 600
+        assert all(sum(map(len, b.column("part").to_pylist())) < limit + 450 for b in got)
+        assert [tuple(r.values()) for b in got for r in b.to_pylist()] == want
+
+
+def test_strings_of_many_parts_leave_in_few_frames():
+    rng = np.random.default_rng(5)
+    long = bytes(rng.integers(97, 100, 900).astype(np.uint8))
+    parts = [long[a : a + 400 + a % 50] for a in range(400)]
+    frame = pd.DataFrame({"h": 7, "seg": range(400), "part": parts}).astype({"h": "int64", "seg": "int64"})
+    got = list(suffix_dedup.part_strings([frame, frame[:0]], 400))
+    assert len(got) <= 3  # one of each part would be 400
+    rows = pd.concat(got)
+    assert list(zip(rows["seg"], rows["at"], strict=True)) == [(i, k) for i, p in enumerate(parts) for k in range(len(p) - 399)]
+    by_hash = {}
+    for seg, at, *x in rows[["seg", "at", "x", "y"]].itertuples(index=False):
+        by_hash.setdefault(tuple(x), set()).add(parts[seg][at : at + 400])
+    assert all(len(v) == 1 for v in by_hash.values())
+    assert len(by_hash) == len({p[k : k + 400] for p in parts for k in range(len(p) - 399)})
+
+
+def test_copies_of_a_row_are_cut_once(spark):
+    docs = spark.createDataFrame([(1, 2, "a" * 500)] * 3 + [(4, 5, "b" * 500)], "k1 long, k2 long, text string")
+    wanted = spark.createDataFrame([(1, 2, 8, 9, 2, 10, 450), (4, 5, 8, 10, 2, 0, 401)], "k1 long, k2 long, h long, seg long, kinds long, lo long, size long")
+    got = sorted((r.h, r.seg, r.kinds, bytes(r.part)) for r in suffix_dedup.contested(docs, wanted).collect())
+    assert got == [(8, 9, 2, b"a" * 450), (8, 10, 2, b"b" * 401)]
